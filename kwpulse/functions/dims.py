@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # --- fixed values -----------------------------------------------------------
 # Stopwords per language: common function words of each language (public
@@ -30,6 +29,7 @@ STOPWORDS = {
              tu un una uno ya yo""",
 }
 DEFAULT_LANG = "en"
+LANGS = sorted(STOPWORDS)
 
 # ISO 3166-1 alpha-2 -> alpha-3 for the codes this library meets. "UK" is not
 # an ISO alpha-2 code (the kingdom is "GB"), so it deliberately has no entry.
@@ -62,23 +62,31 @@ def stopword_rows() -> list[tuple[str, str]]:
     return [(lang, w) for lang, words in STOPWORDS.items() for w in words.split()]
 
 
+def _local(spark: SparkSession, rows, names: list[str]) -> DataFrame:
+    """A literal table as a JVM-side local relation (no Python RDD, no Python
+    workers at execution), hinted for broadcast: its size is fixed by this file."""
+    return F.broadcast(spark.sql(f"SELECT * FROM {sql_values(rows, names)}"))
+
+
 def stopwords_df(spark: SparkSession) -> DataFrame:
-    """(lang, word); a few hundred rows — always broadcast."""
-    schema = T.StructType([T.StructField("lang", T.StringType(), False),
-                           T.StructField("word", T.StringType(), False)])
-    return F.broadcast(spark.createDataFrame(stopword_rows(), schema))
+    """(lang, word); a few hundred rows."""
+    return _local(spark, stopword_rows(), ["lang", "word"])
+
+
+def stopword_langs_df(spark: SparkSession) -> DataFrame:
+    """(word, sw_langs): one row per word with the languages it is a stopword of."""
+    langs: dict[str, list[str]] = {}
+    for lang, w in stopword_rows():
+        langs.setdefault(w, []).append(lang)
+    return _local(spark, sorted((w, sorted(ls)) for w, ls in langs.items()), ["word", "sw_langs"])
 
 
 def iso_df(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([T.StructField("alpha2", T.StringType(), False),
-                           T.StructField("alpha3", T.StringType(), False)])
-    return F.broadcast(spark.createDataFrame(sorted(ISO_ALPHA2_TO_ALPHA3.items()), schema))
+    return _local(spark, sorted(ISO_ALPHA2_TO_ALPHA3.items()), ["alpha2", "alpha3"])
 
 
 def nation_codes_df(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([T.StructField("nationkey", T.IntegerType(), False),
-                           T.StructField("code", T.StringType(), False)])
-    return F.broadcast(spark.createDataFrame(list(enumerate(TPCH_NATION_CODES)), schema))
+    return _local(spark, list(enumerate(TPCH_NATION_CODES)), ["nationkey", "code"])
 
 
 def sql_values(rows, names: list[str], alias: str = "t") -> str:
@@ -86,6 +94,8 @@ def sql_values(rows, names: list[str], alias: str = "t") -> str:
     def lit(v):
         if isinstance(v, str):
             return "'" + v.replace("'", "''") + "'"
+        if isinstance(v, (list, tuple)):
+            return "array(" + ", ".join(lit(x) for x in v) + ")"
         return str(v)
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     return f"(VALUES {body}) AS {alias}({', '.join(names)})"

@@ -1,27 +1,30 @@
 """Keyword extraction (X3/X4/X5, P8, A14, W2, F15, F16, J7) with built-ins only.
 
-Plan for a table of texts keyed by ``keys``:
-
-1. ``posexplode(regexp_extract_all(lower(text)))``        narrow, per row
-2. ``groupBy(keys, token) -> freq, first_pos``            shuffle #1, partially
-   aggregated in each task, so a text's repeated tokens collapse before it
-3. language = stopword hits (broadcast join on token) summed per (text, lang),
-   best one by ``min_by`` (ties: language code)           shuffle #2, tiny rows
-4. digits and the text's stopwords removed: join the language (shuffle #3 on
-   keys), then a broadcast left-anti join on (lang, token)
-5. top-k by ``row_number`` over (freq desc, first_pos)    reuses #3's partitioning;
-   Spark inserts a partial WindowGroupLimit so only k rows per text survive
+Plan for a table of texts keyed by ``keys`` (ONE shuffle, of text rows):
+
+0. ``repartition(keys)``                                 the only shuffle
+1. ``posexplode(regexp_extract_all(lower(text)))``, digit-only tokens dropped
+2. ``groupBy(keys, token) -> freq, first_pos``           no exchange: the
+   partitioning on keys already clusters every (keys, token) group
+3. broadcast left join with the stopword table (one row per word, with the
+   languages it belongs to); per text, stopword hits per language are window
+   sums over ``partitionBy(keys)``                       no exchange
+4. the text's language = most hits (ties: language code; none: ``en``); tokens
+   that are stopwords of that language are dropped
+5. top-k by ``row_number`` over (freq desc, first_pos)   no exchange; Spark
+   adds a WindowGroupLimit below it
 
 A text is one row, so a group is bounded by one text's length; nothing is
 collected. Ties keep first-occurrence order (the reference's stable sort over
-an insertion-ordered dict).
+an insertion-ordered dict). Dropping tokens before counting does not change the
+first-occurrence order of the tokens that remain.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kwpulse.functions import dims
@@ -43,37 +46,59 @@ def tokens(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def token_freq(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys..., token, freq, first_pos) with 1-based first position."""
-    return (tokens(texts, keys).groupBy(*keys, "token")
+    """(keys..., token, freq, first_pos) of non-numeric tokens, 1-based first position."""
+    return (tokens(texts, keys).filter(~F.col("token").rlike(DIGITS_ONLY))
+            .groupBy(*keys, "token")
             .agg(F.count(F.lit(1)).alias("freq"), (F.min("pos") + 1).alias("first_pos")))
 
 
-def detect_language(freq: DataFrame, keys: Sequence[str], stopwords: DataFrame) -> DataFrame:
-    """(keys..., lang) for texts with at least one stopword; others default later."""
-    hits = freq.join(stopwords, freq.token == stopwords.word, "inner")
-    per_lang = hits.groupBy(*keys, "lang").agg(F.sum("freq").alias("hits"))
-    return per_lang.groupBy(*keys).agg(
-        F.min_by("lang", F.struct((-F.col("hits")).alias("neg"), F.col("lang").alias("l"))).alias("lang"))
+def _hits_by_lang(freq: Column, sw_langs: Column) -> dict[str, Column]:
+    """Per language: the token's count if it is a stopword of that language, else 0."""
+    return {lang: F.when(F.array_contains(sw_langs, F.lit(lang)), freq).otherwise(F.lit(0))
+            for lang in dims.LANGS}
+
+
+def _best_lang(hits: dict[str, Column]) -> Column:
+    """Language with most hits; ties -> alphabetically first; no hit -> default."""
+    best = F.greatest(*[F.struct(h.alias("h"), F.lit(-i).alias("o"), F.lit(lang).alias("lang"))
+                        for i, (lang, h) in enumerate(sorted(hits.items()))])
+    return F.when(best["h"] > 0, best["lang"]).otherwise(F.lit(dims.DEFAULT_LANG))
 
 
 def text_languages(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Language of every text (fallback ``en`` when no stopword matches)."""
-    sw = dims.stopwords_df(texts.sparkSession)
-    langs = detect_language(token_freq(texts, keys), keys, sw)
-    return (texts.select(*keys).join(langs, list(keys), "left")
+    """Language of every text (fallback ``en`` when no stopword matches)."""
+    sw = dims.stopword_langs_df(texts.sparkSession)
+    freq = token_freq(texts, keys)
+    tagged = freq.join(sw, freq.token == sw.word, "left")
+    hits = _hits_by_lang(F.col("freq"), F.col("sw_langs"))
+    per_text = tagged.groupBy(*keys).agg(*[F.sum(h).alias(f"h_{lang}") for lang, h in hits.items()])
+    lang = _best_lang({lang: F.col(f"h_{lang}") for lang in hits})
+    return (texts.select(*keys).join(per_text.select(*keys, lang.alias("lang")), list(keys), "left")
             .withColumn("lang", F.coalesce(F.col("lang"), F.lit(dims.DEFAULT_LANG))))
 
 
-def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20) -> DataFrame:
-    """(keys..., keyword, rank): the top-k non-stopword, non-numeric tokens of each text."""
-    sw = dims.stopwords_df(texts.sparkSession)
+def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20,
+             cluster_by: Sequence[str] | None = None) -> DataFrame:
+    """(keys..., keyword, rank): the top-k non-stopword, non-numeric tokens of each text.
+
+    The text rows are hash-partitioned once by ``cluster_by`` (default: the text
+    key). Everything after — counting, language, top-k — then runs inside that
+    partitioning: one shuffle, of whole text rows, instead of shuffling
+    (key, token) pairs twice (each pair repeats the key; the pairs outweigh
+    the text several times). Tokenising also gets the shuffle's parallelism
+    rather than the scan's. A text is one row, so no group exceeds one row.
+    """
+    sw = dims.stopword_langs_df(texts.sparkSession)
+    texts = texts.repartition(*(cluster_by or keys))
     freq = token_freq(texts, keys)
-    langs = detect_language(freq, keys, sw)
-    kept = (freq.filter(~F.col("token").rlike(DIGITS_ONLY))
-                .join(langs, list(keys), "left")
-                .withColumn("lang", F.coalesce(F.col("lang"), F.lit(dims.DEFAULT_LANG))))
-    kept = kept.join(sw, (kept.lang == sw.lang) & (kept.token == sw.word), "left_anti")
-    w = Window.partitionBy(*keys).orderBy(F.desc("freq"), F.asc("first_pos"))
+    tagged = freq.join(sw, freq.token == sw.word, "left")
+    per_text = Window.partitionBy(*keys)
+    hits = {lang: F.sum(h).over(per_text)
+            for lang, h in _hits_by_lang(F.col("freq"), F.col("sw_langs")).items()}
+    with_lang = tagged.withColumn("lang", _best_lang(hits))
+    is_sw = F.coalesce(F.array_contains(F.col("sw_langs"), F.col("lang")), F.lit(False))
+    kept = with_lang.filter(~is_sw)
+    w = per_text.orderBy(F.desc("freq"), F.asc("first_pos"))
     return (kept.withColumn("rank", F.row_number().over(w))
                 .filter(F.col("rank") <= top_k)
                 .select(*keys, F.col("token").alias("keyword"), "rank"))

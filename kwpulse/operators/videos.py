@@ -90,7 +90,9 @@ def extract_keyword_facts(raw: DataFrame, as_of: _dt.datetime, top_k: int = 20,
     if extra_texts is not None:
         texts = texts.unionByName(extra_texts.select("entry_id", "modality", "frame", "text"))
     keys = ["entry_id", "modality", "frame_k"]
-    kws = keywords(with_frame_key(texts), keys, top_k)
+    # Cluster by entry only: the keyword rows then already sit where the join
+    # back to the entry's metadata needs them (an entry has a handful of texts).
+    kws = keywords(with_frame_key(texts), keys, top_k, cluster_by=["entry_id"])
     entries = video_records(raw, as_of)
     return (kws.join(entries, "entry_id", "inner")
                .withColumn("confidence", F.lit(1.0))

@@ -189,8 +189,9 @@ def keyword_ctes(src: str, keys: list[str], top_k: int = 20) -> list[str]:
     pat = _q(TOKEN_PATTERN)
     return [
         f"sw AS (SELECT * FROM {SW})",
-        f"tok AS (SELECT {k}, unnest(l) AS token, generate_subscripts(l, 1) AS pos "
-        f"FROM (SELECT {k}, regexp_extract_all(lower(text), {pat}) AS l FROM {src}))",
+        f"tok AS (SELECT * FROM (SELECT {k}, unnest(l) AS token, generate_subscripts(l, 1) AS pos "
+        f"FROM (SELECT {k}, regexp_extract_all(lower(text), {pat}) AS l FROM {src})) "
+        f"WHERE NOT regexp_full_match(token, '[0-9]+'))",
         f"freq AS (SELECT {k}, token, count(*) AS freq, min(pos) AS first_pos FROM tok GROUP BY {k}, token)",
         f"hits AS (SELECT {fk}, sw.lang, sum(f.freq) AS hits FROM freq f JOIN sw ON f.token = sw.word "
         f"GROUP BY {fk}, sw.lang)",
