@@ -2,7 +2,7 @@
 
 Plan for a table of texts keyed by ``keys`` (ONE shuffle, of text rows):
 
-0. ``repartition(keys)``                                 the only shuffle
+0. ``repartition(struct(keys))``                         the only shuffle
 1. ``posexplode(regexp_extract_all(lower(text)))``, digit-only tokens dropped
 2. ``groupBy(keys, token) -> freq, first_pos``           no exchange: the
    partitioning on keys already clusters every (keys, token) group
@@ -38,6 +38,31 @@ def with_frame_key(texts: DataFrame) -> DataFrame:
     return texts.withColumn("frame_k", F.coalesce(F.col("frame").cast("bigint"), F.lit(-1).cast("bigint")))
 
 
+def _clustered(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Texts with one id column ``_tid = struct(keys)``, hash-partitioned by it.
+
+    One attribute as the key keeps every later grouping and window satisfied by
+    this single partitioning, even when some key columns are constants that
+    Catalyst would fold out of a multi-column key.
+    """
+    return texts.withColumn("_tid", F.struct(*keys)).repartition("_tid")
+
+
+def _tokens(texts: DataFrame, outer: bool = False) -> DataFrame:
+    """(_tid, pos, token) for every non-numeric token; ``outer`` keeps token-less texts."""
+    gen = F.posexplode_outer if outer else F.posexplode
+    t = texts.select("_tid", gen(
+        F.regexp_extract_all(F.lower(F.col("text")), F.lit(TOKEN_PATTERN), F.lit(0))
+    ).alias("pos", "token"))
+    keep = ~F.col("token").rlike(DIGITS_ONLY)
+    return t.filter(F.col("token").isNull() | keep) if outer else t.filter(keep)
+
+
+def _freq(toks: DataFrame) -> DataFrame:
+    return (toks.groupBy("_tid", "token")
+            .agg(F.count(F.lit(1)).alias("freq"), (F.min("pos") + 1).alias("first_pos")))
+
+
 def tokens(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys..., pos, token): every token of every text, 0-based position."""
     return texts.select(*keys, F.posexplode(
@@ -47,9 +72,7 @@ def tokens(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def token_freq(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys..., token, freq, first_pos) of non-numeric tokens, 1-based first position."""
-    return (tokens(texts, keys).filter(~F.col("token").rlike(DIGITS_ONLY))
-            .groupBy(*keys, "token")
-            .agg(F.count(F.lit(1)).alias("freq"), (F.min("pos") + 1).alias("first_pos")))
+    return _freq(_tokens(_clustered(texts, keys))).select("_tid.*", "token", "freq", "first_pos")
 
 
 def _hits_by_lang(freq: Column, sw_langs: Column) -> dict[str, Column]:
@@ -66,42 +89,39 @@ def _best_lang(hits: dict[str, Column]) -> Column:
 
 
 def text_languages(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Language of every text (fallback ``en`` when no stopword matches)."""
+    """(keys..., lang) for every text (``en`` when no stopword matches); one shuffle."""
     sw = dims.stopword_langs_df(texts.sparkSession)
-    freq = token_freq(texts, keys)
+    freq = _freq(_tokens(_clustered(texts, keys), outer=True))
     tagged = freq.join(sw, freq.token == sw.word, "left")
     hits = _hits_by_lang(F.col("freq"), F.col("sw_langs"))
-    per_text = tagged.groupBy(*keys).agg(*[F.sum(h).alias(f"h_{lang}") for lang, h in hits.items()])
+    per_text = tagged.groupBy("_tid").agg(*[F.sum(h).alias(f"h_{lang}") for lang, h in hits.items()])
     lang = _best_lang({lang: F.col(f"h_{lang}") for lang in hits})
-    return (texts.select(*keys).join(per_text.select(*keys, lang.alias("lang")), list(keys), "left")
-            .withColumn("lang", F.coalesce(F.col("lang"), F.lit(dims.DEFAULT_LANG))))
+    return per_text.select("_tid.*", lang.alias("lang"))
 
 
-def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20,
-             cluster_by: Sequence[str] | None = None) -> DataFrame:
+def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20) -> DataFrame:
     """(keys..., keyword, rank): the top-k non-stopword, non-numeric tokens of each text.
 
-    The text rows are hash-partitioned once by ``cluster_by`` (default: the text
-    key). Everything after — counting, language, top-k — then runs inside that
-    partitioning: one shuffle, of whole text rows, instead of shuffling
-    (key, token) pairs twice (each pair repeats the key; the pairs outweigh
-    the text several times). Tokenising also gets the shuffle's parallelism
-    rather than the scan's. A text is one row, so no group exceeds one row.
+    The text rows are hash-partitioned once by their key; counting, language and
+    top-k then all run inside that partitioning: one shuffle, of whole text rows,
+    instead of shuffling (key, token) pairs twice (each pair repeats the key, so
+    the pairs outweigh the text several times). Tokenising also gets the
+    shuffle's parallelism rather than the scan's. A text is one row, so no group
+    exceeds what one row holds.
     """
     sw = dims.stopword_langs_df(texts.sparkSession)
-    texts = texts.repartition(*(cluster_by or keys))
-    freq = token_freq(texts, keys)
+    freq = _freq(_tokens(_clustered(texts, keys)))
     tagged = freq.join(sw, freq.token == sw.word, "left")
-    per_text = Window.partitionBy(*keys)
+    per_text = Window.partitionBy("_tid")
     hits = {lang: F.sum(h).over(per_text)
             for lang, h in _hits_by_lang(F.col("freq"), F.col("sw_langs")).items()}
     with_lang = tagged.withColumn("lang", _best_lang(hits))
     is_sw = F.coalesce(F.array_contains(F.col("sw_langs"), F.col("lang")), F.lit(False))
-    kept = with_lang.filter(~is_sw)
     w = per_text.orderBy(F.desc("freq"), F.asc("first_pos"))
-    return (kept.withColumn("rank", F.row_number().over(w))
-                .filter(F.col("rank") <= top_k)
-                .select(*keys, F.col("token").alias("keyword"), "rank"))
+    return (with_lang.filter(~is_sw)
+                     .withColumn("rank", F.row_number().over(w))
+                     .filter(F.col("rank") <= top_k)
+                     .select("_tid.*", F.col("token").alias("keyword"), "rank"))
 
 
 def modal_keywords(texts: DataFrame, top_k: int = 20) -> DataFrame:
