@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kwpulse.functions import dims
-from kwpulse.functions.exprs import norm_region, safe_rate, stat_count
+from kwpulse.functions.exprs import norm_region, safe_rate
 from kwpulse.schemas import KPI_FIELDS, STAT_FIELDS
 
 
@@ -17,10 +17,31 @@ def stats_column(df: DataFrame) -> str:
     return "stats" if "stats" in df.columns else "stats_json"
 
 
+RAW = {f: f"_raw_{f}" for f in STAT_FIELDS}
+
+
+def with_stat_texts(df: DataFrame, stats: str | None = None) -> DataFrame:
+    """Add ``_raw_<count>`` text columns from the JSON stats, parsed ONCE per row.
+
+    ``json_tuple`` is a generator that always yields exactly one row (NULLs for
+    NULL, invalid or non-object JSON), so no row is lost; being a generator it
+    also keeps later predicates on these columns from being re-inlined as one
+    parse per reference.
+    """
+    s = F.col(stats or stats_column(df))
+    return df.select("*", F.json_tuple(s, *STAT_FIELDS).alias(*RAW.values()))
+
+
+def raw_count(field: str):
+    """Count as the database reads ``(stats->>'x')::int``: missing/invalid -> NULL."""
+    return F.col(RAW[field]).try_cast("bigint")
+
+
 def expand_stats(kw: DataFrame) -> DataFrame:
     """Add the five counts; invalid/NULL/non-object JSON and missing keys give 0."""
-    s = F.col(stats_column(kw))
-    return kw.withColumns({f: stat_count(s, f) for f in STAT_FIELDS})
+    return (with_stat_texts(kw)
+            .withColumns({f: F.coalesce(raw_count(f), F.lit(0).cast("bigint")) for f in STAT_FIELDS})
+            .drop(*RAW.values()))
 
 
 def add_kpis(df: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kwpulse.functions.exprs import stat_raw, ts_lit
+from kwpulse.functions.exprs import ts_lit
+from kwpulse.operators.clean import RAW, raw_count, with_stat_texts
 
 
 def filter_in(df: DataFrame, regions: Sequence[str] | None = None,
@@ -48,18 +49,20 @@ def filter_dates(df: DataFrame, start=None, end=None, end_plus_one_day: bool = F
 
 
 def engagement_predicate(min_likes: int = 0, min_comments: int = 0, min_shares: int = 0,
-                         min_views: int = 0, stats: str = "stats") -> Column:
-    """all four JSON counts at least their minimum; a missing key or
-    invalid JSON is NULL and fails even a zero minimum (as in SQL)."""
-    s = F.col(stats)
-    return ((stat_raw(s, "diggCount") >= min_likes)
-            & (stat_raw(s, "commentCount") >= min_comments)
-            & (stat_raw(s, "shareCount") >= min_shares)
-            & (stat_raw(s, "playCount") >= min_views))
+                         min_views: int = 0) -> Column:
+    """F5 over the ``_raw_*`` columns of ``clean.with_stat_texts``: all four JSON
+    counts at least their minimum; a missing key or invalid JSON is NULL and
+    fails even a zero minimum (as in SQL)."""
+    return ((raw_count("diggCount") >= min_likes)
+            & (raw_count("commentCount") >= min_comments)
+            & (raw_count("shareCount") >= min_shares)
+            & (raw_count("playCount") >= min_views))
 
 
 def engagement_filter(kw: DataFrame, **minimums) -> DataFrame:
-    return kw.filter(engagement_predicate(**minimums))
+    """F5 on fact rows (stats parsed once per row)."""
+    return (with_stat_texts(kw).filter(engagement_predicate(**minimums))
+            .drop(*RAW.values()))
 
 
 def filter_equal(df: DataFrame, region: str | None = None, category: str | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kwpulse.functions.exprs import growth_case, ts_lit
+from kwpulse.operators.clean import with_stat_texts
 from kwpulse.operators.filters import engagement_predicate, filter_equal
 
 # time_window name -> length of one period
@@ -43,7 +44,7 @@ def growth(kw: DataFrame, as_of: _dt.datetime, time_window: str = "hourly",
     """
     lo, mid, hi = window_bounds(as_of, time_window)
     ts = F.col("detected_at")
-    base = kw.filter((ts >= ts_lit(lo)) & (ts < ts_lit(hi)))
+    base = with_stat_texts(kw.filter((ts >= ts_lit(lo)) & (ts < ts_lit(hi))))
     base = base.filter(engagement_predicate(min_likes, min_comments, min_shares, min_views))
     base = filter_equal(base, region, category)
     agg = (base.groupBy(*GROUP)
