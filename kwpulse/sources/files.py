@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kwpulse.schemas import CSV_TS_FORMAT, KW, KW_CLEAN_CSV, KW_CSV, VIDEO
+from kwpulse.session import checkpoint_dir
 
 CORRUPT = "_corrupt_record"
 CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "multiLine": "true",
@@ -41,10 +42,20 @@ def parse_video_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     return lines.select(*keep, parsed.alias("_v")).select(*keep, "_v.*")
 
 
-def split_quarantine(videos: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good records, quarantined records); one bad record never stops the rest."""
+def split_quarantine(videos: DataFrame, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(good records, quarantined records); one bad record never stops the rest.
+
+    Spark refuses queries on a raw JSON scan that need only the corrupt-record
+    column, so the parsed records are first materialised once with a reliable
+    ``checkpoint()`` into the shared ``spark.checkpoint.dir`` (which also cuts
+    the lineage: later failures recompute from there, not from the raw files).
+    Pass ``materialize=False`` for frames that are not raw file scans.
+    """
     if CORRUPT not in videos.columns:
         return videos, videos.limit(0)
+    if materialize:
+        checkpoint_dir(videos.sparkSession)
+        videos = videos.checkpoint(eager=True)
     bad = F.col(CORRUPT).isNotNull()
     return videos.filter(~bad).drop(CORRUPT), videos.filter(bad)
 
