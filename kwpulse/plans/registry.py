@@ -43,8 +43,11 @@ def _dash(spark, sf):
 def dashboard_window(dash: DataFrame) -> DataFrame:
     """Dashboard default date range: first posting date .. last posting date + 1 day
     (bounds as scalar subqueries — evaluated once, no driver round trip)."""
-    lo = dash.select(F.min("posted_at").cast("date").cast("timestamp_ntz")).scalar()
-    hi = dash.select(F.max("posted_at").cast("date").cast("timestamp_ntz")).scalar()
+    day = lambda c: c.cast("date").cast("timestamp_ntz")
+    bounds = dash.select(F.struct(day(F.min("posted_at")).alias("lo"),
+                                  day(F.max("posted_at")).alias("hi"))).scalar()
+    # both references are the same subquery: Spark runs it once (subquery reuse)
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     return dash.filter((F.col("posted_at") >= lo) & (F.col("posted_at") <= hi + F.expr("INTERVAL 1 DAY")))
 
 

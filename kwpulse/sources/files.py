@@ -89,11 +89,12 @@ def csv_as_facts(df: DataFrame) -> DataFrame:
 def write_facts(kw: DataFrame, path: str, mode: str = "append") -> None:
     """Keyword facts partitioned by detection date (time chunking).
 
-    ``repartition`` on the partition column keeps one writer per date instead of
-    every task writing a file into every date.
+    The ``rebalance`` hint clusters rows by date so each date gets few files, and
+    lets AQE split a date that holds a large share of the rows over several
+    writers (``optimizeSkewsInRebalancePartitions``) instead of one task.
     """
     (kw.withColumn("detected_date", F.to_date("detected_at"))
-       .repartition("detected_date")
+       .hint("rebalance", "detected_date")
        .write.mode(mode).partitionBy("detected_date").parquet(path))
 
 
