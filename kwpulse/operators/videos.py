@@ -78,6 +78,11 @@ def ensure_entry_id(raw: DataFrame) -> DataFrame:
     return raw.withColumn("entry_id", F.monotonically_increasing_id())
 
 
+def first_entries(raw: DataFrame, n: int) -> DataFrame:
+    """The first n entries in input order (a per-task top-n, then one merge)."""
+    return raw.orderBy("entry_id").limit(n)
+
+
 def extract_keyword_facts(raw: DataFrame, as_of: _dt.datetime, top_k: int = 20,
                           extra_texts: DataFrame | None = None) -> DataFrame:
     """Metadata (+ optional per-frame texts keyed by entry_id) -> keyword facts.

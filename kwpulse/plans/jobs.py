@@ -29,12 +29,16 @@ def paths(out_dir: str) -> dict[str, str]:
 
 
 def extract_job(spark: SparkSession, videos: DataFrame, out: dict, as_of: _dt.datetime,
-                top_k: int = P.TOP_K, write_csv: bool = True) -> None:
+                top_k: int = P.TOP_K, write_csv: bool = True, demo_limit: int | None = None) -> None:
     """Metadata records -> keyword facts (parquet by detected date, + CSV);
-    malformed records go to the quarantine folder."""
+    malformed records go to the quarantine folder. ``demo_limit`` (T9) keeps the
+    first n good records in input order."""
     good, bad = IO.split_quarantine(videos)
     bad.write.mode("append").json(out["quarantine"])
-    facts = V.extract_keyword_facts(V.ensure_entry_id(good), as_of, top_k)
+    good = V.ensure_entry_id(good)
+    if demo_limit:
+        good = V.first_entries(good, demo_limit)
+    facts = V.extract_keyword_facts(good, as_of, top_k)
     IO.write_facts(facts, out["facts"], mode="append")
     if write_csv:
         IO.write_keywords_csv(IO.read_facts(spark, out["facts"]).drop("detected_date"),

@@ -165,3 +165,28 @@ def test_json_array_file(spark, tmp_path):
     good, _ = IO.split_quarantine(IO.read_videos(spark, str(p)))
     recs = {r.video_id: r.stats for r in V.video_records(V.ensure_entry_id(good), AS_OF).collect()}
     assert recs["2"] == "{}" and '"playCount":7' in recs["1"]
+
+
+def test_dashboard_backfills_missing_numeric_columns(spark):
+    out = C.dashboard_frame(kw_rows(spark, [{}]).drop("stats")).first()
+    assert out.playCount == 0 and out.engagement_rate == 0 and out.region == "US"
+
+
+def test_unparsable_timestamp_becomes_null(spark, tmp_path):
+    p = tmp_path / "kw.csv"
+    p.write_text("video_id,keyword,modality,confidence,detected_at,posted_at,region,category,stats_json\n"
+                 "1,k,caption,1.0,2024-01-02 03:04:05.000006,garbage,US,music,\"{\"\"playCount\"\": 3}\"\n")
+    r = IO.read_keywords_csv(spark, str(p)).first()
+    assert r.posted_at is None and r.detected_at == dt.datetime(2024, 1, 2, 3, 4, 5, 6)
+    assert r.stats_json == '{"playCount": 3}'
+
+
+def test_insert_defaults(spark):
+    df = kw_rows(spark, [dict(posted_at=None)])
+    out = IO.with_defaults(df, AS_OF, columns=("posted_at",)).first()
+    assert out.posted_at == AS_OF
+
+
+def test_demo_limit_keeps_first_entries(spark):
+    vids = _videos(spark, [dict(id=str(i), desc=f"word{i} text") for i in range(5)])
+    assert [r.id for r in V.first_entries(vids, 2).collect()] == ["0", "1"]
