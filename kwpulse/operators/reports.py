@@ -79,22 +79,28 @@ def region_map(dash: DataFrame) -> DataFrame:
 
 def scatter(df: DataFrame, top_n: int = 20) -> DataFrame:
     """Per keyword mean virality/discussion, sums, first category —
-    kept for the top keywords (left semi join on the top list).
-
-    "first" follows the engagement-descending row order of the dashboard, so it
-    is the category of the highest-engagement row that has one.
+    kept for the top keywords of ``top_keywords_modality``.
+
+    One aggregate serves both: the top list ranks keywords by the engagement of
+    their rows that have a modality (rows the keyword x modality table keeps), so
+    that sum is one more conditional column here and the top N is taken from the
+    per-keyword rows directly: one scan, one shuffle of partial aggregates.
+    "first" category follows the engagement-descending row order of the
+    dashboard: the category of the highest-engagement row that has one.
     """
     first_key = F.when(F.col("category").isNotNull(),
                        F.struct((-F.col("engagement_total")).alias("neg"), F.col("category").alias("v")))
+    rank = F.sum(F.when(F.col("modality").isNotNull(), F.col("engagement_total")))
     agg = (df.filter(F.col("keyword").isNotNull())
              .groupBy("keyword")
              .agg(r6(F.avg("virality_index")).alias("avg_virality"),
                   r6(F.avg("discussion_rate")).alias("avg_discussion"),
                   F.sum("engagement_total").alias("total_engagement"),
                   F.sum("playCount").alias("plays"),
-                  F.min_by("category", first_key).alias("category")))
-    top = top_keywords_modality(df, top_n).select("keyword")
-    return agg.join(F.broadcast(top), "keyword", "left_semi")  # top_n rows: bounded
+                  F.min_by("category", first_key).alias("category"),
+                  rank.alias("_rank")))
+    return (agg.filter(F.col("_rank").isNotNull())  # keywords without a modality row are not ranked
+               .orderBy(F.desc("_rank"), F.asc("keyword")).limit(top_n).drop("_rank"))
 
 
 def category_compare(df: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """The BI workbook's four sheets.
 
 Top-N sets are computed over all rows first (the workbook's Top N filters run
-before its dimension filters) and applied with a broadcast left-semi join; the
-set has at most N rows, so the broadcast is bounded.
+before its dimension filters) and ranked from the sheet's own aggregate, so the
+fact rows are scanned and shuffled once and no join is needed.
 """
 
 from __future__ import annotations
@@ -16,25 +16,30 @@ from kwpulse.functions import dims
 from kwpulse.functions.exprs import r6
 
 
-def _top_keywords(df: DataFrame, measure, n: int) -> DataFrame:
-    return (df.groupBy("keyword").agg(measure.alias("_m"))
-              .orderBy(F.desc_nulls_last("_m"), F.asc_nulls_first("keyword"))
-              .limit(n).select("keyword"))
+def _top_keywords(agg: DataFrame, measure, n: int, cols: Sequence[str]) -> DataFrame:
+    """The rows of ``agg`` (one per keyword x dimension value) of the N best keywords.
 
-
-def _semi(df: DataFrame, top: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(top), df.keyword.eqNullSafe(top.keyword), "left_semi")
+    ``agg`` is already aggregated, so a keyword has at most one row per value of
+    a small fixed dimension (modality or region); regrouping it per keyword with
+    those rows as an array, ranking, and unpacking the N winners needs no second
+    scan of the facts and no join.
+    """
+    per_kw = (agg.groupBy("keyword")
+                 .agg(measure.alias("_m"), F.collect_list(F.struct(*cols)).alias("_rows")))
+    return (per_kw.orderBy(F.desc_nulls_last("_m"), F.asc_nulls_first("keyword")).limit(n)
+                  .select("keyword", F.inline("_rows")))
 
 
 def top_keywords_sheet(clean: DataFrame, top_n: int = 10, min_total: int | None = None,
                        max_total: int | None = None) -> DataFrame:
     """Sheet 1: top N keywords by SUM(engagement_total), bars split by modality,
     range filter on the (keyword, modality) sum."""
-    rows = _semi(clean, _top_keywords(clean, F.sum("engagement_total"), top_n))
-    out = (rows.groupBy("keyword", "modality")
+    km = (clean.groupBy("keyword", "modality")
                .agg(F.sum("engagement_total").alias("sum_engagement_total"),
                     F.sum("playCount").alias("sum_playcount"),
                     r6(F.avg("playCount")).alias("avg_playcount")))
+    out = _top_keywords(km, F.sum("sum_engagement_total"), top_n,
+                        ["modality", "sum_engagement_total", "sum_playcount", "avg_playcount"])
     if min_total is not None:
         out = out.filter(F.col("sum_engagement_total") >= min_total)
     if max_total is not None:
@@ -61,13 +66,21 @@ def scatter_sheet(clean: DataFrame, top_n: int = 30,
                   excluded_regions: Sequence[str] = tuple(dims.WORKBOOK_EXCLUDED_REGIONS)) -> DataFrame:
     """Sheet 3: top N keywords by AVG(playCount); per (keyword, region) mean
     discussion and virality and summed engagement; excluded regions dropped
-    (NULL region is a member of the level and stays)."""
-    rows = _semi(clean, _top_keywords(clean, F.avg("playCount"), top_n))
-    rows = rows.filter(F.col("region").isNull() | ~F.col("region").isin(list(excluded_regions)))
-    return (rows.groupBy("keyword", "region")
-                .agg(r6(F.avg("discussion_rate")).alias("avg_discussion_rate"),
-                     r6(F.avg("virality_index")).alias("avg_virality_index"),
-                     F.sum("engagement_total").alias("sum_engagement_total")))
+    (NULL region is a member of the level and stays).
+
+    The (keyword, region) aggregate carries the play sum and count, from which
+    the per-keyword mean (the Top N measure, over all regions) is re-aggregated.
+    """
+    kr = (clean.groupBy("keyword", "region")
+               .agg(r6(F.avg("discussion_rate")).alias("avg_discussion_rate"),
+                    r6(F.avg("virality_index")).alias("avg_virality_index"),
+                    F.sum("engagement_total").alias("sum_engagement_total"),
+                    F.sum("playCount").alias("_play_sum"),
+                    F.count("playCount").alias("_play_n")))
+    mean_play = F.try_divide(F.sum("_play_sum"), F.sum("_play_n"))
+    rows = _top_keywords(kr, mean_play, top_n,
+                         ["region", "avg_discussion_rate", "avg_virality_index", "sum_engagement_total"])
+    return rows.filter(F.col("region").isNull() | ~F.col("region").isin(list(excluded_regions)))
 
 
 def category_sheet(clean: DataFrame) -> DataFrame:

@@ -360,11 +360,13 @@ def oracle_sql() -> dict[str, str]:
         rng.append(f"sum_engagement_total >= {P.WB_MIN_TOTAL}")
     if P.WB_MAX_TOTAL is not None:
         rng.append(f"sum_engagement_total <= {P.WB_MAX_TOTAL}")
-    q["wb_top_keywords"] = _with(CLEAN, top10) + (
+    sheet1 = _with(CLEAN, top10) + (
         "SELECT * FROM (SELECT keyword, modality, "
         f"{_sum('engagement_total', 'sum_engagement_total')}, {_sum('playCount', 'sum_playcount')}, "
         "round(avg(playCount), 6) AS avg_playcount FROM clean WHERE keyword IN (SELECT keyword FROM t10) "
-        "GROUP BY keyword, modality) s" + (" WHERE " + " AND ".join(rng) if rng else ""))
+        "GROUP BY keyword, modality) s")
+    q["wb_top_keywords"] = sheet1 + (" WHERE " + " AND ".join(rng) if rng else "")
+    q["wb_top_keywords_all"] = sheet1  # the range filter at its full extent
     q["wb_region"] = _with(CLEAN) + (
         "SELECT region, round(avg(engagement_rate), 6) AS avg_engagement_rate, "
         f"{_sum('playCount', 'sum_playcount')}, CASE WHEN region IN {_in(P.WB_REGION_SET)} "

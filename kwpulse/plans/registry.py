@@ -158,6 +158,7 @@ def queries() -> dict[str, Query]:
         # workbook
         "wb_top_keywords": lambda s, d: W.top_keywords_sheet(_clean(s, d), P.WB_TOP_N,
                                                              P.WB_MIN_TOTAL, P.WB_MAX_TOTAL),
+        "wb_top_keywords_all": lambda s, d: W.top_keywords_sheet(_clean(s, d), P.WB_TOP_N),
         "wb_region": lambda s, d: W.region_sheet(_clean(s, d), P.WB_CATEGORIES, P.WB_MODALITIES,
                                                  P.WB_REGION_SET),
         "wb_scatter": lambda s, d: W.scatter_sheet(_clean(s, d), P.WB_SCATTER_TOP_N),
