@@ -8,11 +8,11 @@ Plan for a table of texts keyed by ``keys`` (ONE shuffle, of text rows):
    partitioning on keys already clusters every (keys, token) group
 3. broadcast left join with the stopword table (one row per word, with the
    languages it belongs to); per text, stopword hits per language are window
-   sums over ``partitionBy(keys)``                       no exchange
+   sums over the whole text                              no exchange
 4. the text's language = most hits (ties: language code; none: ``en``); tokens
    that are stopwords of that language are dropped
-5. top-k by ``row_number`` over (freq desc, first_pos)   no exchange; Spark
-   adds a WindowGroupLimit below it
+5. top-k by ``row_number`` over (freq desc, first_pos)   no exchange, and no
+   second sort: steps 3 and 5 share the window order
 
 A text is one row, so a group is bounded by one text's length; nothing is
 collected. Ties keep first-occurrence order (the reference's stable sort over
@@ -112,14 +112,16 @@ def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20) -> DataFram
     sw = dims.stopword_langs_df(texts.sparkSession)
     freq = _freq(_tokens(_clustered(texts, keys)))
     tagged = freq.join(sw, freq.token == sw.word, "left")
-    per_text = Window.partitionBy("_tid")
-    hits = {lang: F.sum(h).over(per_text)
+    # Both windows share one order, so one per-partition sort serves them: the
+    # language hits use the whole text as frame, the rank the running frame.
+    ordered = Window.partitionBy("_tid").orderBy(F.desc("freq"), F.asc("first_pos"))
+    whole_text = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    hits = {lang: F.sum(h).over(whole_text)
             for lang, h in _hits_by_lang(F.col("freq"), F.col("sw_langs")).items()}
     with_lang = tagged.withColumn("lang", _best_lang(hits))
     is_sw = F.coalesce(F.array_contains(F.col("sw_langs"), F.col("lang")), F.lit(False))
-    w = per_text.orderBy(F.desc("freq"), F.asc("first_pos"))
     return (with_lang.filter(~is_sw)
-                     .withColumn("rank", F.row_number().over(w))
+                     .withColumn("rank", F.row_number().over(ordered))
                      .filter(F.col("rank") <= top_k)
                      .select("_tid.*", F.col("token").alias("keyword"), "rank"))
 
