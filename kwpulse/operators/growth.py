@@ -24,6 +24,29 @@ WINDOWS = {"hourly": _dt.timedelta(hours=1), "daily": _dt.timedelta(days=1),
 GROUP = ["keyword", "region", "category"]
 
 
+def detected_between(kw: DataFrame, lo: _dt.datetime | None = None,
+                     hi: _dt.datetime | None = None, hi_inclusive: bool = False) -> DataFrame:
+    """``lo <= detected_at < hi`` (``<= hi`` when inclusive), either bound optional.
+
+    On the stored fact table (partitioned by ``detected_date = to_date(detected_at)``)
+    the implied date bounds are added too, so whole date partitions are pruned
+    before any file is listed or opened; the ``detected_at`` bounds are pushed to
+    the parquet reader for the boundary dates.
+    """
+    ts = F.col("detected_at")
+    if lo is not None:
+        kw = kw.filter(ts >= ts_lit(lo))
+    if hi is not None:
+        kw = kw.filter(ts <= ts_lit(hi) if hi_inclusive else ts < ts_lit(hi))
+    if "detected_date" in kw.columns:
+        d = F.col("detected_date")
+        if lo is not None:
+            kw = kw.filter(d >= F.lit(lo.date()))
+        if hi is not None:
+            kw = kw.filter(d <= F.lit(hi.date()))
+    return kw
+
+
 def window_bounds(as_of: _dt.datetime, time_window: str):
     """Previous [as_of-2d, as_of-d), current [as_of-d, as_of)."""
     if time_window not in WINDOWS:
@@ -44,7 +67,7 @@ def growth(kw: DataFrame, as_of: _dt.datetime, time_window: str = "hourly",
     """
     lo, mid, hi = window_bounds(as_of, time_window)
     ts = F.col("detected_at")
-    base = with_stat_texts(kw.filter((ts >= ts_lit(lo)) & (ts < ts_lit(hi))))
+    base = with_stat_texts(detected_between(kw, lo, hi))
     base = base.filter(engagement_predicate(min_likes, min_comments, min_shares, min_views))
     base = filter_equal(base, region, category)
     agg = (base.groupBy(*GROUP)
@@ -80,7 +103,7 @@ def backtest(kw: DataFrame, as_of: _dt.datetime, days_back: int = 7,
     t1 = t0 + _dt.timedelta(days=horizon_days)
     ts = F.col("detected_at")
     hi = max(t0, t1)
-    agg = (kw.filter(ts <= ts_lit(hi))
+    agg = (detected_between(kw, hi=hi, hi_inclusive=True)
              .groupBy("keyword")
              .agg(F.count_if(ts <= ts_lit(t0)).alias("count_then"),
                   F.count_if(ts <= ts_lit(t1)).alias("count_future")))

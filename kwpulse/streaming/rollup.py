@@ -22,8 +22,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kwpulse.functions.exprs import ts_lit
-from kwpulse.operators.growth import hourly_counts
+from kwpulse.operators.growth import detected_between, hourly_counts
 from kwpulse.sources.files import read_facts
 
 GROUP = ["keyword", "region", "category"]
@@ -66,7 +65,7 @@ def refresh_hours_batch(spark: SparkSession, facts_path: str, rollup_path: str,
     """Exact refresh: hours touched by rows detected at/after ``since`` are recomputed
     from all their rows and their ``bucket_date`` partitions are overwritten."""
     facts = read_facts(spark, facts_path)
-    touched = (facts.filter(F.col("detected_at") >= ts_lit(since))
+    touched = (detected_between(facts, lo=since)
                     .select(F.to_date(F.date_trunc("hour", "posted_at")).alias("bucket_date"))
                     .distinct())
     rows = facts.withColumn("bucket_date", F.to_date(F.date_trunc("hour", "posted_at")))

@@ -38,3 +38,25 @@ def test_extraction_one_shuffle_and_group_limit(spark):
 def test_column_pruning_events(spark):
     plan = _plan(E.queries()["backtest"](spark, SF_SMALL))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,props:string>" in plan
+
+
+def test_stored_facts_prune_date_partitions(spark, tmp_path):
+    """Time windows on the stored fact table prune ``detected_date`` partitions,
+    and pruning does not change the result."""
+    from kwpulse.operators import growth as G
+    from kwpulse.plans import params as P
+    from kwpulse.sources import files as IO
+    from kwpulse.sources import tables as TB
+
+    path = str(tmp_path / "facts")
+    kw = TB.keyword_facts(spark, SF_SMALL)
+    IO.write_facts(kw, path, mode="overwrite")
+    stored = IO.read_facts(spark, path)
+    for df in (G.growth(stored, P.AS_OF, "daily", 0.0, limit=None),
+               G.backtest(stored, P.AS_OF)):
+        assert "PartitionFilters: [isnotnull(detected_date" in _plan(df)
+    a = G.growth(stored, P.AS_OF, "weekly", 0.0, limit=None).collect()
+    b = G.growth(kw, P.AS_OF, "weekly", 0.0, limit=None).collect()
+    bag = lambda rows: sorted(map(repr, rows))
+    assert bag(a) == bag(b) and a
+    assert bag(G.backtest(stored, P.AS_OF).collect()) == bag(G.backtest(kw, P.AS_OF).collect())
