@@ -14,8 +14,8 @@ Plan for a table of texts keyed by ``keys`` (ONE shuffle, of text rows):
 5. top-k by ``row_number`` over (freq desc, first_pos)   no exchange, and no
    second sort: steps 3 and 5 share the window order
 
-A text is one row, so a group is bounded by one text's length; nothing is
-collected. Ties keep first-occurrence order (the reference's stable sort over
+A text is one row (its own id even when rows repeat their keys), so a group is
+bounded by one text's length; nothing is collected. Ties keep first-occurrence order (the reference's stable sort over
 an insertion-ordered dict). Dropping tokens before counting does not change the
 first-occurrence order of the tokens that remain.
 """
@@ -39,13 +39,22 @@ def with_frame_key(texts: DataFrame) -> DataFrame:
 
 
 def _clustered(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Texts with one id column ``_tid = struct(keys)``, hash-partitioned by it.
-
-    One attribute as the key keeps every later grouping and window satisfied by
-    this single partitioning, even when some key columns are constants that
-    Catalyst would fold out of a multi-column key.
+    """Texts with one id column ``_tid = struct(keys, _row)``, hash-partitioned by it.
+
+    ``_row`` gives every input row its own id, so each row is one text even when
+    rows repeat their keys (appended metadata keeps duplicates) and copies of one
+    text spread over tasks instead of forming one hot group. The id is fixed by
+    the scan's split and row order, so a recomputed task reproduces it. One
+    attribute as the key keeps every later grouping and window satisfied by this
+    single partitioning, even when some key columns are constants that Catalyst
+    would fold out of a multi-column key.
     """
-    return texts.withColumn("_tid", F.struct(*keys)).repartition("_tid")
+    tid = F.struct(*keys, F.monotonically_increasing_id().alias("_row"))
+    return texts.withColumn("_tid", tid).repartition("_tid")
+
+
+def _keys_of(keys: Sequence[str]) -> list:
+    return [F.col(f"_tid.{k}").alias(k) for k in keys]
 
 
 def _tokens(texts: DataFrame, outer: bool = False) -> DataFrame:
@@ -72,7 +81,7 @@ def tokens(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def token_freq(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys..., token, freq, first_pos) of non-numeric tokens, 1-based first position."""
-    return _freq(_tokens(_clustered(texts, keys))).select("_tid.*", "token", "freq", "first_pos")
+    return _freq(_tokens(_clustered(texts, keys))).select(*_keys_of(keys), "token", "freq", "first_pos")
 
 
 def _hits_by_lang(freq: Column, sw_langs: Column) -> dict[str, Column]:
@@ -96,7 +105,7 @@ def text_languages(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
     hits = _hits_by_lang(F.col("freq"), F.col("sw_langs"))
     per_text = tagged.groupBy("_tid").agg(*[F.sum(h).alias(f"h_{lang}") for lang, h in hits.items()])
     lang = _best_lang({lang: F.col(f"h_{lang}") for lang in hits})
-    return per_text.select("_tid.*", lang.alias("lang"))
+    return per_text.select(*_keys_of(keys), lang.alias("lang"))
 
 
 def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20) -> DataFrame:
@@ -123,7 +132,7 @@ def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20) -> DataFram
     return (with_lang.filter(~is_sw)
                      .withColumn("rank", F.row_number().over(ordered))
                      .filter(F.col("rank") <= top_k)
-                     .select("_tid.*", F.col("token").alias("keyword"), "rank"))
+                     .select(*_keys_of(keys), F.col("token").alias("keyword"), "rank"))
 
 
 def modal_keywords(texts: DataFrame, top_k: int = 20) -> DataFrame:

@@ -190,3 +190,14 @@ def test_insert_defaults(spark):
 def test_demo_limit_keeps_first_entries(spark):
     vids = _videos(spark, [dict(id=str(i), desc=f"word{i} text") for i in range(5)])
     assert [r.id for r in V.first_entries(vids, 2).collect()] == ["0", "1"]
+
+
+def test_repeated_text_rows_are_separate_texts(spark):
+    """Rows that repeat their keys (appended copies) are separate texts, one
+    keyword set each, never merged into one group."""
+    rows = [("v1", "ocr", 3, "alpha beta beta")] * 3 + [("v2", "caption", None, "gamma")]
+    texts = spark.createDataFrame(rows, MODAL_TEXTS)
+    out = sorted((r.video_id, r.keyword, r.rank) for r in X.modal_keywords(texts, 20).collect())
+    assert out == [("v1", "alpha", 2)] * 3 + [("v1", "beta", 1)] * 3 + [("v2", "gamma", 1)]
+    freq = X.token_freq(X.with_frame_key(texts), X.TEXT_KEYS).filter("token = 'beta'").collect()
+    assert [r.freq for r in freq] == [2, 2, 2]
