@@ -41,8 +41,12 @@ def extract_job(spark: SparkSession, videos: DataFrame, out: dict, as_of: _dt.da
     facts = V.extract_keyword_facts(good, as_of, top_k)
     IO.write_facts(facts, out["facts"], mode="append")
     if write_csv:
-        IO.write_keywords_csv(IO.read_facts(spark, out["facts"]).drop("detected_date"),
-                              out["keywords_csv"], mode="overwrite")
+        # S3: append this run's rows only (every row of a run is stamped with
+        # as_of), read back from the written table: one date partition is read,
+        # and the extraction is not recomputed.
+        run_rows = G.detected_between(IO.read_facts(spark, out["facts"]), as_of, as_of,
+                                      hi_inclusive=True)
+        IO.write_keywords_csv(run_rows.drop("detected_date"), out["keywords_csv"], mode="append")
 
 
 def clean_job(spark: SparkSession, out: dict) -> None:

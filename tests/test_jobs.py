@@ -41,3 +41,18 @@ def test_run_all(spark):
     direct = G.growth(facts, P.AS_OF, "weekly", 0.0, limit=None)
     assert trending.count() == direct.count()
     assert [r.metric_name for r in spark.read.parquet(out["metrics"]).collect()] == G.METRIC_NAMES
+
+
+def test_extract_runs_append_facts_and_csv(spark):
+    """Two scheduled runs: each appends its own rows to the facts and to the CSV."""
+    import datetime as dt
+    payloads = TB.video_payloads(spark, SF_SMALL).limit(40)
+    src = scratch_path(spark, "videos-json")
+    payloads.drop("entry_id").write.json(src)
+    out = J.paths(scratch_path(spark, "runs"))
+    for as_of in (P.AS_OF, P.AS_OF + dt.timedelta(hours=1)):
+        J.extract_job(spark, IO.read_videos(spark, src, multiline=False), out, as_of)
+    facts = IO.read_facts(spark, out["facts"]).drop("detected_date")
+    csv = IO.csv_as_facts(IO.read_keywords_csv(spark, out["keywords_csv"]))
+    assert facts.select("detected_at").distinct().count() == 2
+    assert _rows(csv) == _rows(facts)
