@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from kwpulse.operators import clean as C
 from kwpulse.operators import growth as G
 from kwpulse.operators import videos as V
 from kwpulse.plans import jobs as J
@@ -56,3 +57,7 @@ def test_extract_runs_append_facts_and_csv(spark):
     csv = IO.csv_as_facts(IO.read_keywords_csv(spark, out["keywords_csv"]))
     assert facts.select("detected_at").distinct().count() == 2
     assert _rows(csv) == _rows(facts)
+    J.clean_job(spark, out, P.AS_OF)
+    J.clean_job(spark, out, P.AS_OF)  # a rerun replaces its date partition
+    clean = spark.read.parquet(out["clean"]).drop("detected_date")
+    assert _rows(clean) == _rows(C.clean(facts))
