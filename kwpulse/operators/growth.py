@@ -118,15 +118,34 @@ METRIC_NAMES = ["videos_processed_last_24h", "keywords_extracted_last_24h",
 
 
 def metrics(kw: DataFrame, as_of: _dt.datetime, lookback: _dt.timedelta = _dt.timedelta(days=1)) -> DataFrame:
-    """Four pipeline metrics in one pass, returned as (name, value, time) rows."""
-    recent = F.col("detected_at") >= ts_lit(as_of - lookback)
-    one = kw.agg(
-        F.count_distinct(F.when(recent, F.col("video_id"))).alias("m0"),
-        F.count_if(recent).alias("m1"),
-        F.count_distinct(F.when(recent, F.col("keyword"))).alias("m2"),
-        F.count_if(F.col("stats").isNull()).alias("m3"))
-    stack = "stack(4, " + ", ".join(f"'{n}', CAST(m{i} AS DOUBLE)" for i, n in enumerate(METRIC_NAMES)) \
-        + ") AS (metric_name, metric_value)"
+    """Four pipeline metrics, returned as (metric_name, metric_value, metric_time) rows.
+
+    On the stored fact table (date-partitioned) the three recent metrics read only
+    the lookback's date partitions, and the all-time ``stats IS NULL`` count is a
+    pushed parquet filter that skips every row group without a NULL (footer
+    statistics), instead of decompressing the whole stats column each run. On a
+    derived frame neither applies, so all four come from one pass.
+    """
+    lo = as_of - lookback
+    recent = F.col("detected_at") >= ts_lit(lo)
+    distinct_videos = lambda c: F.count_distinct(F.when(c, F.col("video_id")))
+    distinct_kws = lambda c: F.count_distinct(F.when(c, F.col("keyword")))
+    if "detected_date" not in kw.columns:
+        one = kw.agg(distinct_videos(recent).alias("m0"), F.count_if(recent).alias("m1"),
+                     distinct_kws(recent).alias("m2"),
+                     F.count_if(F.col("stats").isNull()).alias("m3"))
+        return _stack(one, range(4), as_of)
+    last = F.lit(True)
+    recent_rows = detected_between(kw, lo=lo).agg(
+        distinct_videos(last).alias("m0"), F.count(F.lit(1)).alias("m1"), distinct_kws(last).alias("m2"))
+    missing = kw.filter(F.col("stats").isNull()).agg(F.count(F.lit(1)).alias("m3"))
+    return _stack(recent_rows, range(3), as_of).unionByName(_stack(missing, [3], as_of))
+
+
+def _stack(one: DataFrame, idx, as_of: _dt.datetime) -> DataFrame:
+    idx = list(idx)
+    stack = (f"stack({len(idx)}, " + ", ".join(f"'{METRIC_NAMES[i]}', CAST(m{i} AS DOUBLE)" for i in idx)
+             + ") AS (metric_name, metric_value)")
     return one.selectExpr(stack).withColumn("metric_time", ts_lit(as_of))
 
 

@@ -60,3 +60,21 @@ def test_stored_facts_prune_date_partitions(spark, tmp_path):
     bag = lambda rows: sorted(map(repr, rows))
     assert bag(a) == bag(b) and a
     assert bag(G.backtest(stored, P.AS_OF).collect()) == bag(G.backtest(kw, P.AS_OF).collect())
+
+
+def test_stored_metrics_prune_and_push_null_count(spark, tmp_path):
+    from kwpulse.operators import growth as G
+    from kwpulse.plans import params as P
+    from kwpulse.sources import files as IO
+    from kwpulse.sources import tables as TB
+
+    path = str(tmp_path / "facts")
+    kw = TB.keyword_facts(spark, SF_SMALL)
+    IO.write_facts(kw, path, mode="overwrite")
+    stored = IO.read_facts(spark, path)
+    plan = _plan(G.metrics(stored, P.AS_OF))
+    assert "PushedFilters: [IsNull(stats)]" in plan
+    assert "PartitionFilters: [isnotnull(detected_date" in plan
+    got = {r.metric_name: r.metric_value for r in G.metrics(stored, P.AS_OF).collect()}
+    want = {r.metric_name: r.metric_value for r in G.metrics(kw, P.AS_OF).collect()}
+    assert got == want and set(got) == set(G.METRIC_NAMES)
