@@ -65,6 +65,16 @@ def engagement_filter(kw: DataFrame, **minimums) -> DataFrame:
             .drop(*RAW.values()))
 
 
+def export_filtered(clean: DataFrame, path: str, regions: Sequence[str] | None = None,
+                    categories: Sequence[str] | None = None, modalities: Sequence[str] | None = None,
+                    start=None, end=None, mode: str = "overwrite") -> None:
+    """The API's filtered export — the F1/F2 filters, written as CSV with a
+    header (a distributed write: each task writes its own part file)."""
+    from kwpulse.sources.files import write_keywords_csv
+    rows = filter_dates(filter_in(clean, regions, categories, modalities), start, end)
+    write_keywords_csv(rows, path, mode=mode)
+
+
 def filter_equal(df: DataFrame, region: str | None = None, category: str | None = None) -> DataFrame:
     """optional equality on region / category."""
     if region:
