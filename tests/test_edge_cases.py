@@ -201,3 +201,15 @@ def test_repeated_text_rows_are_separate_texts(spark):
     assert out == [("v1", "alpha", 2)] * 3 + [("v1", "beta", 1)] * 3 + [("v2", "gamma", 1)]
     freq = X.token_freq(X.with_frame_key(texts), X.TEXT_KEYS).filter("token = 'beta'").collect()
     assert [r.freq for r in freq] == [2, 2, 2]
+
+
+def test_append_metadata_keeps_duplicates_and_skips_corrupt_old_file(spark, tmp_path):
+    """Old + new records, duplicates kept; a corrupt old file adds no good record."""
+    folder = str(tmp_path / "videos")
+    batch = _videos(spark, [dict(id="1", desc="alpha"), dict(id="2", desc="beta")]).drop("entry_id")
+    IO.append_videos(batch, folder)
+    IO.append_videos(batch, folder)  # the same records again: kept twice
+    (tmp_path / "videos" / "old-corrupt.json").write_text('{"id": "9", "desc": ')
+    good, bad = IO.split_quarantine(IO.read_videos(spark, folder, multiline=False))
+    assert sorted(r.id for r in good.collect()) == ["1", "1", "2", "2"]
+    assert bad.count() == 1
