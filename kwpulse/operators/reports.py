@@ -113,11 +113,16 @@ def category_compare(df: DataFrame) -> DataFrame:
 
 
 def filter_options(df: DataFrame) -> DataFrame:
-    """Distinct non-NULL values of region, category, modality as (field, value)."""
-    parts = [df.select(F.lit(c).alias("field"), F.col(c).alias("value"))
-               .filter(F.col("value").isNotNull()).distinct()
-             for c in ("region", "category", "modality")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Distinct non-NULL values of region, category, modality as (field, value).
+
+    One scan: each row emits its three (field, value) pairs, and one distinct
+    (partial per task, then one shuffle of the few distinct pairs) serves all three.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value"))
+                      for c in ("region", "category", "modality")])
+    return (df.select(F.inline(pairs))
+              .filter(F.col("value").isNotNull())
+              .distinct())
 
 
 def date_bounds(df: DataFrame, column: str = "posted_at") -> DataFrame:
