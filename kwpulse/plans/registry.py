@@ -119,10 +119,13 @@ def _detect_language(spark, sf):
 
 
 def _language_confusion(spark, sf):
-    langs = _detect_language(spark, sf)
-    truth = TB.read_table(spark, sf, "documents", "doc_id", "lang").select(
-        F.col("doc_id").cast("string").alias("video_id"), F.col("lang").alias("lang_true"))
-    return (truth.join(langs, "video_id").groupBy("lang_true", F.col("lang").alias("lang_detected"))
+    """Detected vs labelled language per document. The label rides along as one more
+    text key, so the documents are scanned once and nothing is joined back."""
+    docs = TB.read_table(configure(spark), sf, "documents", "doc_id", "text", "lang").select(
+        F.col("doc_id").cast("string").alias("video_id"), F.lit("caption").alias("modality"),
+        F.lit(-1).cast("bigint").alias("frame_k"), "text", F.col("lang").alias("lang_true"))
+    langs = X.text_languages(docs, [*X.TEXT_KEYS, "lang_true"])
+    return (langs.groupBy("lang_true", F.col("lang").alias("lang_detected"))
                  .agg(F.count(F.lit(1)).alias("docs")))
 
 
