@@ -81,24 +81,33 @@ def scatter(df: DataFrame, top_n: int = 20) -> DataFrame:
     """Per keyword mean virality/discussion, sums, first category —
     kept for the top keywords of ``top_keywords_modality``.
 
-    One aggregate serves both: the top list ranks keywords by the engagement of
-    their rows that have a modality (rows the keyword x modality table keeps), so
-    that sum is one more conditional column here and the top N is taken from the
-    per-keyword rows directly: one scan, one shuffle of partial aggregates.
-    "first" category follows the engagement-descending row order of the
-    dashboard: the category of the highest-engagement row that has one.
+    Two levels. First per (keyword, category), all buffers fixed-width (sums,
+    counts, max), so it is a hash aggregate with map-side combine over the fact
+    rows; picking a *string* per group (``min_by``) has a variable-width buffer,
+    which Spark runs as a sort-based aggregate, so it is kept for the second level,
+    over at most one row per keyword x category. "First" category follows the
+    engagement-descending row order of the dashboard: the category of the
+    highest-engagement row that has one (ties: category A-Z). The top list ranks
+    keywords by the engagement of their rows that have a modality (the rows the
+    keyword x modality table keeps), one more conditional sum; the top N is taken
+    from the per-keyword rows directly — no second scan, no join.
     """
+    per_cat = (df.filter(F.col("keyword").isNotNull())
+                 .groupBy("keyword", "category")
+                 .agg(F.sum("virality_index").alias("_vir_sum"), F.count("virality_index").alias("_vir_n"),
+                      F.sum("discussion_rate").alias("_disc_sum"), F.count("discussion_rate").alias("_disc_n"),
+                      F.sum("engagement_total").alias("_eng"), F.sum("playCount").alias("_plays"),
+                      F.sum(F.when(F.col("modality").isNotNull(), F.col("engagement_total"))).alias("_rank"),
+                      F.max("engagement_total").alias("_best")))
     first_key = F.when(F.col("category").isNotNull(),
-                       F.struct((-F.col("engagement_total")).alias("neg"), F.col("category").alias("v")))
-    rank = F.sum(F.when(F.col("modality").isNotNull(), F.col("engagement_total")))
-    agg = (df.filter(F.col("keyword").isNotNull())
-             .groupBy("keyword")
-             .agg(r6(F.avg("virality_index")).alias("avg_virality"),
-                  r6(F.avg("discussion_rate")).alias("avg_discussion"),
-                  F.sum("engagement_total").alias("total_engagement"),
-                  F.sum("playCount").alias("plays"),
-                  F.min_by("category", first_key).alias("category"),
-                  rank.alias("_rank")))
+                       F.struct((-F.col("_best")).alias("neg"), F.col("category").alias("v")))
+    agg = (per_cat.groupBy("keyword")
+                  .agg(r6(F.try_divide(F.sum("_vir_sum"), F.sum("_vir_n"))).alias("avg_virality"),
+                       r6(F.try_divide(F.sum("_disc_sum"), F.sum("_disc_n"))).alias("avg_discussion"),
+                       F.sum("_eng").alias("total_engagement"),
+                       F.sum("_plays").alias("plays"),
+                       F.min_by("category", first_key).alias("category"),
+                       F.sum("_rank").alias("_rank")))
     return (agg.filter(F.col("_rank").isNotNull())  # keywords without a modality row are not ranked
                .orderBy(F.desc("_rank"), F.asc("keyword")).limit(top_n).drop("_rank"))
 

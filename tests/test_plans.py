@@ -78,3 +78,15 @@ def test_stored_metrics_prune_and_push_null_count(spark, tmp_path):
     got = {r.metric_name: r.metric_value for r in G.metrics(stored, P.AS_OF).collect()}
     want = {r.metric_name: r.metric_value for r in G.metrics(kw, P.AS_OF).collect()}
     assert got == want and set(got) == set(G.METRIC_NAMES)
+
+
+def test_fact_rows_never_sort_aggregated(spark):
+    """Aggregates over fact rows are hash aggregates (map-side combine, no sort);
+    a string-valued pick (``min_by``) only ever runs on pre-aggregated rows."""
+    for name in ("scatter", "api_keywords", "top_keywords_modality", "dominant_modality",
+                 "category_compare", "region_map", "wb_scatter", "wb_top_keywords"):
+        lines = _plan(E.queries()[name](spark, SF_SMALL)).split("\n")
+        fact_aggs = [ln for ln in lines if "partial_sum(engagement_total" in ln
+                     or "partial_sum(playCount" in ln or "partial_avg(engagement_rate" in ln]
+        assert fact_aggs, name
+        assert all("HashAggregate" in ln and "SortAggregate" not in ln for ln in fact_aggs), name
