@@ -20,6 +20,7 @@ from kwpulse.operators import reports as R
 from kwpulse.operators import videos as V
 from kwpulse.operators import workbook as W
 from kwpulse.plans import params as P
+from kwpulse.plans.read_side import dashboard_window
 from kwpulse.session import configure, scratch_path
 from kwpulse.sources import files as IO
 from kwpulse.sources import tables as TB
@@ -40,17 +41,6 @@ def _dash(spark, sf):
     return C.dashboard_frame(_clean(spark, sf))
 
 
-def dashboard_window(dash: DataFrame) -> DataFrame:
-    """Dashboard default date range: first posting date .. last posting date + 1 day
-    (bounds as scalar subqueries — evaluated once, no driver round trip)."""
-    day = lambda c: c.cast("date").cast("timestamp_ntz")
-    bounds = dash.select(F.struct(day(F.min("posted_at")).alias("lo"),
-                                  day(F.max("posted_at")).alias("hi"))).scalar()
-    # both references are the same subquery: Spark runs it once (subquery reuse)
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
-    return dash.filter((F.col("posted_at") >= lo) & (F.col("posted_at") <= hi + F.expr("INTERVAL 1 DAY")))
-
-
 def _growth(name: str) -> Query:
     args = dict(P.GROWTH[name])
 
