@@ -6,7 +6,6 @@ import datetime as _dt
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed value: the keyword token pattern (Latin-1 letters, digits, apostrophe;
 # at least two characters).
@@ -31,29 +30,6 @@ def first_truthy(*cols: Column) -> Column:
     return F.coalesce(*[blank_to_null(c) for c in cols])
 
 
-# Every count is read as text first (a JSON number or a numeric string both
-# yield their text), then cast; one parse per row serves all five fields
-# (the same ``from_json`` expression is shared by subexpression elimination).
-STATS_TEXT_SCHEMA = T.StructType([T.StructField(f, T.StringType())
-                                  for f in ["collectCount", "commentCount", "diggCount",
-                                            "playCount", "shareCount"]])
-
-
-def parsed_stats(stats: Column) -> Column:
-    """JSON stats string -> struct of texts; invalid / non-object JSON -> NULL fields."""
-    return F.from_json(stats, STATS_TEXT_SCHEMA)
-
-
-def stat_raw(stats: Column, field: str) -> Column:
-    """Count as the database reads ``(stats->>'x')::int``; missing/invalid -> NULL."""
-    return parsed_stats(stats).getField(field).try_cast("bigint")
-
-
-def stat_count(stats: Column, field: str) -> Column:
-    """Count from a JSON stats string; invalid JSON, NULL or missing key -> 0."""
-    return F.coalesce(stat_raw(stats, field), F.lit(0).cast("bigint"))
-
-
 def safe_rate(num: Column, plays: Column) -> Column:
     return F.when(plays > 0, num / plays).otherwise(F.lit(0.0))
 

@@ -72,13 +72,6 @@ def _freq(toks: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("freq"), (F.min("pos") + 1).alias("first_pos")))
 
 
-def tokens(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys..., pos, token): every token of every text, 0-based position."""
-    return texts.select(*keys, F.posexplode(
-        F.regexp_extract_all(F.lower(F.col("text")), F.lit(TOKEN_PATTERN), F.lit(0))
-    ).alias("pos", "token"))
-
-
 def token_freq(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys..., token, freq, first_pos) of non-numeric tokens, 1-based first position."""
     return _freq(_tokens(_clustered(texts, keys))).select(*_keys_of(keys), "token", "freq", "first_pos")
