@@ -90,3 +90,12 @@ def test_fact_rows_never_sort_aggregated(spark):
                      or "partial_sum(playCount" in ln or "partial_avg(engagement_rate" in ln]
         assert fact_aggs, name
         assert all("HashAggregate" in ln and "SortAggregate" not in ln for ln in fact_aggs), name
+
+
+def test_single_scan_reports(spark):
+    """Each of these reads its source table once (no union of scans, no join back)."""
+    q = E.queries()
+    for name, table in (("filter_options", "events.parquet"), ("language_confusion", "documents.parquet"),
+                        ("wb_scatter", "events.parquet"), ("scatter", "events.parquet")):
+        plan = _plan(q[name](spark, SF_SMALL))
+        assert plan.count(f"{table}]") == 1, name
