@@ -76,7 +76,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
         joined = x.join(F.broadcast(r), "_key", "left")
     else:
         x = x.withColumn("_salt", F.pmod(F.xxhash64("_row", "_key"), F.lit(SALT)))
-        r = r.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).cast("long"))
+        r = r.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
         joined = x.join(r, ["_key", "_salt"], "left")
     fits = F.when(F.col("_digest") == F.col("_x"), F.col("_rule"))
     best = joined.groupBy("_row").agg(F.first("_id").alias("_id"), F.first("_host").alias("_host"),

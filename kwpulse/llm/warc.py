@@ -89,7 +89,7 @@ def _writer(folder: str):
             for r in b.to_pylist():
                 if out is None:
                     name, at = f"part-{uuid.uuid4().hex}.warc.gz", 0
-                    out = store.open_output_stream(f"{root}/{name}")
+                    out = store.open_output_stream(f"{root}/{name}", compression=None)
                 member = record(r["id"], r["url"], r["payload"], r["refers_to"])
                 out.write(member)
                 rows.append({"file": name, "offset": at, "length": len(member), "id": r["id"], "url": r["url"],
@@ -143,7 +143,7 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = 0, id_col:
         rows = rows.join(F.broadcast(copies), "_sha", "left")
     else:
         rows = rows.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALT)))
-        copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).cast("long"))
+        copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
         rows = rows.join(copies, ["_sha", "_salt"], "left")
     refers = F.when(F.col("id").isNull() | (F.col("id") != F.col("_first")), F.col("_first"))
     rows = rows.select("id", "url", "payload", refers.alias("refers_to"))
