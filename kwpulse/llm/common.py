@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -75,13 +75,13 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def slices(batches: Iterator[pa.RecordBatch], col: str, max_bytes: int = 8 << 20,
+def slices(batches: Iterator[pa.RecordBatch], col: str | Callable, max_bytes: int = 8 << 20,
            max_rows: int = 4096) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that the named text column of each has about ``max_bytes`` at most
+    """Cut Arrow batches so that the text column (its name, or a function of the batch) of each has about ``max_bytes`` at most
     (a single row may be longer): tasks hold only one slice of long texts at a time."""
     for b in batches:
-        col_i = b.column(b.schema.get_field_index(col))
-        sizes = np.array(pc.fill_null(pc.binary_length(col_i), 0))
+        texts = col(b) if callable(col) else column(b, col)
+        sizes = np.array(pc.fill_null(pc.binary_length(texts), 0))
         start, total = 0, 0
         for i, s in enumerate(sizes.tolist()):
             if i > start and (total + s > max_bytes or i - start >= max_rows):

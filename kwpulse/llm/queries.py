@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from kwpulse.llm import url_filter, warc
+from pyspark.sql import functions as F
+
+from kwpulse.llm import bpe, decontam, jaccard, licenses, line_dedup, pii, topk, toxicity, url_filter, warc
 from kwpulse.llm.common import table
 
+VOCABULARY_FILE = "word_bpe_49k.json"
+
 URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
@@ -19,8 +23,53 @@ def op10_url_filters(spark, sf_dir):
                             url_filter.rules_frame(spark, URL_RULES))
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY_FILE)
+
+
+def op2_bpe(spark, sf_dir):
+    return bpe.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary_path())
+
+
+def op3_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op4_jaccard(spark, sf_dir):
+    return jaccard.groups(table(spark, sf_dir, "documents", "doc_id", "text"), k=3, num=90, den=100)
+
+
+def op5_decontamination(spark, sf_dir):
+    out = decontam.mark(table(spark, sf_dir, "documents", "doc_id", "text"),
+                        table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op6_line_dedup(spark, sf_dir):
+    return line_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op7_pii(spark, sf_dir):
+    return pii.summary(pii.find(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op9_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries():
-    return {"op1_warc": op1_warc, "op10_url_filters": op10_url_filters}
+    return {f.__name__: f for f in (
+        op1_warc, op2_bpe, op3_topk, op4_jaccard, op5_decontamination, op6_line_dedup, op7_pii, op8_toxicity,
+        op9_licenses, op10_url_filters)}
 
 
 def _url_sql() -> str:

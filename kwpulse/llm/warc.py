@@ -18,6 +18,7 @@ from kwpulse.llm.common import column, shared_path, slices
 FILE_BYTES = 256 << 20  # an archive file is closed beyond this size
 GAP_BYTES = 64 << 10  # records at most this far apart are read together
 RANGE_BYTES = 8 << 20  # a joined read stays within this, but for one larger record
+SECTION_BYTES = 16 << 20  # of an archive file, read by one task
 BROADCAST_GROUPS = 200_000  # more payloads with copies than this are joined by a shuffle
 SALT = 16
 INDEX = ("file string, offset long, length long, id long, url string, payload_bytes long, "
@@ -189,11 +190,12 @@ def _reader(folder: str):
 def read_records(selected: DataFrame, path: str) -> DataFrame:
     """The records of the selected index rows (a subset of ``read_index``), parsed and checked.
 
-    Index rows are dealt by file and 64 MB section, sorted by offset, and neighbouring byte ranges are
-    read in one request of at most ``RANGE_BYTES`` (one larger record is read alone)."""
-    section = F.floor(F.col("offset") / (64 << 20))
+    Index rows are dealt by file and section of ``SECTION_BYTES`` to as many tasks as the bytes they
+    name ask for (the index itself is small), sorted by offset, and neighbouring byte ranges are read in one request of at most ``RANGE_BYTES`` (one larger record is read alone)."""
+    section = F.floor(F.col("offset") / SECTION_BYTES)
+    total = selected.agg(F.sum("length")).first()[0] or 0
     rows = (selected.select("file", "offset", "length").withColumn("_section", section)
-            .repartition("file", "_section").sortWithinPartitions("file", "offset")
+            .repartition(int(total // SECTION_BYTES) + 1, "file", "_section").sortWithinPartitions("file", "offset")
             .select("file", "offset", "length"))
     return rows.mapInArrow(_reader(f"{path}/archive"), RECORDS)
 
