@@ -25,7 +25,7 @@ _PATTERNS = {
     "candidate": r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+",
 }
 _GUARDS = {"email": "@", "ip": ".", "phone": "+"}
-_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 
 def luhn(digits: Column) -> Column:
