@@ -15,10 +15,11 @@ MIN_WORDS = 5  # shorter lines are always kept
 SIMILARITY = 0.9
 LANE = 22  # bits of a packed counter: three counters in a long, 22 longs for 64 bits
 BLOCKS = ((0, 22), (22, 22), (44, 20))  # offset and width of the SimHash blocks
-MAX_BITS = 14  # lines that share a block are compared if their SimHashes differ in so many bits at most
+MAX_BITS = 10  # lines that share a block are compared if their SimHashes differ in so many bits at most
 SMALL = 48  # lines in a block value up to which all its pairs are compared
-LEADER_ROUNDS = 6
-LONG_LINE = 4096  # characters from which word sets stand in for edit distance
+LEADER_ROUNDS = 2
+LONG_WORD, WEIGHT = 5, 4  # words of so many letters count so many times: function words would crowd the blocks
+LONG_LINE = 1024  # characters from which word sets stand in for edit distance
 BROADCAST = 200_000
 
 
@@ -28,20 +29,21 @@ def normalised(text: Column) -> Column:
 
 
 def simhash(lines: DataFrame) -> DataFrame:
-    """``id, line`` (one row per id) -> ``id, sim``: bit i is set if more than half of the words' hashes
-    have it. Each word adds its 64 hash bits, 3 to a long, to 22 sums, so that the work per word is a
-    few dozen machine operations in one hash aggregate; lines beyond a million words keep a defined
+    """``id, line`` (one row per id) -> ``id, sim, size`` (characters): bit i is set if the words whose
+    hashes have it weigh more than half. Each word adds its 64 hash bits, 3 to a long, to 22 sums, so that the work per word is a
+    few dozen machine operations in one hash aggregate; lines beyond 250,000 words keep a defined
     but coarser value."""
     mask = reduce(lambda a, j: a | 1 << (LANE * j), range(3), 0)
-    words = lines.select("id", F.explode(F.split("line", " ")).alias("w")).select("id", F.xxhash64("w").alias("h"))
-    sums = words.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *[
-        F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(mask))).alias(f"s{i}") for i in range(LANE)])
+    words = lines.select("id", F.length("line").alias("size"), F.explode(F.split("line", " ")).alias("w")).select(
+        "id", "size", F.when(F.length("w") >= LONG_WORD, WEIGHT).otherwise(1).cast("long").alias("x"), F.xxhash64("w").alias("h"))
+    sums = words.groupBy("id").agg(F.max("size").alias("size"), F.sum("x").alias("n"), *[
+        F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(mask)) * F.col("x")).alias(f"s{i}") for i in range(LANE)])
     bits = []
     for i in range(64):
         width = LANE if i < 2 * LANE else 64 - 2 * LANE
         ones = F.shiftrightunsigned(f"s{i % LANE}", i // LANE * LANE).bitwiseAND(F.lit((1 << width) - 1))
         bits.append(F.when(ones * 2 > F.col("n"), F.lit(1 << i if i < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long")))
-    return sums.select("id", reduce(lambda a, b: a.bitwiseOR(b), bits).alias("sim"))
+    return sums.select("id", "size", reduce(lambda a, b: a.bitwiseOR(b), bits).alias("sim"))
 
 
 def similar(a: str, b: str, similarity: float) -> Column:
@@ -60,17 +62,18 @@ def _few(df: DataFrame) -> DataFrame:
 
 
 def _links(lines: DataFrame, texts_of, similarity: float) -> DataFrame:
-    """``id, sim`` of the distinct lines -> verified links ``u, v``."""
+    """``id, size, sim`` of the distinct lines -> verified links ``u, v``."""
     block = F.array(*[F.struct(F.lit(k).alias("block"), F.shiftrightunsigned("sim", o).bitwiseAND(F.lit((1 << w) - 1)).alias("value"))
                       for k, (o, w) in enumerate(BLOCKS)])
-    keys = lines.select("id", "sim", F.explode(block).alias("k")).select("k.block", "k.value", "id", "sim")
+    keys = lines.select("id", "size", "sim", F.explode(block).alias("k")).select("k.block", "k.value", "id", "size", "sim")
     hot = written(keys.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SMALL)
                   .select("block", "value"), "lines-hot")
     hot = _few(hot)
 
     def pairs(k):
-        a, b = (k.select("block", "value", F.col("id").alias(i), F.col("sim").alias(s)) for i, s in (("u", "su"), ("v", "sv")))
-        close = F.bit_count(F.col("su").bitwiseXOR(F.col("sv"))) <= MAX_BITS
+        a, b = (k.select("block", "value", F.col("id").alias(x), F.col("sim").alias(f"s{x}"), F.col("size").alias(f"n{x}")) for x in "uv")
+        close = (F.bit_count(F.col("su").bitwiseXOR(F.col("sv"))) <= MAX_BITS) & (
+            (F.greatest("nu", "nv") >= LONG_LINE) | (F.least("nu", "nv") >= similarity * F.greatest("nu", "nv") - 1e-6))
         return a.join(b, (a["block"] == b["block"]) & (a["value"] == b["value"]) & (a["u"] > b["v"]) & close).select("u", "v").distinct()
 
     candidates = written(pairs(keys.join(hot, ["block", "value"], "left_anti")), "lines-pairs")
@@ -83,13 +86,13 @@ def _links(lines: DataFrame, texts_of, similarity: float) -> DataFrame:
         leader = rest.groupBy("block", "value").agg(F.min("id").alias("v"), F.count(F.lit(1)).alias("n"))
         led = written(rest.join(leader, ["block", "value"]), "lines-led")
         many = led.where(F.col("n") > SMALL)
-        links.append(_verified(written(pairs(led.where(F.col("n") <= SMALL).select("block", "value", "id", "sim")), "lines-pairs"),
+        links.append(_verified(written(pairs(led.where(F.col("n") <= SMALL).select("block", "value", "id", "size", "sim")), "lines-pairs"),
                                texts_of, similarity))
         found = _verified(written(many.where("id <> v").select(F.col("id").alias("u"), "v").distinct(), "lines-pairs"),
                           texts_of, similarity)
         links.append(found)
         rest = written(many.where("id <> v").join(found.withColumnRenamed("u", "id"), ["id", "v"], "left_anti")
-                       .select("block", "value", "id", "sim"), "lines-rest")
+                       .select("block", "value", "id", "size", "sim"), "lines-rest")
     else:
         if not rest.isEmpty():  # crowded by unlike lines: all pairs, in a join that splits
             links.append(_verified(written(pairs(rest), "lines-pairs"), texts_of, similarity))
