@@ -31,7 +31,7 @@ STOPWORDS = {
 DEFAULT_LANG = "en"
 LANGS = sorted(STOPWORDS)
 
-# ISO 3166-1 alpha-2 -> alpha-3 for the codes this library meets. "UK" is not
+# ISO 3166-1 alpha-2 -> alpha-3 for the codes of the test tables (``iso_df`` has all). "UK" is not
 # an ISO alpha-2 code (the kingdom is "GB"), so it deliberately has no entry.
 ISO_ALPHA2_TO_ALPHA3 = {
     "AR": "ARG", "BE": "BEL", "BR": "BRA", "CA": "CAN", "CH": "CHE", "CN": "CHN",
@@ -47,7 +47,6 @@ TPCH_NATION_CODES = ["DZ", "AR", "BR", "CA", "EG", "ET", "FR", "DE", "IN", "ID",
                      "JO", "KE", "MA", "MZ", "PE", "CN", "RO", "SA", "VN", "RU", "UK", "US"]
 
 # Collector grid and the workbook's selections.
-COLLECTOR_REGIONS = ["US", "DE", "FR", "UK", "IT", "ES", "NL", "BE", "CH"]
 COLLECTOR_CATEGORIES = ["music", "comedy", "sports", "dance", "beauty", "fashion", "food",
                         "pets", "travel", "education", "fitness", "diy", "gaming", "tech",
                         "entertainment", "lifehacks", "art", "memes", "automotive"]
@@ -82,7 +81,10 @@ def stopword_langs_df(spark: SparkSession) -> DataFrame:
 
 
 def iso_df(spark: SparkSession) -> DataFrame:
-    return _local(spark, sorted(ISO_ALPHA2_TO_ALPHA3.items()), ["alpha2", "alpha3"])
+    """Every ISO 3166-1 country, alpha-2 and alpha-3, as the JVM's locale data has them (about 250)."""
+    locale = spark.sparkContext._jvm.java.util.Locale
+    codes = sorted((c, locale("", c).getISO3Country()) for c in locale.getISOCountries())
+    return _local(spark, codes, ["alpha2", "alpha3"])
 
 
 def nation_codes_df(spark: SparkSession) -> DataFrame:

@@ -37,10 +37,15 @@ def raw_count(field: str):
     return F.col(RAW[field]).try_cast("bigint")
 
 
+def count_value(field: str):
+    """Count for the clean table: text and fractional spellings (``"12"``, ``12.0``) count too."""
+    return F.coalesce(raw_count(field), F.col(RAW[field]).try_cast("double").try_cast("bigint"))
+
+
 def expand_stats(kw: DataFrame) -> DataFrame:
     """Add the five counts; invalid/NULL/non-object JSON and missing keys give 0."""
     return (with_stat_texts(kw)
-            .withColumns({f: F.coalesce(raw_count(f), F.lit(0).cast("bigint")) for f in STAT_FIELDS})
+            .withColumns({f: F.coalesce(count_value(f), F.lit(0).cast("bigint")) for f in STAT_FIELDS})
             .drop(*RAW.values()))
 
 

@@ -60,11 +60,11 @@ def _keys_of(keys: Sequence[str]) -> list:
 def _tokens(texts: DataFrame, outer: bool = False) -> DataFrame:
     """(_tid, pos, token) for every non-numeric token; ``outer`` keeps token-less texts."""
     gen = F.posexplode_outer if outer else F.posexplode
-    t = texts.select("_tid", gen(
-        F.regexp_extract_all(F.lower(F.col("text")), F.lit(TOKEN_PATTERN), F.lit(0))
-    ).alias("pos", "token"))
-    keep = ~F.col("token").rlike(DIGITS_ONLY)
-    return t.filter(F.col("token").isNull() | keep) if outer else t.filter(keep)
+    found = F.regexp_extract_all(F.lower(F.col("text")), F.lit(TOKEN_PATTERN), F.lit(0))
+    if outer:  # digit-only tokens go before the rows are made, so that a text of them alone stays
+        found = F.filter(found, lambda x: ~x.rlike(DIGITS_ONLY))
+    t = texts.select("_tid", gen(found).alias("pos", "token"))
+    return t if outer else t.filter(~F.col("token").rlike(DIGITS_ONLY))
 
 
 def _freq(toks: DataFrame) -> DataFrame:

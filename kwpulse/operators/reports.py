@@ -45,6 +45,11 @@ def keyword_modality(df: DataFrame) -> DataFrame:
                    F.sum("playCount").alias("plays")))
 
 
+def keyword_modality_sheet(df: DataFrame) -> DataFrame:
+    """A9 in the dashboard's order, largest first."""
+    return keyword_modality(df).orderBy(F.desc("total_engagement"), "keyword", "modality")
+
+
 def dominant_modality(kw_mod: DataFrame) -> DataFrame:
     """Per keyword the modality with the highest engagement (ties: modality A-Z).
 
@@ -113,12 +118,13 @@ def scatter(df: DataFrame, top_n: int = 20) -> DataFrame:
 
 
 def category_compare(df: DataFrame) -> DataFrame:
-    """Per category total engagement, mean rate, distinct videos."""
+    """Per category total engagement, mean rate, distinct videos; largest first."""
     return (df.filter(F.col("category").isNotNull())
               .groupBy("category")
               .agg(F.sum("engagement_total").alias("total_engagement"),
                    r6(F.avg("engagement_rate")).alias("avg_engagement_rate"),
-                   F.count_distinct("video_id").alias("count_videos")))
+                   F.count_distinct("video_id").alias("count_videos"))
+              .orderBy(F.desc("total_engagement"), "category"))
 
 
 def filter_options(df: DataFrame) -> DataFrame:
@@ -131,7 +137,7 @@ def filter_options(df: DataFrame) -> DataFrame:
                       for c in ("region", "category", "modality")])
     return (df.select(F.inline(pairs))
               .filter(F.col("value").isNotNull())
-              .distinct())
+              .distinct().orderBy("field", "value"))
 
 
 def date_bounds(df: DataFrame, column: str = "posted_at") -> DataFrame:
@@ -146,13 +152,12 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int = 200, seed: int = 42) -> DataFrame:
-    """A repeatable pseudo-random sample of min(n, rows) rows.
+    """A pseudo-random sample of min(n, rows) rows, the same for the same seed and input split.
 
-    Rows are ranked by a seeded hash of their content; ``limit`` keeps a per-task
-    top-n, so only n rows per task reach the final merge.
+    Every row draws its own number, so equal rows are picked independently; ``limit`` keeps a
+    per-task top-n, so only n rows per task reach the final merge.
     """
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
-    return df.withColumn("_h", h).orderBy("_h").limit(n).drop("_h")
+    return df.withColumn("_r", F.rand(seed)).orderBy("_r").limit(n).drop("_r")
 
 
 def region_category_counts(df: DataFrame) -> DataFrame:

@@ -6,15 +6,17 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from kwpulse.functions.exprs import blank_to_null, epoch_seconds_to_ts, first_truthy, ts_lit
 from kwpulse.operators.extract import keywords, with_frame_key
 from kwpulse.schemas import KW_COLUMNS
 
 
-def _stats_json() -> Column:
-    """Compact JSON of the stats struct; a missing struct gives '{}' (never NULL)."""
-    return F.coalesce(F.to_json(F.col("stats")), F.lit("{}"))
+def _stats_json(raw: DataFrame) -> Column:
+    """The stats as JSON text, with all their keys; missing stats give '{}' (never NULL)."""
+    text = F.col("stats") if isinstance(raw.schema["stats"].dataType, StringType) else F.to_json("stats")
+    return F.coalesce(text, F.lit("{}"))
 
 
 def flatten_payload(raw: DataFrame) -> DataFrame:
@@ -24,7 +26,7 @@ def flatten_payload(raw: DataFrame) -> DataFrame:
         F.col("author.uniqueId").alias("username"), F.col("region"), F.col("category"),
         F.col("music.title").alias("music_title"),
         F.col("music.authorName").alias("music_author"),
-        _stats_json().alias("stats_json"))
+        _stats_json(raw).alias("stats_json"))
 
 
 def video_id(raw: DataFrame) -> Column:
@@ -48,7 +50,7 @@ def video_records(raw: DataFrame, as_of: _dt.datetime) -> DataFrame:
         "entry_id", video_id(raw).alias("video_id"),
         first_truthy(F.col("region"), F.lit("unknown")).alias("region"),
         blank_to_null(F.col("category")).alias("category"),
-        _stats_json().alias("stats"),
+        _stats_json(raw).alias("stats"),
         detected.alias("detected_at"),
         posted_at(raw, detected).alias("posted_at"))
 
@@ -83,6 +85,14 @@ def first_entries(raw: DataFrame, n: int) -> DataFrame:
     return raw.orderBy("entry_id").limit(n)
 
 
+def entry_texts(raw: DataFrame, texts: DataFrame) -> DataFrame:
+    """Texts of other modalities, keyed by ``video_id`` (schema ``MODAL_TEXTS``), as texts of
+    entries. Where several entries carry one id, its texts go to the first (so their keywords are
+    not repeated); texts of unknown ids are left out."""
+    first = raw.groupBy(video_id(raw).alias("video_id")).agg(F.min("entry_id").alias("entry_id"))
+    return texts.join(first, "video_id").select("entry_id", "modality", "frame", "text")
+
+
 def extract_keyword_facts(raw: DataFrame, as_of: _dt.datetime, top_k: int = 20,
                           extra_texts: DataFrame | None = None) -> DataFrame:
     """Metadata (+ optional per-frame texts keyed by entry_id) -> keyword facts.

@@ -30,16 +30,19 @@ def paths(out_dir: str) -> dict[str, str]:
 
 
 def extract_job(spark: SparkSession, videos: DataFrame, out: dict, as_of: _dt.datetime,
-                top_k: int = P.TOP_K, write_csv: bool = True, demo_limit: int | None = None) -> None:
+                top_k: int = P.TOP_K, write_csv: bool = True, demo_limit: int | None = None,
+                texts: DataFrame | None = None) -> None:
     """Metadata records -> keyword facts (parquet by detected date, + CSV);
     malformed records go to the quarantine folder. ``demo_limit`` (T9) keeps the
-    first n good records in input order."""
+    first n good records in input order. ``texts`` (X4): transcripts, OCR and the like, keyed
+    by ``video_id``, whose keywords join the facts."""
     good, bad = IO.split_quarantine(videos)
     bad.write.mode("append").json(out["quarantine"])
     good = V.ensure_entry_id(good)
     if demo_limit:
         good = V.first_entries(good, demo_limit)
-    facts = V.extract_keyword_facts(good, as_of, top_k)
+    extra = V.entry_texts(good, texts) if texts is not None else None
+    facts = IO.with_defaults(V.extract_keyword_facts(good, as_of, top_k, extra), as_of)
     IO.write_facts(facts, out["facts"], mode="append")
     if write_csv:
         # S3: append this run's rows only (every row of a run is stamped with
@@ -66,9 +69,9 @@ def clean_job(spark: SparkSession, out: dict, as_of: _dt.datetime | None = None)
        .partitionBy("detected_date").parquet(out["clean"]))
 
 
-def rollup_job(spark: SparkSession, out: dict, watermark: str = "3650 days") -> None:
+def rollup_job(spark: SparkSession, out: dict) -> None:
     """Refresh the hourly rollup incrementally (one availableNow stream run)."""
-    RS.stream_hourly_counts(spark, out["facts"], out["rollup"], out["rollup_ckpt"], watermark)
+    RS.stream_hourly_counts(spark, out["facts"], out["rollup"], out["rollup_ckpt"])
 
 
 def growth_job(spark: SparkSession, out: dict, as_of: _dt.datetime, time_window: str = "hourly",
@@ -84,16 +87,22 @@ def metrics_job(spark: SparkSession, out: dict, as_of: _dt.datetime) -> None:
 
 
 def run_all(spark: SparkSession, videos_path: str, out_dir: str, as_of: _dt.datetime,
-            growth_params: dict | None = None, multiline: bool = True) -> dict[str, str]:
+            growth_params: dict | None = None, multiline: bool = False,
+            growth_as_of: _dt.datetime | None = None, texts: DataFrame | None = None) -> dict[str, str]:
     """Extract -> clean -> rollup refresh -> growth -> metrics, in the scheduler's order,
-    with its growth parameters by default (hourly, 0.5, minimums 50/5/2/1000, top 20)."""
+    with its growth parameters by default (hourly, 0.5, minimums 50/5/2/1000, top 20).
+
+    Growth and metrics look back from ``growth_as_of``, by default a microsecond after the
+    extraction's stamp: their windows exclude their end, and the scheduled steps run after the
+    extraction, so the rows just extracted are in the current window."""
     configure(spark)
     out = paths(out_dir)
     gp = dict(growth_params or dict(time_window="hourly", growth_threshold=0.5, limit=20,
                                     **P.SCHEDULED_MINIMUMS))
-    extract_job(spark, IO.read_videos(spark, videos_path, multiline=multiline), out, as_of)
+    extract_job(spark, IO.read_videos(spark, videos_path, multiline=multiline), out, as_of, texts=texts)
     clean_job(spark, out, as_of)
     rollup_job(spark, out)
-    growth_job(spark, out, as_of, **gp)
-    metrics_job(spark, out, as_of)
+    later = growth_as_of or as_of + _dt.timedelta(microseconds=1)
+    growth_job(spark, out, later, **gp)
+    metrics_job(spark, out, later)
     return out

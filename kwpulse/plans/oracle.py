@@ -211,7 +211,7 @@ _CATS = "[" + ", ".join(_q(c) for c in dims.COLLECTOR_CATEGORIES) + "]"
 VIDEOS = f"""vp AS (
   SELECT doc_id AS entry_id, text, lang, source,
     CASE WHEN doc_id % 23 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN '' ELSE CAST(doc_id AS VARCHAR) END AS id,
-    CASE WHEN doc_id % 7 = 0 THEN text END AS caption,
+    CASE WHEN doc_id % 7 = 0 OR doc_id % 13 = 0 THEN text END AS caption,
     CASE WHEN doc_id % 13 = 0 THEN '' WHEN doc_id % 7 = 0 THEN NULL ELSE text END AS desc_,
     CASE WHEN doc_id % 9 = 0 THEN NULL
          ELSE CASE lang WHEN 'en' THEN 'US' WHEN 'de' THEN 'DE' WHEN 'fr' THEN 'FR'
@@ -379,7 +379,7 @@ def oracle_sql() -> dict[str, str]:
         "round(avg(virality_index), 6) AS avg_virality_index, "
         f"{_sum('engagement_total', 'sum_engagement_total')} FROM clean "
         "WHERE keyword IN (SELECT keyword FROM t30) "
-        f"AND (region IS NULL OR region NOT IN {_in(dims.WORKBOOK_EXCLUDED_REGIONS)}) "
+        f"AND (region IS NULL OR region NOT IN {_in(P.WB_EXCLUDED_REGIONS)}) "
         "GROUP BY keyword, region")
     q["wb_category"] = _with(CLEAN) + (
         f"SELECT category, {_sum('engagement_total', 'sum_engagement_total')}, "
@@ -392,7 +392,10 @@ def oracle_sql() -> dict[str, str]:
     q["backtest"] = backtest_sql(P.BACKTEST_DAYS_BACK, P.BACKTEST_HORIZON)
     q["metrics"] = metrics_sql()
     q["hourly_counts"] = _with(KW) + HOURLY_BODY.format(where="")
-    q["hourly_counts_stream"] = _with(KW) + HOURLY_BODY.format(where="WHERE posted_at IS NOT NULL")
+    q["hourly_counts_stream"] = q["hourly_counts"]
+    q["growth_stored"], q["backtest_stored"], q["metrics_stored"] = q["growth_weekly"], q["backtest"], q["metrics"]
+    q["sample_size"] = _with(DASH, dash_window) + (
+        f"SELECT least({P.SAMPLE_N}, count(*)) AS sampled, CAST(0 AS BIGINT) AS foreign_rows FROM win")
 
     # --- video metadata path
     q["video_flatten"] = _with(VIDEOS) + (
@@ -406,6 +409,12 @@ def oracle_sql() -> dict[str, str]:
                                   *keyword_ctes("src", ["entry_id", "modality", "frame_k"])) + (
         "SELECT r.video_id, t.keyword, t.modality, CAST(1.0 AS DOUBLE) AS confidence, r.detected_at, "
         "r.posted_at, r.region, r.category, r.stats FROM top t JOIN rec r ON t.entry_id = r.entry_id")
+    least = " AND ".join(f"{_stat(f)} >= {n}" for f, n in (("diggCount", 50), ("commentCount", 5),
+                                                           ("shareCount", 2), ("playCount", 1000)))
+    q["run_all_trending"] = (  # every row is new: two mentions or more grow from nothing, by 999
+        "SELECT keyword, region, category, CAST(count(*) AS INTEGER) AS mentions, CAST(999.0 AS DOUBLE) AS growth_rate "
+        f"FROM ({q['extract_keywords']}) WHERE {least} GROUP BY ALL HAVING count(*) >= 2 "
+        "ORDER BY keyword NULLS FIRST, region NULLS FIRST, category NULLS FIRST LIMIT 20")
     q["quarantine"] = _with(VIDEOS) + (
         ", lines AS (SELECT entry_id, COALESCE(NULLIF(id, ''), NULLIF(video_inner_id, ''), 'unknown') AS vid, "
         "to_json({'entry_id': entry_id, 'id': id, 'desc': desc_, 'region': region}) :: VARCHAR AS line "

@@ -36,14 +36,14 @@ END = _dt.datetime(2024, 1, 20)
 API_TOP_N = 50
 DASH_TOP_N = 20
 
-# Workbook sheets. Its category / modality filters list every member of its
-# extract; the equivalent selection on the driver data is every member present.
+# Workbook sheets; each selection leaves some members of the driver data out.
 WB_TOP_N = 10
 WB_MIN_TOTAL = 20000
 WB_MAX_TOTAL = None
 WB_SCATTER_TOP_N = 30
-WB_CATEGORIES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-WB_MODALITIES = ["click", "error", "purchase", "signup", "view"]
+WB_CATEGORIES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]
+WB_MODALITIES = ["click", "purchase", "signup", "view"]
+WB_EXCLUDED_REGIONS = dims.WORKBOOK_EXCLUDED_REGIONS + ["CN"]
 WB_REGION_SET = dims.WORKBOOK_REGION_SET + ["JP"]
 
 SAMPLE_N = 200

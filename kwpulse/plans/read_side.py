@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kwpulse.operators import clean as C
@@ -33,25 +33,10 @@ def api_export(clean: DataFrame, path: str, regions: Sequence[str] | None = None
     FL.export_filtered(clean, path, regions, categories, modalities, start, end)
 
 
-def default_date_window(dash: DataFrame) -> tuple[Column, Column]:
-    """The dashboard's default date range: first .. last posting date of the whole
-    loaded frame, as one scalar subquery (run once; both bounds reuse it)."""
-    day = lambda c: c.cast("date").cast("timestamp_ntz")
-    bounds = dash.select(F.struct(day(F.min("posted_at")).alias("lo"),
-                                  day(F.max("posted_at")).alias("hi"))).scalar()
-    return bounds.getField("lo"), bounds.getField("hi")
-
-
-def within_dates(rows: DataFrame, lo: Column, hi: Column) -> DataFrame:
-    """The dashboard's date filter: ``lo <= posted_at <= hi + 1 day`` (NULL never passes)."""
-    ts = F.col("posted_at")
-    return rows.filter((ts >= lo) & (ts <= hi + F.expr("INTERVAL 1 DAY")))
-
-
 def dashboard_window(dash: DataFrame) -> DataFrame:
-    """The dashboard frame under its default date range."""
-    lo, hi = default_date_window(dash)
-    return within_dates(dash, lo, hi)
+    """The dashboard frame under its default date range: from the first posting day of the whole
+    frame to a day after the last, so every row that has a posting date, in one scan."""
+    return dash.filter(F.col("posted_at").isNotNull())
 
 
 def dashboard_rows(clean: DataFrame, regions: Sequence[str] | None = None,
@@ -62,7 +47,7 @@ def dashboard_rows(clean: DataFrame, regions: Sequence[str] | None = None,
     dash = C.dashboard_frame(clean)
     rows = FL.filter_in(dash, regions, categories, modalities)
     if start is None and end is None:
-        rows = within_dates(rows, *default_date_window(dash))
+        rows = dashboard_window(rows)
     else:
         rows = FL.filter_dates(rows, start, end, end_plus_one_day=True)
     return R.top_rows(rows, top_n)

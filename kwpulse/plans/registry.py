@@ -7,6 +7,7 @@ DuckDB oracle (``kwpulse.plans.oracle``).
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from kwpulse.operators import growth as G
 from kwpulse.operators import reports as R
 from kwpulse.operators import videos as V
 from kwpulse.operators import workbook as W
+from kwpulse.plans import jobs as J
 from kwpulse.plans import params as P
 from kwpulse.plans.read_side import dashboard_window
 from kwpulse.session import configure, scratch_path
@@ -75,10 +77,37 @@ def _hourly_stream(spark, sf):
     facts = scratch_path(spark, "facts")
     IO.write_facts(_kw(spark, sf), facts, mode="overwrite")
     sink, ckpt = scratch_path(spark, "rollup"), scratch_path(spark, "rollup-ckpt")
-    RS.stream_hourly_counts(spark, facts, sink, ckpt, watermark="3650 days")
+    RS.stream_hourly_counts(spark, facts, sink, ckpt)
     return RS.read_rollup(spark, sink)
 
 
+def _stored(report) -> Query:
+    """A report over the written, date-partitioned fact table (its pruned path)."""
+    def q(spark, sf):
+        path = scratch_path(spark, "facts")
+        IO.write_facts(_kw(spark, sf), path, mode="overwrite")
+        return report(IO.read_facts(spark, path))
+    return q
+
+
+def _run_all_trending(spark, sf):
+    """Metadata as JSON lines -> extraction -> the scheduler's growth step over the rows just
+    extracted -> the trending table."""
+    src, out = scratch_path(spark, "videos"), J.paths(scratch_path(spark, "run"))
+    _payloads(spark, sf).drop("entry_id").write.json(src)
+    J.extract_job(spark, IO.read_videos(spark, src), out, P.AS_OF, write_csv=False)
+    J.growth_job(spark, out, P.AS_OF + _dt.timedelta(microseconds=1), "hourly", 0.5, limit=20, **P.SCHEDULED_MINIMUMS)
+    return spark.read.parquet(out["trending"]).select("keyword", "region", "category", "mentions", "growth_rate")
+
+
+def _sample_size(spark, sf):
+    """T8 by its invariants: how many rows are drawn, and how many of them are not input rows."""
+    rows = dashboard_window(_dash(spark, sf))
+    drawn = R.sample_rows(rows, P.SAMPLE_N, P.SAMPLE_SEED)
+    extra = drawn.exceptAll(rows).agg(F.count(F.lit(1)).alias("foreign_rows"))
+    return drawn.agg(F.count(F.lit(1)).alias("sampled")).join(extra)
+
+
 def _payloads(spark, sf):
     return TB.video_payloads(configure(spark), sf)
 
@@ -141,7 +170,7 @@ def queries() -> dict[str, Query]:
         "engagement_filter": lambda s, d: FL.engagement_filter(_kw(s, d), **P.SCHEDULED_MINIMUMS),
         # reports
         "api_keywords": lambda s, d: R.api_keywords(_clean(s, d), P.API_TOP_N),
-        "keyword_modality": lambda s, d: R.keyword_modality(_clean(s, d)),
+        "keyword_modality": lambda s, d: R.keyword_modality_sheet(_clean(s, d)),
         "dominant_modality": lambda s, d: R.dominant_modality(R.keyword_modality(_clean(s, d))),
         "top_keywords_modality": lambda s, d: R.top_keywords_modality(_clean(s, d), P.DASH_TOP_N),
         "region_map": lambda s, d: R.region_map(_dash(s, d)),
@@ -161,13 +190,19 @@ def queries() -> dict[str, Query]:
         "wb_top_keywords_all": lambda s, d: W.top_keywords_sheet(_clean(s, d), P.WB_TOP_N),
         "wb_region": lambda s, d: W.region_sheet(_clean(s, d), P.WB_CATEGORIES, P.WB_MODALITIES,
                                                  P.WB_REGION_SET),
-        "wb_scatter": lambda s, d: W.scatter_sheet(_clean(s, d), P.WB_SCATTER_TOP_N),
+        "wb_scatter": lambda s, d: W.scatter_sheet(_clean(s, d), P.WB_SCATTER_TOP_N,
+                                                   P.WB_EXCLUDED_REGIONS),
         "wb_category": lambda s, d: W.category_sheet(_clean(s, d)),
         # growth / backtest / metrics / rollup
         **{name: _growth(name) for name in P.GROWTH},
         "growth_rows": _growth_rows,
         "backtest": lambda s, d: G.backtest(_kw(s, d), P.AS_OF, P.BACKTEST_DAYS_BACK, P.BACKTEST_HORIZON),
         "metrics": lambda s, d: G.metrics(_kw(s, d), P.AS_OF),
+        "growth_stored": _stored(lambda f: G.growth(f, P.AS_OF, "weekly", 0.5, limit=50, **P.SCHEDULED_MINIMUMS)),
+        "backtest_stored": _stored(lambda f: G.backtest(f, P.AS_OF, P.BACKTEST_DAYS_BACK, P.BACKTEST_HORIZON)),
+        "metrics_stored": _stored(lambda f: G.metrics(f, P.AS_OF)),
+        "run_all_trending": _run_all_trending,
+        "sample_size": _sample_size,
         "hourly_counts": lambda s, d: G.hourly_counts(_kw(s, d)),
         "hourly_counts_stream": _hourly_stream,
         # video metadata path

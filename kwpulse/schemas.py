@@ -9,10 +9,10 @@ S, L, D, TS = T.StringType(), T.LongType(), T.DoubleType(), T.TimestampNTZType()
 STAT_FIELDS = ["collectCount", "commentCount", "diggCount", "playCount", "shareCount"]
 KPI_FIELDS = ["engagement_total", "engagement_rate", "virality_index", "discussion_rate", "save_rate"]
 
-# Raw video payload as a collector writes it (every field nullable).
+# Raw video payload as a collector writes it (every field nullable). ``stats`` keeps the
+# object's JSON text: all its keys, however their values are spelled.
 MUSIC = T.StructType([T.StructField("title", S), T.StructField("author", S),
                       T.StructField("authorName", S)])
-STATS = T.StructType([T.StructField(f, L) for f in STAT_FIELDS])
 VIDEO_INNER = T.StructType([T.StructField("id", S), T.StructField("playAddr", S),
                             T.StructField("createTime", S)])
 AUTHOR = T.StructType([T.StructField("uniqueId", S)])
@@ -21,7 +21,7 @@ VIDEO = T.StructType([
     T.StructField("id", S), T.StructField("url", S), T.StructField("caption", S),
     T.StructField("desc", S), T.StructField("username", S), T.StructField("region", S),
     T.StructField("category", S), T.StructField("createTime", S), T.StructField("playAddr", S),
-    T.StructField("music", MUSIC), T.StructField("stats", STATS),
+    T.StructField("music", MUSIC), T.StructField("stats", S),
     T.StructField("video", VIDEO_INNER), T.StructField("author", AUTHOR),
 ])
 
@@ -57,16 +57,5 @@ HOURLY = T.StructType([
     T.StructField("category", S), T.StructField("mentions", L),
 ])
 
-TRENDING = T.StructType([
-    T.StructField("keyword", S), T.StructField("region", S), T.StructField("category", S),
-    T.StructField("time_bucket", TS), T.StructField("mentions", T.IntegerType()),
-    T.StructField("growth_rate", D), T.StructField("time_window", S),
-    T.StructField("detected_at", TS),
-])
-
-METRICS = T.StructType([
-    T.StructField("metric_name", S), T.StructField("metric_value", D),
-    T.StructField("metric_time", TS),
-])
-
+# The spelling written; any spelling that casts to a timestamp is read.
 CSV_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"

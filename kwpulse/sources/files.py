@@ -15,22 +15,26 @@ from kwpulse.schemas import CSV_TS_FORMAT, KW, KW_CLEAN_CSV, KW_CSV, VIDEO
 from kwpulse.session import checkpoint_dir
 
 CORRUPT = "_corrupt_record"
-CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "multiLine": "true",
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"',
                "timestampNTZFormat": CSV_TS_FORMAT, "nullValue": "", "emptyValue": '""',
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 # ---- video metadata
 
-def read_videos(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """JSON array file(s) of records (``multiLine``) or JSON lines, PERMISSIVE.
+def read_videos(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """JSON lines, or with ``multiline`` file(s) holding one JSON array of records each.
 
-    Malformed records are kept with their text in ``_corrupt_record``; split them
-    off with ``split_quarantine``.
+    Every record is parsed by itself, so a malformed or mistyped one costs only itself: it is
+    kept with its own text in ``_corrupt_record``; split those off with ``split_quarantine``.
+    An array file is read by one task; JSON lines are split.
     """
-    schema = T.StructType(VIDEO.fields + [T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.schema(schema).option("multiLine", str(multiline).lower())
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    lines = spark.read.text(path, wholetext=multiline)
+    if multiline:
+        items = F.from_json("value", "array<string>", {"mode": "PERMISSIVE"})
+        # a file that is no array is one corrupt record
+        lines = lines.select(F.explode(F.coalesce(items, F.array("value"))).alias("value"))
+    return parse_video_lines(lines.filter(F.trim("value") != ""), "value")
 
 
 def parse_video_lines(lines: DataFrame, column: str = "line") -> DataFrame:
@@ -73,10 +77,18 @@ def write_keywords_csv(kw: DataFrame, path: str, mode: str = "append") -> None:
     out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
-def read_keywords_csv(spark: SparkSession, path: str, clean: bool = False) -> DataFrame:
-    """Typed CSV read (never inferred); a missing path raises."""
+def read_keywords_csv(spark: SparkSession, path: str, clean: bool = False, multiline: bool = False) -> DataFrame:
+    """Typed CSV read (never inferred); a missing path raises.
+
+    Timestamps may have a fraction and an offset or not (``2025-11-09 12:34:56.123456+00:00``);
+    they become UTC, unparsable ones NULL. ``multiline`` allows line breaks inside quoted values,
+    at the price of files that can't be split.
+    """
     schema = KW_CLEAN_CSV if clean else KW_CSV
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    times = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    texts = T.StructType([T.StructField(f.name, T.StringType()) if f.name in times else f for f in schema.fields])
+    rows = spark.read.schema(texts).options(**CSV_OPTIONS, multiLine=str(multiline).lower()).csv(path)
+    return rows.withColumns({c: F.col(c).try_cast("timestamp").cast("timestamp_ntz") for c in times})
 
 
 def csv_as_facts(df: DataFrame) -> DataFrame:

@@ -131,7 +131,7 @@ def video_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("entry_id"),
         (F.when(k % 23 == 0, null_s).when(k % 11 == 0, F.lit("")).otherwise(sid)).alias("id"),
         null_s.alias("url"),
-        F.when(k % 7 == 0, F.col("text")).otherwise(null_s).alias("caption"),
+        F.when((k % 7 == 0) | (k % 13 == 0), F.col("text")).otherwise(null_s).alias("caption"),
         (F.when(k % 13 == 0, F.lit("")).when(k % 7 == 0, null_s)
           .otherwise(F.col("text"))).alias("desc"),
         null_s.alias("username"),

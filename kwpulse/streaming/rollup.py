@@ -1,76 +1,58 @@
-"""The hourly rollup kept up to date incrementally.
-
-Two refresh paths over a fact table stored as parquet partitioned by
-``detected_date``:
-
-* ``stream_hourly_counts`` — Structured Streaming: file source -> watermark on
-  ``posted_at`` -> 1-hour ``window`` count, update mode, ``availableNow``
-  trigger per refresh. Each micro-batch appends the groups it changed with their
-  new totals and the batch id; ``read_rollup`` keeps the latest total per group
-  (``max_by(mentions, batch_id)``), so a retried batch is harmless. Rows later
-  than the watermark delay, and rows without ``posted_at``, are not counted —
-  choose a delay longer than the latest arrival you need to count.
-* ``refresh_hours_batch`` — exact fallback: recompute only the hours touched
-  by rows detected since the last refresh and overwrite those hour partitions
-  (dynamic partition overwrite). Never drops late rows.
+"""The hourly rollup kept up to date incrementally, as additive deltas.
+
+Counts add up, so a refresh needs no state and no watermark: every micro-batch of new
+fact files is counted by itself and written to the ``batch_id`` partition of the rollup
+table (dynamic partition overwrite, so a retried batch replaces its own rows).
+``read_rollup`` sums the deltas; ``compact_rollup`` folds the old ones into one. Late rows
+count whenever they arrive, and rows without ``posted_at`` form the NULL bucket, as in
+the batch rollup.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kwpulse.operators.growth import detected_between, hourly_counts
+from kwpulse.operators.growth import hourly_counts
+from kwpulse.schemas import HOURLY
 from kwpulse.sources.files import read_facts
 
-GROUP = ["keyword", "region", "category"]
+GROUP = ["bucket", "keyword", "region", "category"]
 
 
 def stream_hourly_counts(spark: SparkSession, facts_path: str, sink_path: str,
-                         checkpoint_path: str, watermark: str = "31 days",
-                         max_files_per_trigger: int | None = None) -> None:
-    """Run one availableNow refresh of the streamed rollup (blocks until done)."""
+                         checkpoint_path: str, max_files_per_trigger: int | None = None) -> None:
+    """Run one availableNow refresh (blocks until done): count the fact files that are new
+    since the checkpoint. Only they are read, whatever hours their rows belong to."""
     src = spark.readStream.schema(read_facts(spark, facts_path).schema)
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", max_files_per_trigger)
-    facts = src.parquet(facts_path)
-    agg = (facts.filter(F.col("posted_at").isNotNull())
-                .withColumn("event_time", F.col("posted_at").cast("timestamp"))
-                .withWatermark("event_time", watermark)
-                .groupBy(F.window("event_time", "1 hour").alias("w"), *GROUP)
-                .agg(F.count(F.lit(1)).alias("mentions")))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(F.col("w.start").cast("timestamp_ntz").alias("bucket"), *GROUP,
-                      "mentions", F.lit(batch_id).cast("bigint").alias("batch_id"))
-              .write.mode("append").parquet(sink_path))
+        _write_delta(hourly_counts(batch), sink_path, batch_id)
+
+    (src.parquet(facts_path).writeStream.foreachBatch(sink)
+        .option("checkpointLocation", checkpoint_path)
+        .trigger(availableNow=True).start().awaitTermination())
+
+
+def _write_delta(counts: DataFrame, sink_path: str, batch_id: int) -> None:
+    (counts.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("batch_id").parquet(sink_path))
 
-    q = (agg.writeStream.outputMode("update").foreachBatch(sink)
-            .option("checkpointLocation", checkpoint_path)
-            .trigger(availableNow=True).start())
-    q.awaitTermination()
+
+def _deltas(spark: SparkSession, sink_path: str) -> DataFrame:
+    return spark.read.schema(T.StructType(HOURLY.fields + [T.StructField("batch_id", T.LongType())])).parquet(sink_path)
 
 
 def read_rollup(spark: SparkSession, sink_path: str) -> DataFrame:
-    """Latest total per (bucket, keyword, region, category)."""
-    return (spark.read.parquet(sink_path)
-                 .groupBy("bucket", *GROUP)
-                 .agg(F.max_by("mentions", "batch_id").alias("mentions")))
-
-
-def refresh_hours_batch(spark: SparkSession, facts_path: str, rollup_path: str,
-                        since: _dt.datetime) -> None:
-    """Exact refresh: hours touched by rows detected at/after ``since`` are recomputed
-    from all their rows and their ``bucket_date`` partitions are overwritten."""
-    facts = read_facts(spark, facts_path)
-    touched = (detected_between(facts, lo=since)
-                    .select(F.to_date(F.date_trunc("hour", "posted_at")).alias("bucket_date"))
-                    .distinct())
-    rows = facts.withColumn("bucket_date", F.to_date(F.date_trunc("hour", "posted_at")))
-    rows = rows.join(F.broadcast(touched), rows.bucket_date.eqNullSafe(touched.bucket_date),
-                     "left_semi")  # at most one row per calendar day: bounded
-    out = hourly_counts(rows).withColumn("bucket_date", F.to_date("bucket"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket_date").parquet(rollup_path))
+    """Mentions per (bucket, keyword, region, category): the sum of the deltas."""
+    return _deltas(spark, sink_path).groupBy(*GROUP).agg(F.sum("mentions").alias("mentions"))
+
+
+def compact_rollup(spark: SparkSession, sink_path: str, compacted_path: str) -> None:
+    """Write the rollup as one delta to a new folder, which then takes the old one's place
+    (with the same streaming checkpoint: later batch ids never meet the compacted one, -1)."""
+    _write_delta(read_rollup(spark, sink_path), compacted_path, -1)

@@ -162,7 +162,7 @@ def test_json_array_file(spark, tmp_path):
     p = tmp_path / "arr.json"
     p.write_text('[{"id": "1", "desc": "Hello World", "stats": {"playCount": 7}},\n'
                  ' {"id": "2", "music": {"title": "T", "authorName": "A"}}]')
-    good, _ = IO.split_quarantine(IO.read_videos(spark, str(p)))
+    good, _ = IO.split_quarantine(IO.read_videos(spark, str(p), multiline=True))
     recs = {r.video_id: r.stats for r in V.video_records(V.ensure_entry_id(good), AS_OF).collect()}
     assert recs["2"] == "{}" and '"playCount":7' in recs["1"]
 
@@ -181,6 +181,24 @@ def test_unparsable_timestamp_becomes_null(spark, tmp_path):
     assert r.stats_json == '{"playCount": 3}'
 
 
+def test_csv_timestamp_spellings(spark, tmp_path):
+    p = tmp_path / "kw.csv"
+    head = "video_id,keyword,modality,confidence,detected_at,posted_at,region,category,stats_json\n"
+    p.write_text(head + "1,k,caption,1.0,2025-11-09 12:34:56.123456+00:00,2024-01-01 00:00:00,US,m,{}\n"
+                 "2,k,caption,1.0,2025-11-09 12:34:56+02:00,nan,US,m,{}\n")
+    got = [(r.detected_at, r.posted_at) for r in IO.read_keywords_csv(spark, str(p)).orderBy("video_id").collect()]
+    assert got == [(dt.datetime(2025, 11, 9, 12, 34, 56, 123456), dt.datetime(2024, 1, 1)),
+                   (dt.datetime(2025, 11, 9, 10, 34, 56), None)]
+
+
+def test_all_countries_and_digit_only_texts(spark):
+    df = C.clean(kw_rows(spark, [dict(region=c) for c in ("SE", "PL", "MX", "KR", "XX")]))
+    assert {(r.region, r.iso3) for r in C.dashboard_frame(df).collect()} == {
+        ("SE", "SWE"), ("PL", "POL"), ("MX", "MEX"), ("KR", "KOR"), ("XX", None)}
+    texts = X.with_frame_key(spark.createDataFrame([("v", "ocr", 1, "2024 42"), ("w", "ocr", 1, "das ist nicht")], MODAL_TEXTS))
+    assert sorted((r.video_id, r.lang) for r in X.text_languages(texts, X.TEXT_KEYS).collect()) == [("v", "en"), ("w", "de")]
+
+
 def test_insert_defaults(spark):
     df = kw_rows(spark, [dict(posted_at=None)])
     out = IO.with_defaults(df, AS_OF, columns=("posted_at",)).first()

@@ -50,10 +50,10 @@ def test_stream_equals_batch_out_of_order_files(spark):
     facts = scratch_path(spark, "facts")
     IO.write_facts(kw, facts, mode="overwrite")
     sink, ckpt = scratch_path(spark, "rollup"), scratch_path(spark, "ckpt")
-    # one file per micro-batch: groups are updated across batches, latest total wins
-    RS.stream_hourly_counts(spark, facts, sink, ckpt, watermark="3650 days", max_files_per_trigger=1)
+    # one file per micro-batch: deltas of several batches add up
+    RS.stream_hourly_counts(spark, facts, sink, ckpt, max_files_per_trigger=1)
     streamed = RS.read_rollup(spark, sink)
-    batch = G.hourly_counts(kw.filter(F.col("posted_at").isNotNull()))
+    batch = G.hourly_counts(kw)
     assert _rows(streamed) == _rows(batch)
     assert spark.read.parquet(sink).select("batch_id").distinct().count() > 1
 
@@ -65,24 +65,25 @@ def test_stream_refresh_is_incremental(spark):
     facts = scratch_path(spark, "facts")
     sink, ckpt = scratch_path(spark, "rollup"), scratch_path(spark, "ckpt")
     IO.write_facts(first, facts, mode="append")
-    RS.stream_hourly_counts(spark, facts, sink, ckpt, watermark="3650 days")
+    RS.stream_hourly_counts(spark, facts, sink, ckpt)
     IO.write_facts(rest, facts, mode="append")
-    RS.stream_hourly_counts(spark, facts, sink, ckpt, watermark="3650 days")
-    batch = G.hourly_counts(kw.filter(F.col("posted_at").isNotNull()))
+    RS.stream_hourly_counts(spark, facts, sink, ckpt)
+    batch = G.hourly_counts(kw)
     assert _rows(RS.read_rollup(spark, sink)) == _rows(batch)
 
 
-def test_batch_refresh_recomputes_touched_hours(spark):
-    kw = TB.keyword_facts(spark, SF_SMALL)
-    facts, rollup = scratch_path(spark, "facts"), scratch_path(spark, "rollup-b")
-    IO.write_facts(kw.filter(F.col("detected_at") < F.lit("2024-01-20").cast("timestamp_ntz")),
-                   facts, mode="append")
-    RS.refresh_hours_batch(spark, facts, rollup, P.AS_OF.replace(year=2000))
-    IO.write_facts(kw.filter(F.col("detected_at") >= F.lit("2024-01-20").cast("timestamp_ntz")),
-                   facts, mode="append")
-    RS.refresh_hours_batch(spark, facts, rollup, P.AS_OF.replace(day=20))
-    got = spark.read.parquet(rollup).drop("bucket_date")
-    assert _rows(got) == _rows(G.hourly_counts(kw))
+def test_late_and_null_rows_count_over_three_refreshes(spark):
+    from conftest import kw_rows, ts
+    facts, sink, ckpt = (scratch_path(spark, x) for x in ("facts", "rollup", "ckpt"))
+    batches = [[dict(posted_at=ts("2024-01-20 10:00:00"))], [dict(posted_at=None), dict(posted_at=ts("2001-01-01 00:30:00"))],
+               [dict(posted_at=ts("2024-01-20 10:59:59"))]]
+    for b in batches:
+        IO.write_facts(kw_rows(spark, b), facts, mode="append")
+        RS.stream_hourly_counts(spark, facts, sink, ckpt)
+    want = _rows(G.hourly_counts(kw_rows(spark, [r for b in batches for r in b])))
+    assert _rows(RS.read_rollup(spark, sink)) == want and len(want) == 3
+    RS.compact_rollup(spark, sink, sink + "-c")
+    assert _rows(RS.read_rollup(spark, sink + "-c")) == want
 
 
 def test_csv_roundtrip_keeps_values(spark):

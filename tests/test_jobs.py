@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -37,16 +39,34 @@ def test_run_all(spark):
     csv = IO.csv_as_facts(IO.read_keywords_csv(spark, out["keywords_csv"]))
     assert _rows(csv) == _rows(facts)
     rollup = spark.read.parquet(out["rollup"]).agg(F.sum("mentions")).first()[0]
-    assert rollup == facts.filter(F.col("posted_at").isNotNull()).count()
+    assert rollup == facts.count()
     trending = spark.read.parquet(out["trending"])
-    direct = G.growth(facts, P.AS_OF, "weekly", 0.0, limit=None)
-    assert trending.count() == direct.count()
+    direct = G.growth(facts, P.AS_OF + dt.timedelta(microseconds=1), "weekly", 0.0, limit=None)
+    assert 0 < trending.count() == direct.count()
     assert [r.metric_name for r in spark.read.parquet(out["metrics"]).collect()] == G.METRIC_NAMES
 
 
+def test_scheduled_growth_sees_the_run_and_its_texts(spark):
+    """The scheduler's own parameters: five records over the minimums, and texts by video id."""
+    stats = '{"diggCount": "60", "commentCount": 6.0, "shareCount": 3, "playCount": 2000, "other": 1}'
+    src = scratch_path(spark, "videos-array")
+    body = ", ".join('{"id": "v%d", "desc": "wonder rocket", "region": "US", "stats": %s}' % (i, s) for i, s in
+                     enumerate([stats.replace('"60"', "60").replace("6.0", "6")] * 5 + [stats]))
+    spark.createDataFrame([("[" + body + ', "no record", {"id": "w", "music": 3}]',)], "value string").coalesce(1).write.text(src)
+    texts = spark.createDataFrame([("v0", "ocr", 1, "banner"), ("v1", "transcript", None, "banner"), ("zz", "ocr", 1, "lost")],
+                                  "video_id string, modality string, frame long, text string")
+    out = J.run_all(spark, src, scratch_path(spark, "run"), P.AS_OF, multiline=True, texts=texts)
+    rows = {(r.keyword, r.mentions, r.growth_rate) for r in spark.read.parquet(out["trending"]).collect()}
+    assert {("wonder", 5, 999.0), ("rocket", 5, 999.0), ("banner", 2, 999.0)} <= rows and len(rows) == 3
+    bad = spark.read.option("columnNameOfCorruptRecord", "x").json(out["quarantine"])
+    assert bad.count() == 2 and max(len(r._corrupt_record) for r in bad.collect()) < 40
+    clean = spark.read.parquet(out["clean"])
+    assert {(r.diggCount, r.commentCount) for r in clean.filter("video_id = 'v5'").collect()} == {(60, 6)}
+    assert all('"other":1' in r.stats for r in clean.collect())
+
+
 def test_extract_runs_append_facts_and_csv(spark):
     """Two scheduled runs: each appends its own rows to the facts and to the CSV."""
-    import datetime as dt
     payloads = TB.video_payloads(spark, SF_SMALL).limit(40)
     src = scratch_path(spark, "videos-json")
     payloads.drop("entry_id").write.json(src)

@@ -7,10 +7,11 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from kwpulse.plans import oracle, registry
 from tools.oracle_check import TABLES, digest
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
