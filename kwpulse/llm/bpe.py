@@ -34,7 +34,7 @@ class Vocabulary:
     alone, yields that pair; ``compatible`` tests this by undoing merges, for whole arrays at once.
     """
 
-    MAX_CACHE = 400_000
+    MAX_CACHE = 1_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -168,12 +168,10 @@ class Vocabulary:
             for i in np.unique(np.searchsorted(ends, wrong, side="right")).tolist():
                 out[i] = self.merge(letters[i] + self.suffix)
             found = {w: tuple(x) for w, x in zip(new, out, strict=True)}
-            if len(self.cache) + len(found) > self.MAX_CACHE:
-                self.cache.clear()
-            result = [found.get(w) or self.cache.get(w) or self.encode_words([w])[0] for w in words]
-            self.cache.update((w, x) for w, x in found.items() if len(w) < 64)
-            return result
-        return [self.cache[w] for w in words]
+        result = [found[w] if w in found else self.cache[w] for w in words]
+        room = self.MAX_CACHE - len(self.cache)  # frequent words come early and stay
+        self.cache.update((w, found[w]) for w in new[:max(0, room)] if len(w) < 64)
+        return result
 
     def words(self, text: str) -> list[str]:
         """The normalised text, split into words. Latin letters go by Python's own functions, which
