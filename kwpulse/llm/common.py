@@ -126,8 +126,7 @@ def components(edges: DataFrame, name: str, rounds: int = 60) -> DataFrame:
         # large star: every neighbour above u goes to the least of u's neighbourhood
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = edges_of(large)
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # small star: the neighbours below u, and u itself, go to the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")

@@ -61,49 +61,57 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST + 1).count() <= BROADCAST else df
 
 
+def _lengths_fit(a: str, b: str, similarity: float) -> Column:
+    """Lengths that edit similarity allows; long lines are not compared by it."""
+    return (F.greatest(a, b) >= LONG_LINE) | (F.least(a, b) >= similarity * F.greatest(a, b) - 1e-6)
+
+
 def _links(lines: DataFrame, texts_of, similarity: float) -> DataFrame:
-    """``id, size, sim`` of the distinct lines -> verified links ``u, v``."""
+    """``id, size, sim`` of the distinct lines -> verified links ``u, v``, enough to connect what is linked.
+
+    Each round compares the lines of a block value with its leader. Two lines that both fit the leader are
+    connected by that and not compared again; the other pairs of a value of up to ``SMALL`` lines are
+    candidates, and in a crowded value the lines that don't fit go on to the next leader."""
     block = F.array(*[F.struct(F.lit(k).alias("block"), F.shiftrightunsigned("sim", o).bitwiseAND(F.lit((1 << w) - 1)).alias("value"))
                       for k, (o, w) in enumerate(BLOCKS)])
-    keys = lines.select("id", "size", "sim", F.explode(block).alias("k")).select("k.block", "k.value", "id", "size", "sim")
-    hot = written(keys.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SMALL)
-                  .select("block", "value"), "lines-hot")
-    hot = _few(hot)
+    rest = lines.select("id", "size", "sim", F.explode(block).alias("k")).select("k.block", "k.value", "id", "size", "sim")
 
     def pairs(k):
-        a, b = (k.select("block", "value", F.col("id").alias(x), F.col("sim").alias(f"s{x}"), F.col("size").alias(f"n{x}")) for x in "uv")
-        close = (F.bit_count(F.col("su").bitwiseXOR(F.col("sv"))) <= MAX_BITS) & (
-            (F.greatest("nu", "nv") >= LONG_LINE) | (F.least("nu", "nv") >= similarity * F.greatest("nu", "nv") - 1e-6))
-        return a.join(b, (a["block"] == b["block"]) & (a["value"] == b["value"]) & (a["u"] > b["v"]) & close).select("u", "v").distinct()
-
-    candidates = written(pairs(keys.join(hot, ["block", "value"], "left_anti")), "lines-pairs")
-    links = [_verified(candidates, texts_of, similarity)]
-    rest = written(keys.join(hot, ["block", "value"], "left_semi"), "lines-rest")
-    for k in range(LEADER_ROUNDS):
+        a, b = (k.select("block", "value", F.col("id").alias(x), F.col("sim").alias(f"s{x}"), F.col("size").alias(f"n{x}"),
+                         F.col("fits").alias(f"f{x}")) for x in "uv")
+        close = (F.bit_count(F.col("su").bitwiseXOR(F.col("sv"))) <= MAX_BITS) & _lengths_fit("nu", "nv", similarity)
+        return a.join(b, (a["block"] == b["block"]) & (a["value"] == b["value"]) & (a["u"] > b["v"])
+                      & ~(a["fu"] & b["fv"]) & close).select("u", "v")
+
+    links, candidates = [], []
+    for _ in range(LEADER_ROUNDS):
+        leader = rest.groupBy("block", "value").agg(F.min(F.struct("id", "sim", "size")).alias("lead"), F.count(F.lit(1)).alias("n"))
+        led = written(rest.join(leader.where("n > 1"), ["block", "value"]).select(
+            "block", "value", "id", "size", "sim", "n", F.col("lead.id").alias("v"),
+            (_lengths_fit("size", "lead.size", similarity) & ((F.col("n") > SMALL) | (
+                F.bit_count(F.col("sim").bitwiseXOR(F.col("lead.sim"))) <= MAX_BITS))).alias("near")), "lines-led")
+        found = _verified(led.where("near AND id <> v").select(F.col("id").alias("u"), "v").distinct(), texts_of, similarity)
+        links.append(found)
+        fits = found.select(F.col("u").alias("id"), "v", F.lit(True).alias("fits"))
+        led = written(led.join(_few(fits), ["id", "v"], "left").select(
+            "block", "value", "id", "size", "sim", "n", (F.col("fits").isNotNull() | (F.col("id") == F.col("v"))).alias("fits")),
+            "lines-fits")
+        candidates.append(pairs(led.where(F.col("n") <= SMALL)))
+        rest = led.where((F.col("n") > SMALL) & ~F.col("fits")).select("block", "value", "id", "size", "sim")
         if rest.isEmpty():
             break
-        # in a crowded block value, lines join its leader; those that don't fit it go on without it
-        leader = rest.groupBy("block", "value").agg(F.min("id").alias("v"), F.count(F.lit(1)).alias("n"))
-        led = written(rest.join(leader, ["block", "value"]), "lines-led")
-        many = led.where(F.col("n") > SMALL)
-        links.append(_verified(written(pairs(led.where(F.col("n") <= SMALL).select("block", "value", "id", "size", "sim")), "lines-pairs"),
-                               texts_of, similarity))
-        found = _verified(written(many.where("id <> v").select(F.col("id").alias("u"), "v").distinct(), "lines-pairs"),
-                          texts_of, similarity)
-        links.append(found)
-        rest = written(many.where("id <> v").join(found.withColumnRenamed("u", "id"), ["id", "v"], "left_anti")
-                       .select("block", "value", "id", "size", "sim"), "lines-rest")
-    else:
-        if not rest.isEmpty():  # crowded by unlike lines: all pairs, in a join that splits
-            links.append(_verified(written(pairs(rest), "lines-pairs"), texts_of, similarity))
+    else:  # crowded by unlike lines: all pairs, in a join that splits
+        candidates.append(pairs(rest.withColumn("fits", F.lit(False))))
+    links.append(_verified(reduce(DataFrame.unionByName, candidates).distinct(), texts_of, similarity))
     return reduce(DataFrame.unionByName, links)
 
 
 def _verified(pairs: DataFrame, texts_of, similarity: float) -> DataFrame:
-    if pairs.isEmpty():
-        return pairs
+    pairs = written(pairs, "lines-pairs")
     ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-    texts = written(texts_of(_few(written(ids, "lines-ids"))), "lines-texts")
+    if pairs.limit(BROADCAST // 2 + 1).count() <= BROADCAST // 2:
+        ids = F.broadcast(ids)
+    texts = written(texts_of(ids), "lines-texts")
     a, b = texts.select(F.col("id").alias("u"), F.col("line").alias("a")), texts.select(F.col("id").alias("v"), F.col("line").alias("b"))
     return written(pairs.join(a, "u").join(b, "v").where(similar("a", "b", similarity)).select("u", "v"), "lines-links")
 
@@ -117,10 +125,11 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     normalised lines are one; of different ones, those that share a SimHash block (so all whose
     SimHashes differ in at most two bits) are compared and linked from an edit similarity of ``similarity``
     on. Of each connected group of linked lines one occurrence stays: that with the smallest document
-    id, then key, then line number (null ids last). A block value with more than ``SMALL`` lines is
-    not compared pair by pair: its lines are compared with its leader (the least id); those that fit are
-    linked to it and the others go on to the next leader, so a group of thousands of variants costs a
-    comparison for each; what no leader takes within ``LEADER_ROUNDS`` is compared pair by pair.
+    id, then key, then line number (null ids last). The lines of a block value are first compared with its
+    leader (the least id). Lines that fit it are connected by that; in a value of up to ``SMALL`` lines all
+    other pairs are compared. In a larger one the lines that don't fit go on to the next leader, so a
+    group of thousands of variants costs a comparison for each; what no leader takes within
+    ``LEADER_ROUNDS`` is compared pair by pair.
 
     A document is an id and a text: rows that repeat both lose the same lines (``key`` is a hash of the
     text). Null and empty texts have no lines that take part. Other columns are not read.
