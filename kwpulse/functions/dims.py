@@ -27,6 +27,15 @@ STOPWORDS = {
     "es": """al como con cuando de del el ella en entre es esta está este fue ha hay la las le
              lo los me mi muy más no nos para pero por que se sin sobre son su sus también te
              tu un una uno ya yo""",
+    "it": """ai al alla anche che chi ci come con cosa da dal della di dove e è era gli ha ho il
+             in io la le lei lo loro lui ma mi nel nella noi non o per perché più quando questa
+             questo se si sono su sul ti tu un una voi""",
+    "nl": """aan als bij dan dat de deze die dit doen door een en er geen had heb heeft het hij hoe
+             ik in is je kan maar me met mijn naar niet nog nu of om onder ook op over te tot uit
+             van veel voor waar wat we wel werd wie wij ze zij zijn zo zou""",
+    "pt": """ao aos as com como da das de dela dele do dos e ela ele em entre era essa esse esta
+             este eu foi isso isto já lhe mais mas me mesmo minha muito na não nas nem no nos nós
+             o os ou para pela pelo por que se sem ser seu sua são também te um uma você""",
 }
 DEFAULT_LANG = "en"
 LANGS = sorted(STOPWORDS)

@@ -38,8 +38,8 @@ DASH_TOP_N = 20
 
 # Workbook sheets; each selection leaves some members of the driver data out.
 WB_TOP_N = 10
-WB_MIN_TOTAL = 20000
-WB_MAX_TOTAL = None
+WB_MIN_TOTAL = 2000  # drops rows at sf0.001
+WB_MAX_TOTAL = 16000  # drops rows at sf0.01
 WB_SCATTER_TOP_N = 30
 WB_CATEGORIES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]
 WB_MODALITIES = ["click", "purchase", "signup", "view"]

@@ -231,3 +231,11 @@ def test_append_metadata_keeps_duplicates_and_skips_corrupt_old_file(spark, tmp_
     good, bad = IO.split_quarantine(IO.read_videos(spark, folder, multiline=False))
     assert sorted(r.id for r in good.collect()) == ["1", "1", "2", "2"]
     assert bad.count() == 1
+
+
+def test_languages_of_the_collector_regions(spark):
+    rows = [("it", "questo non è il gatto della nonna"), ("nl", "het is niet de kat van mijn oma"),
+            ("pt", "isso não é o gato da minha avó"), ("digits", "2024 42")]
+    df = spark.createDataFrame(rows, "video_id string, text string")
+    got = {r.video_id: r.lang for r in X.text_languages(df, ["video_id"]).collect()}
+    assert got == {"it": "it", "nl": "nl", "pt": "pt", "digits": "en"}
