@@ -19,7 +19,6 @@ MAX_BITS = 10  # lines that share a block are compared if their SimHashes differ
 SMALL = 48  # lines in a block value up to which all its pairs are compared
 LEADER_ROUNDS = 2
 LONG_WORD, WEIGHT = 5, 4  # words of so many letters count so many times: function words would crowd the blocks
-LONG_LINE = 1024  # characters from which word sets stand in for edit distance
 BROADCAST = 200_000
 
 
@@ -47,13 +46,9 @@ def simhash(lines: DataFrame) -> DataFrame:
 
 
 def similar(a: str, b: str, similarity: float) -> Column:
-    """Edit similarity of two columns, 1 - distance / longer length, reaches the bound; lines of
-    ``LONG_LINE`` characters and more are compared by the Jaccard similarity of their word sets."""
+    """Edit similarity of two columns, 1 - distance / longer length, reaches the bound."""
     most = f"cast(floor({1 - similarity:.6f} * greatest(length({a}), length({b})) + 1e-9) as int)"
-    edit = F.expr(f"abs(length({a}) - length({b})) <= {most} AND levenshtein({a}, {b}, {most}) >= 0")
-    words = F.expr(f"size(array_intersect(split({a}, ' '), split({b}, ' '))) >= "
-                   f"{similarity} * size(array_union(split({a}, ' '), split({b}, ' ')))")
-    return F.when(F.greatest(F.length(a), F.length(b)) < LONG_LINE, edit).otherwise(words)
+    return F.expr(f"abs(length({a}) - length({b})) <= {most} AND levenshtein({a}, {b}, {most}) >= 0")
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -62,8 +57,8 @@ def _few(df: DataFrame) -> DataFrame:
 
 
 def _lengths_fit(a: str, b: str, similarity: float) -> Column:
-    """Lengths that edit similarity allows; long lines are not compared by it."""
-    return (F.greatest(a, b) >= LONG_LINE) | (F.least(a, b) >= similarity * F.greatest(a, b) - 1e-6)
+    """Lengths that edit similarity allows."""
+    return (F.least(a, b) >= similarity * F.greatest(a, b) - 1e-6)
 
 
 def _links(lines: DataFrame, texts_of, similarity: float) -> DataFrame:

@@ -82,3 +82,11 @@ def test_equal_rows_lose_the_same(spark):
     df = spark.createDataFrame([(1, BASE), (1, BASE), (2, BASE), (3, "a b c d e\na b c d e")], "doc_id long, text string")
     got = sorted((r["doc_id"], r["removed"]) for r in line_dedup.report(df).collect())
     assert got == [(1, ""), (1, ""), (2, "0"), (3, "1")]
+
+
+def test_word_order_counts_in_long_lines(spark):
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefghiklmnop") for _ in range(6)) for _ in range(300)]
+    turned = " ".join(reversed(words))
+    df = spark.createDataFrame([(1, " ".join(words)), (2, turned)], "doc_id long, text string")
+    assert removed(line_dedup.report(df)) == set()
