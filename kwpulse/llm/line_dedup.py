@@ -1,9 +1,10 @@
-"""Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, one line per group.
+"""Fuzzy line deduplication: SimHash blocks, pigeonhole segments, edit similarity, one line per group.
 
 DataFrame operations only."""
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,10 +16,11 @@ MIN_WORDS = 5  # shorter lines are always kept
 SIMILARITY = 0.9
 LANE = 22  # bits of a packed counter: three counters in a long, 22 longs for 64 bits
 BLOCKS = ((0, 22), (22, 22), (44, 20))  # offset and width of the SimHash blocks
-MAX_BITS = 10  # lines that share a block are compared if their SimHashes differ in so many bits at most
-SMALL = 48  # lines in a block value up to which all its pairs are compared
-LEADER_ROUNDS = 2
+MAX_BITS = 10  # a crowded block's lines meet its leader anyway, others if their SimHashes differ in so many bits at most
+SMALL = 48  # lines from which a block value is crowded
+LEADER_ROUNDS = 2  # of the short cut; what it leaves open meets by segments
 LONG_WORD, WEIGHT = 5, 4  # words of so many letters count so many times: function words would crowd the blocks
+CHUNK = 256  # characters cut at a time, so that cutting a long line stays linear
 BROADCAST = 200_000
 
 
@@ -45,6 +47,11 @@ def simhash(lines: DataFrame) -> DataFrame:
     return sums.select("id", "size", reduce(lambda a, b: a.bitwiseOR(b), bits).alias("sim"))
 
 
+def _most(similarity: float, n: int) -> int:
+    """The edits that ``similarity`` allows if the longer line has ``n`` characters."""
+    return math.floor(round(1 - similarity, 6) * n + 1e-9)
+
+
 def similar(a: str, b: str, similarity: float) -> Column:
     """Edit similarity of two columns, 1 - distance / longer length, reaches the bound."""
     most = f"cast(floor({1 - similarity:.6f} * greatest(length({a}), length({b})) + 1e-9) as int)"
@@ -58,27 +65,17 @@ def _few(df: DataFrame) -> DataFrame:
 
 def _lengths_fit(a: str, b: str, similarity: float) -> Column:
     """Lengths that edit similarity allows."""
-    return (F.least(a, b) >= similarity * F.greatest(a, b) - 1e-6)
+    return F.least(a, b) >= similarity * F.greatest(a, b) - 1e-6
 
 
-def _links(lines: DataFrame, texts_of, similarity: float) -> DataFrame:
-    """``id, size, sim`` of the distinct lines -> verified links ``u, v``, enough to connect what is linked.
-
-    Each round compares the lines of a block value with its leader. Two lines that both fit the leader are
-    connected by that and not compared again; the other pairs of a value of up to ``SMALL`` lines are
-    candidates, and in a crowded value the lines that don't fit go on to the next leader."""
+def _leader_links(lines: DataFrame, texts_of, similarity: float) -> DataFrame:
+    """``id, size, sim`` of the distinct lines -> verified links ``u, v`` of lines with the leader of a SimHash
+    block. A short cut: it connects large groups of variants at a comparison for each; all it leaves
+    open is found by ``_segment_pairs``."""
     block = F.array(*[F.struct(F.lit(k).alias("block"), F.shiftrightunsigned("sim", o).bitwiseAND(F.lit((1 << w) - 1)).alias("value"))
                       for k, (o, w) in enumerate(BLOCKS)])
     rest = lines.select("id", "size", "sim", F.explode(block).alias("k")).select("k.block", "k.value", "id", "size", "sim")
-
-    def pairs(k):
-        a, b = (k.select("block", "value", F.col("id").alias(x), F.col("sim").alias(f"s{x}"), F.col("size").alias(f"n{x}"),
-                         F.col("fits").alias(f"f{x}")) for x in "uv")
-        close = (F.bit_count(F.col("su").bitwiseXOR(F.col("sv"))) <= MAX_BITS) & _lengths_fit("nu", "nv", similarity)
-        return a.join(b, (a["block"] == b["block"]) & (a["value"] == b["value"]) & (a["u"] > b["v"])
-                      & ~(a["fu"] & b["fv"]) & close).select("u", "v")
-
-    links, candidates = [], []
+    links = []
     for _ in range(LEADER_ROUNDS):
         leader = rest.groupBy("block", "value").agg(F.min(F.struct("id", "sim", "size")).alias("lead"), F.count(F.lit(1)).alias("n"))
         led = written(rest.join(leader.where("n > 1"), ["block", "value"]).select(
@@ -87,20 +84,72 @@ def _links(lines: DataFrame, texts_of, similarity: float) -> DataFrame:
                 F.bit_count(F.col("sim").bitwiseXOR(F.col("lead.sim"))) <= MAX_BITS))).alias("near")), "lines-led")
         found = _verified(led.where("near AND id <> v").select(F.col("id").alias("u"), "v").distinct(), texts_of, similarity)
         links.append(found)
-        fits = found.select(F.col("u").alias("id"), "v", F.lit(True).alias("fits"))
-        led = written(led.join(_few(fits), ["id", "v"], "left").select(
-            "block", "value", "id", "size", "sim", "n", (F.col("fits").isNotNull() | (F.col("id") == F.col("v"))).alias("fits")),
-            "lines-fits")
-        candidates.append(pairs(led.where(F.col("n") <= SMALL)))
-        rest = led.where((F.col("n") > SMALL) & ~F.col("fits")).select("block", "value", "id", "size", "sim")
+        fits = found.select(F.col("u").alias("id"), "v")
+        rest = led.where((F.col("n") > SMALL) & (F.col("id") != F.col("v"))).join(_few(fits), ["id", "v"], "left_anti").select(
+            "block", "value", "id", "size", "sim")
         if rest.isEmpty():
             break
-    else:  # crowded by unlike lines: all pairs, in a join that splits
-        candidates.append(pairs(rest.withColumn("fits", F.lit(False))))
-    links.append(_verified(reduce(DataFrame.unionByName, candidates).distinct(), texts_of, similarity))
     return reduce(DataFrame.unionByName, links)
 
 
+def _segment_pairs(lines: DataFrame, similarity: float) -> DataFrame:
+    """``id, size, group, line`` -> all pairs ``u, v`` of different groups that can reach ``similarity``, and others.
+
+    A line of n characters that allows t edits is cut into t + 1 segments. If a line not longer than it is
+    within t edits, then on the ring of segments there is one without an edit whose successor has one edit
+    at most (pigeonring principle): the segment stands in the other line, at most t characters away, and of its
+    successor the first half stands right behind it or the second half does, shifted by one at most. The
+    equi-join is on the segment, a class of lengths and a range of positions; a segment has the same number of
+    characters for all lengths but the smallest, where the other line is cut in each number that can occur."""
+    t = round(1 - similarity, 6)
+    if _most(similarity, 1 << 20) == 0:
+        return lines.select(F.col("id").alias("u"), F.col("id").alias("v")).limit(0)
+    width = [0] + [n // (_most(similarity, n) + 1) for n in range(1, 1 << 12)]
+    last = max((n for n in range(1, 1 << 11) if width[n] != width[-1]), default=0)
+    # the widths of lines that a line of m characters can be the shorter partner of
+    widths = [sorted({width[n] for n in range(m, m + _most(similarity, 2 * m) + 2)
+                      if 0 < _most(similarity, n) >= n - m}) for m in range(1, last + 1)]
+    by_size = F.array(*[F.array(*[F.lit(x) for x in w]).cast("array<int>") for w in [*widths, [width[-1]]]])
+    base = math.log(1.02 / similarity)  # two lengths that fit are of the same or of adjacent classes
+    cls = F.floor(F.log(F.col("size")) / F.lit(base)).cast("int")
+    reach = F.floor(F.exp((F.col("cls") + 1) * F.lit(base)) * F.lit(t)).cast("int") + 1  # of positions, by class
+    chunks = lines.select("id", "size", "group", "line", F.explode(F.expr(f"sequence(0, size - 1, {CHUNK})")).alias("start"))
+
+    def cut(df, extra):
+        return df.withColumn("text", F.expr(f"substring(line, start + 1, {CHUNK} + {extra})")).drop("line")
+
+    def of(at, length):  # characters of a chunk, at counted in the line
+        return f"substring(text, {at} - start + 1, {length})"
+
+    longer = cut(chunks.withColumn("t", F.floor(F.lit(t) * F.col("size") + 1e-9).cast("int")).where("t > 0")
+                 .withColumn("w", F.expr("size div (t + 1)").cast("int")), 4 * width[-1] + 4)
+    i_from = "cast(ceil(cast(start as bigint) * (t + 1) / size) as int)"
+    i_to = f"least(t, cast(ceil((start + {CHUNK}L) * (t + 1) / size) as int) - 1)"
+    longer = longer.withColumn("i", F.explode(F.expr(f"CASE WHEN {i_from} <= {i_to} THEN sequence({i_from}, {i_to}) END")))
+    longer = longer.withColumn("p", F.expr("cast(cast(i as bigint) * size div (t + 1) as int)")).withColumn(
+        "next", F.expr("cast((i + 1L) * size div (t + 1) as int)"))
+    longer = longer.select(
+        "id", "size", "group", "t", "p", F.expr(of("p", "w")).alias("gram"),
+        F.expr(f"CASE WHEN i < t THEN {of('(p + w)', 'next - p - w + w div 2')} END").alias("a"),
+        F.expr(f"CASE WHEN i < t THEN {of('(next + w div 2)', 'w div 2')} END").alias("b"), F.explode(F.array(cls - 1, cls)).alias("cls"))
+    longer = longer.withColumn("reach", reach).withColumn("at", F.explode(F.expr(
+        "sequence(cast(greatest(p - t, 0) div reach as int), cast((p + t div 2 + 1) div reach as int))")))
+    longer = longer.select(F.xxhash64("gram", "cls", "at").alias("key"), F.col("id").alias("u"), F.col("size").alias("nu"),
+                           F.col("group").alias("gu"), "a", "b").distinct()
+
+    shorter = cut(chunks.withColumn("w", F.explode(F.get(by_size, F.least(F.col("size"), F.lit(last + 1)) - 1))), 4 * width[-1] + 4)
+    shorter = shorter.withColumn("cls", cls).withColumn("reach", reach)
+    grams = F.expr(f"""CASE WHEN start + w <= size THEN array_distinct(transform(sequence(start, least(start + {CHUNK} - 1, size - w)),
+        p -> struct(xxhash64({of('p', 'w')}, cls, cast(p div reach as int)) AS key, {of('(p + w)', 'w + 2')} AS c))) END""")
+    shorter = shorter.select(F.col("id").alias("v"), F.col("size").alias("nv"), F.col("group").alias("gv"), F.explode(grams).alias("g"))
+    shorter = shorter.select("v", "nv", "gv", "g.key", "g.c")
+    follows = F.expr("a IS NULL OR startswith(c, a) OR substring(c, length(a), length(b)) = b "
+                     "OR substring(c, length(a) + 1, length(b)) = b OR substring(c, length(a) + 2, length(b)) = b")
+    return (longer.hint("shuffle_hash").join(shorter, "key").where((F.col("gu") != F.col("gv")) & (F.col("nv") <= F.col("nu"))
+            & _lengths_fit("nu", "nv", similarity) & follows)
+            .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+
+
 def _verified(pairs: DataFrame, texts_of, similarity: float) -> DataFrame:
     pairs = written(pairs, "lines-pairs")
     ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
@@ -117,14 +166,11 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     per document that loses a line.
 
     Lines are cut at line feeds and normalised; those of at least ``min_words`` words take part. Equal
-    normalised lines are one; of different ones, those that share a SimHash block (so all whose
-    SimHashes differ in at most two bits) are compared and linked from an edit similarity of ``similarity``
-    on. Of each connected group of linked lines one occurrence stays: that with the smallest document
-    id, then key, then line number (null ids last). The lines of a block value are first compared with its
-    leader (the least id). Lines that fit it are connected by that; in a value of up to ``SMALL`` lines all
-    other pairs are compared. In a larger one the lines that don't fit go on to the next leader, so a
-    group of thousands of variants costs a comparison for each; what no leader takes within
-    ``LEADER_ROUNDS`` is compared pair by pair.
+    normalised lines are one; different ones of whatever length are linked from an edit similarity of
+    ``similarity`` on. Of each connected group of linked lines one occurrence stays: that with the smallest
+    document id, then key, then line number (null ids last). Lines are first compared with the leaders of
+    their SimHash blocks, which connects a group of thousands of variants at a comparison for each; then
+    all pairs that share a segment as the bound demands (``_segment_pairs``) and are not yet connected.
 
     A document is an id and a text: rows that repeat both lose the same lines (``key`` is a hash of the
     text). Null and empty texts have no lines that take part. Other columns are not read.
@@ -139,17 +185,23 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     place = F.struct("last", "doc", "key", "no")
     # rows of a document may repeat: they are one occurrence
     distinct = rows.groupBy("id").agg(F.min("line").alias("line"), F.min(place).alias("first"), F.max(place).alias("final"))
-    sims = simhash(distinct.select("id", "line"))
-    sims = written(sims, "lines-sim")
-    firsts = rows.groupBy("id").agg(F.min(place).alias("first"), F.max(place).alias("final"))
+    distinct = written(distinct.withColumnRenamed("id", "hash").withColumn("id", F.monotonically_increasing_id()), "lines-distinct")
+    sims = written(simhash(distinct.select("id", "line")), "lines-sim")
 
     def texts_of(ids):
-        return rows.join(ids, "id", "left_semi").select("id", "line").groupBy("id").agg(F.min("line").alias("line"))
-
-    groups = components(_links(sims, texts_of, similarity), "lines")
-    known = firsts.join(groups.withColumnRenamed("node", "id"), "id", "left")
+        return distinct.select("id", "line").join(ids, "id", "left_semi")
+
+    links = _leader_links(sims, texts_of, similarity)
+    groups = written(components(links, "lines"), "lines-groups")
+    grouped = distinct.select("id", F.length("line").alias("size"), "line").join(
+        _few(groups.withColumnRenamed("node", "id")), "id", "left").select(
+        "id", "size", F.coalesce("component", "id").alias("group"), "line")
+    more = _verified(_segment_pairs(grouped, similarity), texts_of, similarity)
+    if not more.isEmpty():
+        groups = components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), "lines")
+    known = distinct.join(groups.withColumnRenamed("node", "id"), "id", "left")
     known = written(known.where("first <> final OR component IS NOT NULL").select(
-        "id", F.coalesce("component", "id").alias("component"), "first"), "lines-known")
+        F.col("hash").alias("id"), F.coalesce("component", "id").alias("component"), "first"), "lines-known")
     best = known.groupBy("component").agg(F.min("first").alias("stay"))
     stay = known.join(best, "component").select("id", "stay")
     return (rows.join(stay, "id").where(place != F.col("stay")).groupBy("doc", "key")

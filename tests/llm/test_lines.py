@@ -84,6 +84,49 @@ def test_equal_rows_lose_the_same(spark):
     assert got == [(1, ""), (1, ""), (2, "0"), (3, "1")]
 
 
+def edited(rnd, x, cuts):
+    """``x`` with an edit in each of ``cuts`` equal parts."""
+    out = []
+    for i in range(cuts):
+        part = x[i * len(x) // cuts:(i + 1) * len(x) // cuts]
+        j = rnd.randrange(1, len(part) - 1)
+        out.append([part[:j] + "q" + part[j + 1:], part[:j] + "q" + part[j:], part[:j] + part[j + 1:]][rnd.randrange(3)])
+    return "".join(out)
+
+
+def within(a, b):
+    """Edit similarity 0.9 by the whole band of the distance table."""
+    most = int(0.1 * max(len(a), len(b)) + 1e-9)
+    row = {j: j for j in range(min(most, len(b)) + 1)}
+    for i, x in enumerate(a, 1):
+        new = {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            new[j] = i if j == 0 else min(row.get(j, most) + 1, new.get(j - 1, most) + 1, row.get(j - 1, most + 1) + (x != b[j - 1]))
+        row = new
+        if not row or min(row.values()) > most:
+            return False
+    return row.get(len(b), most + 1) <= most
+
+
+def test_all_pairs_within_the_bound(spark):
+    """Lines of all lengths, each with copies that have their edits spread as evenly as the bound allows."""
+    rnd = random.Random(11)
+    lines = set()
+    for words in (5, 6, 7, 8, 9, 10, 12, 14, 17, 20, 30, 50, 100, 180, 260):
+        for _ in range(4):
+            x = " ".join("".join(rnd.choice("abcdefghiklmnoprstuvwz") for _ in range(rnd.randint(1, 9))) for _ in range(words))
+            lines |= {x, *(norm(edited(rnd, x, max(1, len(x) // n)))[0] for n in (10, 20) if len(x) >= 10)}
+    lines = sorted(x for x in lines if len(x.split()) >= 5)
+    near = [(i, j) for i, x in enumerate(lines) for j, y in enumerate(lines[:i]) if within(x, y)]
+    group = list(range(len(lines)))
+    for _ in range(4):
+        for i, j in near:
+            group[i] = group[j] = min(group[i], group[j])
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert removed(line_dedup.report(df)) == {(i, 0) for i, g in enumerate(group) if g != i}
+    assert len(near) > 80
+
+
 def test_word_order_counts_in_long_lines(spark):
     rnd = random.Random(3)
     words = ["".join(rnd.choice("abcdefghiklmnop") for _ in range(6)) for _ in range(300)]
