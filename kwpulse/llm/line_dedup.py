@@ -135,13 +135,16 @@ def _segment_pairs(lines: DataFrame, similarity: float) -> DataFrame:
     longer = longer.withColumn("reach", reach).withColumn("at", F.explode(F.expr(
         "sequence(cast(greatest(p - t, 0) div reach as int), cast((p + t div 2 + 1) div reach as int))")))
     longer = longer.select(F.xxhash64("gram", "cls", "at").alias("key"), F.col("id").alias("u"), F.col("size").alias("nu"),
-                           F.col("group").alias("gu"), "a", "b").distinct()
+                           F.col("group").alias("gu"), "a", "b")
 
     shorter = cut(chunks.withColumn("w", F.explode(F.get(by_size, F.least(F.col("size"), F.lit(last + 1)) - 1))), 4 * width[-1] + 4)
     shorter = shorter.withColumn("cls", cls).withColumn("reach", reach)
-    grams = F.expr(f"""CASE WHEN start + w <= size THEN array_distinct(transform(sequence(start, least(start + {CHUNK} - 1, size - w)),
-        p -> struct(xxhash64({of('p', 'w')}, cls, cast(p div reach as int)) AS key, {of('(p + w)', 'w + 2')} AS c))) END""")
-    shorter = shorter.select(F.col("id").alias("v"), F.col("size").alias("nv"), F.col("group").alias("gv"), F.explode(grams).alias("g"))
+    grams = F.expr(f"""CASE WHEN start + w <= size THEN transform(sequence(start, least(start + {CHUNK} - 1, size - w)),
+        p -> struct(xxhash64({of('p', 'w')}, cls, cast(p div reach as int)) AS key, {of('(p + w)', 'w + 2')} AS c)) END""")
+    shorter = shorter.select(F.col("id").alias("v"), F.col("size").alias("nv"), F.col("group").alias("gv"), grams.alias("g"))
+    # array_distinct is quadratic on structs: for repetitive lines only
+    once = F.when(F.size(F.array_distinct("g.key")) < F.size("g"), F.array_distinct("g")).otherwise(F.col("g"))
+    shorter = shorter.select("v", "nv", "gv", F.explode(once).alias("g"))
     shorter = shorter.select("v", "nv", "gv", "g.key", "g.c")
     follows = F.expr("a IS NULL OR startswith(c, a) OR substring(c, length(a), length(b)) = b "
                      "OR substring(c, length(a) + 1, length(b)) = b OR substring(c, length(a) + 2, length(b)) = b")

@@ -133,3 +133,17 @@ def test_word_order_counts_in_long_lines(spark):
     turned = " ".join(reversed(words))
     df = spark.createDataFrame([(1, " ".join(words)), (2, turned)], "doc_id long, text string")
     assert removed(line_dedup.report(df)) == set()
+
+
+def test_fit_and_unfit_lines_of_a_crowded_block(spark, monkeypatch):
+    """A line near a leader's follower, but not near the leader, is linked however crowded the block is."""
+    monkeypatch.setattr(line_dedup, "SMALL", 1)
+    monkeypatch.setattr(line_dedup, "BLOCKS", ((0, 0), (0, 0), (0, 0)))  # all lines share every block
+    rnd = random.Random(5)
+    x = " ".join("".join(rnd.choice("abcdefghiklmnop") for _ in range(6)) for _ in range(30))
+    steps = [x]
+    for i in range(4):  # each 0.93 of the one before, the ends far apart
+        steps.append("".join("q" if j % 14 == 3 * i and c != " " else c for j, c in enumerate(steps[-1])))
+    other = [" ".join("".join(rnd.choice("abcdefghiklmnop") for _ in range(6)) for _ in range(30)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(steps + other)), "doc_id long, text string")
+    assert removed(line_dedup.report(df)) == {(i, 0) for i in range(1, 5)}
