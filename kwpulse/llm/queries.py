@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kwpulse.llm import bpe, decontam, jaccard, licenses, line_dedup, pii, topk, toxicity, url_filter, warc
+from kwpulse.llm import bpe, decontam, jaccard, licenses, line_dedup, pii, token_counts, topk, toxicity, url_filter, warc
 from kwpulse.llm.common import table
 
 VOCABULARY_FILE = "word_bpe_49k.json"
+COUNTED_FILE = "byte_bpe_50k.json"
 
 URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/"))
@@ -23,10 +24,10 @@ def op10_url_filters(spark, sf_dir):
                             url_filter.rules_frame(spark, URL_RULES))
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = VOCABULARY_FILE) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY_FILE)
+    return public_tokenizers.path(name)
 
 
 def op2_bpe(spark, sf_dir):
@@ -66,10 +67,15 @@ def op9_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_token_counts(spark, sf_dir):
+    return token_counts.prefix_counts(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary_path(COUNTED_FILE),
+                                      with_steps=False)
+
+
 def queries():
     return {f.__name__: f for f in (
         op1_warc, op2_bpe, op3_topk, op4_jaccard, op5_decontamination, op6_line_dedup, op7_pii, op8_toxicity,
-        op9_licenses, op10_url_filters)}
+        op9_licenses, op10_url_filters, op13_token_counts)}
 
 
 def _url_sql() -> str:
