@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kwpulse.llm import bpe, decontam, jaccard, licenses, line_dedup, pii, token_counts, topk, toxicity, url_filter, warc
+from kwpulse.llm import bpe, decontam, jaccard, licenses, line_dedup, pii, prefix_trie, token_counts, topk, toxicity, url_filter, warc
 from kwpulse.llm.common import table
 
 VOCABULARY_FILE = "word_bpe_49k.json"
@@ -67,6 +67,10 @@ def op9_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op13_token_counts(spark, sf_dir):
     return token_counts.prefix_counts(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary_path(COUNTED_FILE),
                                       with_steps=False)
@@ -75,7 +79,7 @@ def op13_token_counts(spark, sf_dir):
 def queries():
     return {f.__name__: f for f in (
         op1_warc, op2_bpe, op3_topk, op4_jaccard, op5_decontamination, op6_line_dedup, op7_pii, op8_toxicity,
-        op9_licenses, op10_url_filters, op13_token_counts)}
+        op9_licenses, op10_url_filters, op12_prefix_trie, op13_token_counts)}
 
 
 def _url_sql() -> str:
@@ -95,5 +99,38 @@ hits AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN hits USING (rn)"""
 
 
+# CRC-32 as its definition has it: eight steps for each value of a byte, then a step for each character of the number.
+_TRIE_SQL = """
+WITH steps AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+           lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(coalesce(role, '') || coalesce(text, ''))) AS pos,
+         struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) AS turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, list(turn ORDER BY pos) AS own FROM turns GROUP BY conv_id),
+heads AS (
+  SELECT conv_id, own, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+           lambda a, b: xor(a // 256, t[1 + xor(a % 256, b)])), 4294967295) % 6 AS h FROM convs, steps),
+whole AS (
+  SELECT c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) AS s
+  FROM heads c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 100),
+members AS (SELECT conv_id, s, len(s) AS n, unnest(range(len(s) + 1)) AS d FROM whole),
+nodes AS (
+  SELECT s[1:d] AS p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM members GROUP BY 1, 2),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+facts AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN d > 0 THEN (n_convs - 1) * length(p[d].x) ELSE 0 END AS own_saved
+  FROM nodes LEFT JOIN kids USING (p)),
+below AS (SELECT p[1:e] AS p, own_saved, n_children FROM (SELECT *, unnest(range(d + 1)) AS e FROM facts)),
+sums AS (SELECT p, sum(own_saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM below GROUP BY p)
+SELECT f.conv_id, f.d::BIGINT AS depth, CASE WHEN f.d > 0 THEN u.conv_id END AS parent_conv_id, f.n_convs, f.n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, f.ends_sha256
+FROM facts f JOIN sums USING (p) LEFT JOIN nodes u ON u.p = f.p[1:f.d - 1] AND u.d = f.d - 1"""
+
+
 def oracle_sql():
-    return {"op10_url_filters": _url_sql()}
+    return {"op10_url_filters": _url_sql(), "op12_prefix_trie": _TRIE_SQL}
