@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kwpulse.llm import bpe, decontam, jaccard, licenses, line_dedup, pii, prefix_trie, token_counts, topk, toxicity, url_filter, warc
+from kwpulse.llm import (bpe, decontam, jaccard, licenses, line_dedup, pii, prefix_trie, ranked_search, token_counts, topk, toxicity,
+                         url_filter, warc)
 from kwpulse.llm.common import table
 
 VOCABULARY_FILE = "word_bpe_49k.json"
@@ -67,6 +68,10 @@ def op9_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_ranked_search(spark, sf_dir):
+    return ranked_search.search(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
@@ -79,7 +84,7 @@ def op13_token_counts(spark, sf_dir):
 def queries():
     return {f.__name__: f for f in (
         op1_warc, op2_bpe, op3_topk, op4_jaccard, op5_decontamination, op6_line_dedup, op7_pii, op8_toxicity,
-        op9_licenses, op10_url_filters, op12_prefix_trie, op13_token_counts)}
+        op9_licenses, op10_url_filters, op11_ranked_search, op12_prefix_trie, op13_token_counts)}
 
 
 def _url_sql() -> str:
@@ -132,5 +137,23 @@ SELECT f.conv_id, f.d::BIGINT AS depth, CASE WHEN f.d > 0 THEN u.conv_id END AS
 FROM facts f JOIN sums USING (p) LEFT JOIN nodes u ON u.p = f.p[1:f.d - 1] AND u.d = f.d - 1"""
 
 
+_SEARCH_SQL = r"""
+WITH cut AS (
+  SELECT row_number() OVER () AS rn, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+facts AS (SELECT rn, doc_id, len(t) AS n, t FROM cut WHERE len(t) > 0),
+sums AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM facts),
+tfs AS (SELECT rn, term, count(*) AS tf FROM (SELECT rn, unnest(t) AS term FROM facts) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tfs, sums GROUP BY term, docs),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE item_id IS NOT NULL),
+scores AS (
+  SELECT item_id, rn, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN tfs USING (term) JOIN facts USING (rn), sums GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50"""
+
+
 def oracle_sql():
-    return {"op10_url_filters": _url_sql(), "op12_prefix_trie": _TRIE_SQL}
+    return {"op10_url_filters": _url_sql(), "op11_ranked_search": _SEARCH_SQL, "op12_prefix_trie": _TRIE_SQL}
