@@ -67,11 +67,11 @@ def clean(kw: DataFrame) -> DataFrame:
     return add_kpis(expand_stats(kw))
 
 
-def dashboard_frame(clean_df: DataFrame, iso: DataFrame | None = None) -> DataFrame:
+def dashboard_frame(clean_df: DataFrame, iso: DataFrame | None = None, with_iso: bool = True) -> DataFrame:
     """Dashboard load (P16-P18, P22/J5): backfill missing numeric columns with 0,
     normalise region, look up iso3 (unknown code -> NULL).
 
-    ``iso`` is a fixed-size dimension (``dims.iso_df``) joined by broadcast.
+    ``with_iso`` off leaves the code out. ``iso`` is a fixed-size dimension (``dims.iso_df``) joined by broadcast.
     """
     df = clean_df
     missing = {c: F.lit(0) for c in STAT_FIELDS + KPI_FIELDS if c not in df.columns}
@@ -79,6 +79,8 @@ def dashboard_frame(clean_df: DataFrame, iso: DataFrame | None = None) -> DataFr
         df = df.withColumns(missing)
     df = df.withColumn("region", norm_region(F.col("region")) if "region" in df.columns
                        else F.lit("UNKNOWN"))
+    if not with_iso:
+        return df
     if iso is None:
         iso = dims.iso_df(df.sparkSession)
     return (df.join(iso, df.region == iso.alpha2, "left")

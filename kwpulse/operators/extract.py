@@ -24,13 +24,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kwpulse.functions import dims
 from kwpulse.functions.exprs import DIGITS_ONLY, TOKEN_PATTERN
+from kwpulse.sources.files import stored
 
 TEXT_KEYS = ["video_id", "modality", "frame_k"]
+STOPWORD_BROADCAST = 200_000  # words up to which a caller's stopword table is broadcast
+MOST_LANGS = 200
+
+
+def corpus_stopwords(texts: DataFrame, share: float = 0.3) -> DataFrame:
+    """A stopword table (lang, word) from labelled texts (lang, text): the tokens that stand in at least ``share`` of
+    a language's texts. One shuffle of the texts' distinct tokens, pre-aggregated."""
+    tokens = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TOKEN_PATTERN), F.lit(0)))
+    rows = texts.where("lang IS NOT NULL AND text IS NOT NULL")
+    per = rows.select("lang", F.explode(tokens).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    all_ = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
+    return per.join(all_, "lang").where(F.col("n") >= share * F.col("texts")).select("lang", "word")
 
 
 def with_frame_key(texts: DataFrame) -> DataFrame:
@@ -77,32 +90,52 @@ def token_freq(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _freq(_tokens(_clustered(texts, keys))).select(*_keys_of(keys), "token", "freq", "first_pos")
 
 
-def _hits_by_lang(freq: Column, sw_langs: Column) -> dict[str, Column]:
+def stopword_table(spark: SparkSession, stopwords: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+    """((word, sw_langs), the languages): the built-in lists, or the caller's table (lang, word).
+
+    A caller's table is written once as one row per word and joined by broadcast if it is counted to be small,
+    else by a shuffle of the tokens. Its languages become columns of the plan; their number is checked."""
+    if stopwords is None:
+        return dims.stopword_langs_df(spark), dims.LANGS
+    rows = stopwords.select(F.lower("word").alias("word"), "lang").where("word IS NOT NULL AND lang IS NOT NULL")
+    langs = sorted(r[0] for r in rows.select("lang").distinct().limit(MOST_LANGS + 1).collect())
+    if len(langs) > MOST_LANGS:
+        raise ValueError(f"a stopword table has at most {MOST_LANGS} languages")
+    by_word = stored(rows.groupBy("word").agg(F.sort_array(F.collect_set("lang")).alias("sw_langs")), "stopwords")
+    small = by_word.limit(STOPWORD_BROADCAST + 1).count() <= STOPWORD_BROADCAST
+    return by_word.hint("broadcast" if small else "shuffle_merge"), langs
+
+
+def _hits_by_lang(freq: Column, sw_langs: Column, langs: Sequence[str]) -> dict[str, Column]:
     """Per language: the token's count if it is a stopword of that language, else 0."""
-    return {lang: F.when(F.array_contains(sw_langs, F.lit(lang)), freq).otherwise(F.lit(0))
-            for lang in dims.LANGS}
+    return {lang: F.when(F.array_contains(sw_langs, F.lit(lang)), freq).otherwise(F.lit(0)) for lang in langs}
 
 
 def _best_lang(hits: dict[str, Column]) -> Column:
     """Language with most hits; ties -> alphabetically first; no hit -> default."""
-    best = F.greatest(*[F.struct(h.alias("h"), F.lit(-i).alias("o"), F.lit(lang).alias("lang"))
-                        for i, (lang, h) in enumerate(sorted(hits.items()))])
+    ranked = [F.struct(h.alias("h"), F.lit(-i).alias("o"), F.lit(lang).alias("lang"))
+              for i, (lang, h) in enumerate(sorted(hits.items()))]
+    if not ranked:
+        return F.lit(dims.DEFAULT_LANG)
+    best = F.greatest(*ranked) if len(ranked) > 1 else ranked[0]
     return F.when(best["h"] > 0, best["lang"]).otherwise(F.lit(dims.DEFAULT_LANG))
 
 
-def text_languages(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys..., lang) for every text (``en`` when no stopword matches); one shuffle."""
-    sw = dims.stopword_langs_df(texts.sparkSession)
+def text_languages(texts: DataFrame, keys: Sequence[str], stopwords: DataFrame | None = None) -> DataFrame:
+    """(keys..., lang) for every text (``en`` when no stopword matches); one shuffle.
+    ``operators.language`` has a fitted model instead."""
+    sw, langs = stopword_table(texts.sparkSession, stopwords)
     freq = _freq(_tokens(_clustered(texts, keys), outer=True))
     tagged = freq.join(sw, freq.token == sw.word, "left")
-    hits = _hits_by_lang(F.col("freq"), F.col("sw_langs"))
+    hits = _hits_by_lang(F.col("freq"), F.col("sw_langs"), langs)
     per_text = tagged.groupBy("_tid").agg(*[F.sum(h).alias(f"h_{lang}") for lang, h in hits.items()])
     lang = _best_lang({lang: F.col(f"h_{lang}") for lang in hits})
     return per_text.select(*_keys_of(keys), lang.alias("lang"))
 
 
-def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20) -> DataFrame:
-    """(keys..., keyword, rank): the top-k non-stopword, non-numeric tokens of each text.
+def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20, stopwords: DataFrame | None = None) -> DataFrame:
+    """(keys..., keyword, rank): the top-k non-stopword, non-numeric tokens of each text. ``stopwords`` (lang, word)
+    takes the place of the built-in lists (``stopword_table``).
 
     The text rows are hash-partitioned once by their key; counting, language and
     top-k then all run inside that partitioning: one shuffle, of whole text rows,
@@ -111,7 +144,7 @@ def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20) -> DataFram
     shuffle's parallelism rather than the scan's. A text is one row, so no group
     exceeds what one row holds.
     """
-    sw = dims.stopword_langs_df(texts.sparkSession)
+    sw, langs = stopword_table(texts.sparkSession, stopwords)
     freq = _freq(_tokens(_clustered(texts, keys)))
     tagged = freq.join(sw, freq.token == sw.word, "left")
     # Both windows share one order, so one per-partition sort serves them: the
@@ -119,7 +152,7 @@ def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20) -> DataFram
     ordered = Window.partitionBy("_tid").orderBy(F.desc("freq"), F.asc("first_pos"))
     whole_text = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     hits = {lang: F.sum(h).over(whole_text)
-            for lang, h in _hits_by_lang(F.col("freq"), F.col("sw_langs")).items()}
+            for lang, h in _hits_by_lang(F.col("freq"), F.col("sw_langs"), langs).items()}
     with_lang = tagged.withColumn("lang", _best_lang(hits))
     is_sw = F.coalesce(F.array_contains(F.col("sw_langs"), F.col("lang")), F.lit(False))
     return (with_lang.filter(~is_sw)
@@ -128,10 +161,10 @@ def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20) -> DataFram
                      .select(*_keys_of(keys), F.col("token").alias("keyword"), "rank"))
 
 
-def modal_keywords(texts: DataFrame, top_k: int = 20) -> DataFrame:
+def modal_keywords(texts: DataFrame, top_k: int = 20, stopwords: DataFrame | None = None) -> DataFrame:
     """Keyword rows of texts of any modality (one per keyword per frame)."""
     t = with_frame_key(texts)
-    kws = keywords(t, TEXT_KEYS, top_k)
+    kws = keywords(t, TEXT_KEYS, top_k, stopwords)
     return kws.select("video_id", "modality",
                       F.when(F.col("frame_k") == -1, F.lit(None).cast("bigint"))
                        .otherwise(F.col("frame_k")).alias("frame"),

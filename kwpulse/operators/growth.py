@@ -113,6 +113,36 @@ def backtest(kw: DataFrame, as_of: _dt.datetime, days_back: int = 7,
                .orderBy(F.desc("growth"), F.asc_nulls_first("keyword")))
 
 
+def daily_counts(facts: DataFrame) -> DataFrame:
+    """Mentions per (detected_date, keyword), the delta that a day adds to the cumulative counts."""
+    return (facts.groupBy(F.to_date("detected_at").alias("detected_date"), "keyword")
+                 .agg(F.count(F.lit(1)).alias("mentions")))
+
+
+def backtest_delta(daily: DataFrame, facts: DataFrame, as_of: _dt.datetime, days_back: int = 7,
+                   horizon_days: int = 3) -> DataFrame:
+    """C4 from stored ``daily_counts`` (partitioned by ``detected_date``): whole days below a cut-off add up from the
+    deltas; of the facts only the cut-offs' own days are read (date partitions), for the rows up to
+    the cut-off's time of day. Both cut-offs are conditional sums over the same rows, so the counts
+    of the first are the running sum that the second goes on from."""
+    t0 = as_of - _dt.timedelta(days=days_back)
+    t1 = t0 + _dt.timedelta(days=horizon_days)
+    day, ts = F.col("detected_date"), F.col("detected_at")
+    later = max(t0, t1)
+    whole = daily.where(day < F.lit(later.date())).select(
+        "keyword", *[F.when(day < F.lit(t.date()), F.col("mentions")).otherwise(F.lit(0).cast("long")).alias(n)
+                     for t, n in ((t0, "count_then"), (t1, "count_future"))])
+    days = facts.where(day.isin([t0.date(), t1.date()]) & (ts <= ts_lit(later))).select(
+        "keyword", *[((day == F.lit(t.date())) & (ts <= ts_lit(t))).cast("long").alias(n)
+                     for t, n in ((t0, "count_then"), (t1, "count_future"))])
+    agg = whole.unionByName(days).groupBy("keyword").agg(F.sum("count_then").alias("count_then"),
+                                                         F.sum("count_future").alias("count_future"))
+    return (agg.filter(F.col("count_then") > 0)
+               .withColumn("growth", (F.col("count_future") - F.col("count_then"))
+                           / F.greatest(F.col("count_then"), F.lit(1)))
+               .orderBy(F.desc("growth"), F.asc_nulls_first("keyword")))
+
+
 METRIC_NAMES = ["videos_processed_last_24h", "keywords_extracted_last_24h",
                 "unique_keywords_last_24h", "rows_missing_stats"]
 

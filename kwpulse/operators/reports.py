@@ -10,9 +10,12 @@ total tie-break so results are repeatable across engines.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kwpulse.functions import dims
 from kwpulse.functions.exprs import r6
 
 
@@ -73,13 +76,18 @@ def top_keywords_modality(df: DataFrame, top_n: int = 20) -> DataFrame:
     return per_kw.orderBy(F.desc("total_engagement"), F.asc("keyword")).limit(top_n)
 
 
-def region_map(dash: DataFrame) -> DataFrame:
-    """Per (region, iso3) mean engagement rate, plays, distinct videos; no-iso rows dropped."""
-    return (dash.filter(F.col("region").isNotNull() & F.col("iso3").isNotNull())
-                .groupBy("region", "iso3")
-                .agg(r6(F.avg("engagement_rate")).alias("avg_engagement_rate"),
-                     F.sum("playCount").alias("sum_plays"),
-                     F.count_distinct("video_id").alias("count_videos")))
+def region_map(rows: DataFrame) -> DataFrame:
+    """Per (region, iso3) mean engagement rate, plays, distinct videos; no-iso rows dropped.
+
+    The ISO code is a function of the region, so it is looked up once per region, after the aggregate; a code
+    that the rows may carry already is not read."""
+    per = (rows.filter(F.col("region").isNotNull()).groupBy("region")
+               .agg(r6(F.avg("engagement_rate")).alias("avg_engagement_rate"),
+                    F.sum("playCount").alias("sum_plays"),
+                    F.count_distinct("video_id").alias("count_videos")))
+    iso = dims.iso_df(rows.sparkSession)
+    return per.join(iso, per.region == iso.alpha2).select(
+        "region", F.col("alpha3").alias("iso3"), "avg_engagement_rate", "sum_plays", "count_videos")
 
 
 def scatter(df: DataFrame, top_n: int = 20) -> DataFrame:
@@ -163,3 +171,15 @@ def sample_rows(df: DataFrame, n: int = 200, seed: int = 42) -> DataFrame:
 def region_category_counts(df: DataFrame) -> DataFrame:
     """Coverage of the (region, category) grid that has data (J6 re-aimed)."""
     return df.groupBy("region", "category").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def coverage_grid(df: DataFrame, regions: Sequence[str], categories: Sequence[str]) -> DataFrame:
+    """Every (region, category) cell of two given lists with its number of rows, 0 where there are none.
+
+    The grid comes from two literal lists (their bound is the caller's); the facts are counted first, by
+    map-side aggregation, and only the counts meet the grid."""
+    cells = (df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(r) for r in dict.fromkeys(regions)])).alias("region"))
+               .select("region", F.explode(F.array(*[F.lit(c) for c in dict.fromkeys(categories)])).alias("category")))
+    counts = region_category_counts(df.where(F.col("region").isin(list(regions)) & F.col("category").isin(list(categories))))
+    return cells.join(counts, ["region", "category"], "left").select(
+        "region", "category", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))

@@ -94,7 +94,7 @@ def entry_texts(raw: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def extract_keyword_facts(raw: DataFrame, as_of: _dt.datetime, top_k: int = 20,
-                          extra_texts: DataFrame | None = None) -> DataFrame:
+                          extra_texts: DataFrame | None = None, stopwords: DataFrame | None = None) -> DataFrame:
     """Metadata (+ optional per-frame texts keyed by entry_id) -> keyword facts.
 
     Keywords are extracted per (entry, modality, frame) and joined back to the
@@ -105,7 +105,7 @@ def extract_keyword_facts(raw: DataFrame, as_of: _dt.datetime, top_k: int = 20,
     if extra_texts is not None:
         texts = texts.unionByName(extra_texts.select("entry_id", "modality", "frame", "text"))
     keys = ["entry_id", "modality", "frame_k"]
-    kws = keywords(with_frame_key(texts), keys, top_k)
+    kws = keywords(with_frame_key(texts), keys, top_k, stopwords)
     entries = video_records(raw, as_of)
     return (kws.join(entries, "entry_id", "inner")
                .withColumn("confidence", F.lit(1.0))

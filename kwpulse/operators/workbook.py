@@ -1,8 +1,8 @@
 """The BI workbook's four sheets.
 
 Top-N sets are computed over all rows first (the workbook's Top N filters run
-before its dimension filters) and ranked from the sheet's own aggregate, so the
-fact rows are scanned and shuffled once and no join is needed.
+before its dimension filters) and ranked from the sheet's own aggregate, written once, so the
+fact rows are scanned and shuffled once.
 """
 
 from __future__ import annotations
@@ -14,32 +14,41 @@ from pyspark.sql import functions as F
 
 from kwpulse.functions import dims
 from kwpulse.functions.exprs import r6
+from kwpulse.sources.files import stored
 
 
-def _top_keywords(agg: DataFrame, measure, n: int, cols: Sequence[str]) -> DataFrame:
+def _top_keywords(agg: DataFrame, measure, n: int) -> DataFrame:
     """The rows of ``agg`` (one per keyword x dimension value) of the N best keywords.
 
-    ``agg`` is already aggregated, so a keyword has at most one row per value of
-    a small fixed dimension (modality or region); regrouping it per keyword with
-    those rows as an array, ranking, and unpacking the N winners needs no second
-    scan of the facts and no join.
-    """
-    per_kw = (agg.groupBy("keyword")
-                 .agg(measure.alias("_m"), F.collect_list(F.struct(*cols)).alias("_rows")))
-    return (per_kw.orderBy(F.desc_nulls_last("_m"), F.asc_nulls_first("keyword")).limit(n)
-                  .select("keyword", F.inline("_rows")))
+    The aggregate is written once; the N keywords are taken from its regroup and joined back to it (N rows, broadcast;
+    a null keyword is one too), so the facts are scanned once and no keyword's rows are gathered."""
+    agg = stored(agg, "sheet")
+    best = (agg.groupBy("keyword").agg(measure.alias("_m"))
+               .orderBy(F.desc_nulls_last("_m"), F.asc_nulls_first("keyword")).limit(n).select(F.col("keyword").alias("_k")))
+    return agg.join(F.broadcast(best), F.col("keyword").eqNullSafe(F.col("_k")), "left_semi")
+
+
+def keyword_modality(clean: DataFrame) -> DataFrame:
+    return (clean.groupBy("keyword", "modality")
+                 .agg(F.sum("engagement_total").alias("sum_engagement_total"),
+                      F.sum("playCount").alias("sum_playcount"),
+                      r6(F.avg("playCount")).alias("avg_playcount")))
+
+
+def keyword_region(clean: DataFrame) -> DataFrame:
+    return (clean.groupBy("keyword", "region")
+                 .agg(r6(F.avg("discussion_rate")).alias("avg_discussion_rate"),
+                      r6(F.avg("virality_index")).alias("avg_virality_index"),
+                      F.sum("engagement_total").alias("sum_engagement_total"),
+                      F.sum("playCount").alias("_play_sum"),
+                      F.count("playCount").alias("_play_n")))
 
 
 def top_keywords_sheet(clean: DataFrame, top_n: int = 10, min_total: int | None = None,
                        max_total: int | None = None) -> DataFrame:
     """Sheet 1: top N keywords by SUM(engagement_total), bars split by modality,
     range filter on the (keyword, modality) sum."""
-    km = (clean.groupBy("keyword", "modality")
-               .agg(F.sum("engagement_total").alias("sum_engagement_total"),
-                    F.sum("playCount").alias("sum_playcount"),
-                    r6(F.avg("playCount")).alias("avg_playcount")))
-    out = _top_keywords(km, F.sum("sum_engagement_total"), top_n,
-                        ["modality", "sum_engagement_total", "sum_playcount", "avg_playcount"])
+    out = _top_keywords(keyword_modality(clean), F.sum("sum_engagement_total"), top_n)
     if min_total is not None:
         out = out.filter(F.col("sum_engagement_total") >= min_total)
     if max_total is not None:
@@ -71,15 +80,8 @@ def scatter_sheet(clean: DataFrame, top_n: int = 30,
     The (keyword, region) aggregate carries the play sum and count, from which
     the per-keyword mean (the Top N measure, over all regions) is re-aggregated.
     """
-    kr = (clean.groupBy("keyword", "region")
-               .agg(r6(F.avg("discussion_rate")).alias("avg_discussion_rate"),
-                    r6(F.avg("virality_index")).alias("avg_virality_index"),
-                    F.sum("engagement_total").alias("sum_engagement_total"),
-                    F.sum("playCount").alias("_play_sum"),
-                    F.count("playCount").alias("_play_n")))
     mean_play = F.try_divide(F.sum("_play_sum"), F.sum("_play_n"))
-    rows = _top_keywords(kr, mean_play, top_n,
-                         ["region", "avg_discussion_rate", "avg_virality_index", "sum_engagement_total"])
+    rows = _top_keywords(keyword_region(clean), mean_play, top_n).drop("_play_sum", "_play_n")
     return rows.filter(F.col("region").isNull() | ~F.col("region").isin(list(excluded_regions)))
 
 

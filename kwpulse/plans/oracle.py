@@ -12,11 +12,15 @@ import datetime as _dt
 
 from kwpulse.functions import dims
 from kwpulse.functions.exprs import TOKEN_PATTERN
-from kwpulse.operators.growth import METRIC_NAMES, window_bounds
 from kwpulse.plans import params as P
 from kwpulse.schemas import STAT_FIELDS
 
 
+# Stated here anew, not taken from the code under test.
+WINDOW_HOURS = {"hourly": 1, "daily": 24, "weekly": 168}
+METRIC_NAMES = ("videos_processed_last_24h", "keywords_extracted_last_24h", "unique_keywords_last_24h", "rows_missing_stats")
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -99,7 +103,8 @@ def _with(*ctes: str) -> str:
 
 def growth_sql(time_window: str, threshold: float, region=None, category=None,
                min_likes=0, min_comments=0, min_shares=0, min_views=0, limit=20) -> str:
-    lo, mid, hi = window_bounds(P.AS_OF, time_window)
+    period = _dt.timedelta(hours=WINDOW_HOURS[time_window])
+    lo, mid, hi = P.AS_OF - 2 * period, P.AS_OF - period, P.AS_OF
 
     def side(a, b):
         cond = [f"detected_at >= {_ts(a)}", f"detected_at < {_ts(b)}",
@@ -182,13 +187,13 @@ def texts_cte(sources=("documents", "conversations", "benchmark")) -> str:
     return "texts AS (SELECT *, COALESCE(frame, -1) AS frame_k FROM (" + " UNION ALL ".join(parts) + "))"
 
 
-def keyword_ctes(src: str, keys: list[str], top_k: int = 20) -> list[str]:
+def keyword_ctes(src: str, keys: list[str], top_k: int = 20, stopwords: str = f"SELECT * FROM {SW}") -> list[str]:
     k = ", ".join(keys)
     fk = ", ".join(f"f.{c}" for c in keys)
     on = " AND ".join(f"f.{c} = l.{c}" for c in keys)
     pat = _q(TOKEN_PATTERN)
     return [
-        f"sw AS (SELECT * FROM {SW})",
+        f"sw AS ({stopwords})",
         f"tok AS (SELECT * FROM (SELECT {k}, unnest(l) AS token, generate_subscripts(l, 1) AS pos "
         f"FROM (SELECT {k}, regexp_extract_all(lower(text), {pat}) AS l FROM {src})) "
         f"WHERE NOT regexp_full_match(token, '[0-9]+'))",
@@ -351,6 +356,10 @@ def oracle_sql() -> dict[str, str]:
         "LEFT JOIN d2 ON t.keyword = d2.keyword")
     q["region_category_counts"] = _with(KW) + ("SELECT region, category, count(*) AS rows FROM kw "
                                                "GROUP BY region, category")
+    grid = [f"SELECT unnest([{', '.join(map(_q, xs))}]) AS {c}" for c, xs in (("region", P.GRID_REGIONS), ("category", P.GRID_CATEGORIES))]
+    q["coverage_grid"] = _with(KW) + (
+        f"SELECT r.region, c.category, count(kw.video_id) AS rows FROM ({grid[0]}) r CROSS JOIN ({grid[1]}) c "
+        "LEFT JOIN kw ON kw.region = r.region AND kw.category = c.category GROUP BY ALL")
 
     # --- workbook
     top10 = (f"t10 AS (SELECT keyword FROM clean GROUP BY keyword ORDER BY sum(engagement_total) DESC, "
@@ -393,6 +402,7 @@ def oracle_sql() -> dict[str, str]:
     q["metrics"] = metrics_sql()
     q["hourly_counts"] = _with(KW) + HOURLY_BODY.format(where="")
     q["hourly_counts_stream"] = q["hourly_counts"]
+    q["backtest_delta"], q["metrics_bitmaps"], q["rollup_folded"] = q["backtest"], q["metrics"], q["hourly_counts"]
     q["growth_stored"], q["backtest_stored"], q["metrics_stored"] = q["growth_weekly"], q["backtest"], q["metrics"]
     q["sample_size"] = _with(DASH, dash_window) + (
         f"SELECT least({P.SAMPLE_N}, count(*)) AS sampled, CAST(0 AS BIGINT) AS foreign_rows FROM win")
@@ -409,6 +419,7 @@ def oracle_sql() -> dict[str, str]:
                                   *keyword_ctes("src", ["entry_id", "modality", "frame_k"])) + (
         "SELECT r.video_id, t.keyword, t.modality, CAST(1.0 AS DOUBLE) AS confidence, r.detected_at, "
         "r.posted_at, r.region, r.category, r.stats FROM top t JOIN rec r ON t.entry_id = r.entry_id")
+    q["extract_retry"], q["video_array"] = q["extract_keywords"], q["video_flatten"]
     least = " AND ".join(f"{_stat(f)} >= {n}" for f, n in (("diggCount", 50), ("commentCount", 5),
                                                            ("shareCount", 2), ("playCount", 1000)))
     q["run_all_trending"] = (  # every row is new: two mentions or more grow from nothing, by 999
@@ -439,4 +450,23 @@ def oracle_sql() -> dict[str, str]:
     q["modality_union"] = _with(texts_cte(), *kc) + (
         "SELECT video_id, modality, CASE WHEN frame_k = -1 THEN NULL ELSE frame_k END AS frame, "
         "keyword, rank FROM top")
+    q["keywords_corpus_stopwords"] = _with(texts_cte(), *keyword_ctes("texts", doc_keys, stopwords=(
+        f"SELECT lang, word FROM (SELECT lang, unnest(list_distinct(regexp_extract_all(lower(text), {_q(TOKEN_PATTERN)}))) AS word "
+        "FROM documents WHERE lang IS NOT NULL) JOIN (SELECT lang, count(*) AS texts FROM documents WHERE text IS NOT NULL GROUP BY lang) "
+        f"USING (lang) GROUP BY lang, word, texts HAVING count(*) >= {P.STOPWORD_SHARE}::DOUBLE * texts"))) + (
+        "SELECT video_id, modality, CASE WHEN frame_k = -1 THEN NULL ELSE frame_k END AS frame, keyword, rank FROM top")
+    q["language_model"] = """
+WITH docs AS (SELECT row_number() OVER () AS rn, doc_id, text, lang, md5(doc_id::VARCHAR)[1] < '5' AS held_out FROM documents),
+words AS (SELECT rn, unnest(regexp_extract_all(lower(text), '\\p{L}{1,32}')) AS word FROM docs),
+grams AS (SELECT rn, substr(' ' || word || ' ', unnest(range(1, length(word) + 1)), 3) AS gram FROM words),
+counts AS (SELECT lang, gram, count(*) AS n FROM grams JOIN docs USING (rn) WHERE lang IS NOT NULL AND NOT held_out GROUP BY ALL),
+totals AS (SELECT lang, sum(n) + 3000 AS total FROM counts GROUP BY lang),
+best AS (SELECT * FROM counts QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) <= 3000),
+wanted AS (SELECT rn, gram, count(*) AS k FROM grams GROUP BY ALL),
+scores AS (
+  SELECT rn, t.lang, sum(k * floor(1000 * ln((coalesce(b.n, 0) + 1)::DOUBLE / t.total::DOUBLE))::BIGINT) AS s
+  FROM wanted CROSS JOIN totals t LEFT JOIN best b ON b.lang = t.lang AND b.gram = wanted.gram GROUP BY ALL),
+found AS (SELECT rn, lang FROM scores QUALIFY row_number() OVER (PARTITION BY rn ORDER BY s DESC, lang) = 1)
+SELECT d.lang AS lang_true, held_out, coalesce(f.lang, 'en') AS lang_detected, count(*) AS docs
+FROM docs d LEFT JOIN found f USING (rn) GROUP BY ALL"""
     return q

@@ -36,10 +36,15 @@ END = _dt.datetime(2024, 1, 20)
 API_TOP_N = 50
 DASH_TOP_N = 20
 
+# The collector's grid; some of its cells have no data.
+GRID_REGIONS = ["US", "CN", "BR", "DE", "FR", "JP", "UK", "KR", "XX"]
+GRID_CATEGORIES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "memes"]
+STOPWORD_SHARE = 0.3
+
 # Workbook sheets; each selection leaves some members of the driver data out.
 WB_TOP_N = 10
-WB_MIN_TOTAL = 2000  # drops rows at sf0.001
-WB_MAX_TOTAL = 16000  # drops rows at sf0.01
+WB_MIN_TOTAL = 10_000  # drops rows at sf0.01
+WB_MAX_TOTAL = 125_000  # drops rows at sf0.1
 WB_SCATTER_TOP_N = 30
 WB_CATEGORIES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]
 WB_MODALITIES = ["click", "purchase", "signup", "view"]

@@ -1,8 +1,8 @@
 """The read side as a user calls it: the API's keyword report and export, and
 the dashboard's chain (load -> selections -> row top-N -> reports).
 
-Each function composes the operators into lazy DataFrames (nothing is collected
-or cached here); the caller decides which ones to run or write.
+Each function composes the operators into DataFrames (nothing is collected or cached here; only
+``dashboard_reports`` writes its selection); the caller decides which ones to run or write.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from kwpulse.operators import clean as C
 from kwpulse.operators import filters as FL
 from kwpulse.operators import reports as R
+from kwpulse.sources.files import stored
 
 
 def api_keywords(clean: DataFrame, regions: Sequence[str] | None = None,
@@ -57,8 +58,9 @@ def dashboard_reports(clean: DataFrame, regions: Sequence[str] | None = None,
                       categories: Sequence[str] | None = None, modalities: Sequence[str] | None = None,
                       start=None, end=None, top_n: int | None = 20,
                       sample_n: int = 200, seed: int = 42) -> dict[str, DataFrame]:
-    """Every dashboard panel over the same selected rows."""
-    rows = dashboard_rows(clean, regions, categories, modalities, start, end, top_n)
+    """Every dashboard panel over the same selected rows, which are written once to the shared folder: the
+    facts are scanned once for all panels."""
+    rows = stored(dashboard_rows(clean, regions, categories, modalities, start, end, top_n), "dashboard")
     k = top_n or 20
     return {
         "rows": R.row_count(rows),

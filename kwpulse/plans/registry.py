@@ -10,13 +10,16 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kwpulse.operators import bitmaps as B
 from kwpulse.operators import clean as C
 from kwpulse.operators import extract as X
 from kwpulse.operators import filters as FL
 from kwpulse.operators import growth as G
+from kwpulse.operators import language as LG
 from kwpulse.operators import reports as R
 from kwpulse.operators import videos as V
 from kwpulse.operators import workbook as W
@@ -25,6 +28,7 @@ from kwpulse.plans import params as P
 from kwpulse.plans.read_side import dashboard_window
 from kwpulse.session import configure, scratch_path
 from kwpulse.sources import files as IO
+from kwpulse.sources import runs
 from kwpulse.sources import tables as TB
 from kwpulse.streaming import rollup as RS
 
@@ -100,6 +104,83 @@ def _run_all_trending(spark, sf):
     return spark.read.parquet(out["trending"]).select("keyword", "region", "category", "mentions", "growth_rate")
 
 
+def _extract_retry(spark, sf):
+    """C1 with a run that died before its commit, was repeated, and then repeated once more: its facts count once."""
+    out = J.paths(scratch_path(spark, "retried"))
+    videos = _payloads(spark, sf)
+    dead = runs.new_attempt(runs.run_of(P.AS_OF))
+    IO.write_facts(V.extract_keyword_facts(videos, P.AS_OF, P.TOP_K), out["facts"], attempt=dead)
+    for _ in range(2):
+        J.extract_job(spark, videos, out, P.AS_OF, write_csv=False)
+    return J.facts_of(spark, out).drop("detected_date")
+
+
+def _video_array(spark, sf):
+    """The payloads as JSON array files, one a task, read back in byte ranges."""
+    def arrays(batches):
+        begun = False
+        for b in batches:
+            for r in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([("," if begun else "[") + r])], names=["value"])
+                begun = True
+        if begun:
+            yield pa.RecordBatch.from_arrays([pa.array(["]"])], names=["value"])
+
+    path = scratch_path(spark, "arrays")
+    rows = _payloads(spark, sf).drop("entry_id")
+    rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).mapInArrow(arrays, "value string").write.text(path)
+    good, _ = IO.split_quarantine(IO.read_videos(spark, path, multiline=True))
+    return V.flatten_payload(good)
+
+
+def _language_model(spark, sf):
+    """A trigram model fitted on the documents of eleven sixteenths of the ids' hashes, applied to all of them."""
+    docs = TB.read_table(configure(spark), sf, "documents", "doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1) < "5")
+    model = LG.fit(docs.where(~F.coalesce("held_out", F.lit(True))))
+    found = LG.languages(docs.withColumnRenamed("lang", "lang_true"), ["doc_id", "lang_true", "held_out"], model)
+    return found.groupBy("lang_true", "held_out", F.col("lang").alias("lang_detected")).agg(F.count(F.lit(1)).alias("docs"))
+
+
+def _corpus_stopwords(spark, sf):
+    """keywords of all texts under a stopword table that the documents give."""
+    table = X.corpus_stopwords(TB.read_table(configure(spark), sf, "documents", "text", "lang"), P.STOPWORD_SHARE)
+    return X.modal_keywords(TB.modal_texts(spark, sf), P.TOP_K, table)
+
+
+def _backtest_delta(spark, sf):
+    """C4 from stored daily counts; the facts are read for the days of the two cut-offs only."""
+    facts, daily = scratch_path(spark, "facts"), scratch_path(spark, "daily")
+    IO.write_facts(_kw(spark, sf), facts, mode="overwrite")
+    stored = IO.read_facts(spark, facts)
+    G.daily_counts(stored).write.partitionBy("detected_date").parquet(daily)
+    deltas = spark.read.schema("keyword string, mentions long, detected_date date").parquet(daily)
+    return G.backtest_delta(deltas, stored, P.AS_OF, P.BACKTEST_DAYS_BACK, P.BACKTEST_HORIZON)
+
+
+def _metrics_bitmaps(spark, sf):
+    """C5 with exact distinct counts from daily bitmaps, of a dictionary that grew in two steps."""
+    facts = IO.stored(_kw(spark, sf), "facts")
+    early = facts.where(F.col("detected_at") < P.END)
+    ids, maps = {}, {}
+    for c in ("video_id", "keyword"):
+        first = IO.stored(B.extended_ids(early.select(F.col(c).alias("value"))), "ids")
+        ids[c] = IO.stored(B.extended_ids(facts.select(F.col(c).alias("value")), first), "ids")
+        maps[c] = IO.stored(B.daily_bitmaps(facts, c, ids[c]), "bitmaps")
+    return B.metrics(facts, maps, ids, P.AS_OF)
+
+
+def _rollup_folded(spark, sf):
+    """R1 refreshed, folded, refreshed with more facts, and folded only half again, as after a crash."""
+    facts, sink, ckpt = (scratch_path(spark, n) for n in ("facts", "rollup", "rollup-ckpt"))
+    rows = IO.stored(_kw(spark, sf), "kw")
+    for late in (False, True):
+        IO.write_facts(rows.where((F.col("detected_at") >= P.START) == late), facts)
+        RS.stream_hourly_counts(spark, facts, sink, ckpt)
+        RS.write_fold(spark, sink) if late else RS.fold_rollup(spark, sink)
+    return RS.read_folded(spark, sink)
+
+
 def _sample_size(spark, sf):
     """T8 by its invariants: how many rows are drawn, and how many of them are not input rows."""
     rows = dashboard_window(_dash(spark, sf))
@@ -173,7 +254,7 @@ def queries() -> dict[str, Query]:
         "keyword_modality": lambda s, d: R.keyword_modality_sheet(_clean(s, d)),
         "dominant_modality": lambda s, d: R.dominant_modality(R.keyword_modality(_clean(s, d))),
         "top_keywords_modality": lambda s, d: R.top_keywords_modality(_clean(s, d), P.DASH_TOP_N),
-        "region_map": lambda s, d: R.region_map(_dash(s, d)),
+        "region_map": lambda s, d: R.region_map(C.dashboard_frame(_clean(s, d), with_iso=False)),
         "scatter": lambda s, d: R.scatter(_clean(s, d), P.DASH_TOP_N),
         "category_compare": lambda s, d: R.category_compare(_clean(s, d)),
         "filter_options": lambda s, d: R.filter_options(_dash(s, d)),
@@ -184,6 +265,7 @@ def queries() -> dict[str, Query]:
             R.top_rows(dashboard_window(_dash(s, d)), P.DASH_TOP_N), P.DASH_TOP_N),
         "sample_rows": lambda s, d: R.sample_rows(dashboard_window(_dash(s, d)), P.SAMPLE_N, P.SAMPLE_SEED),
         "region_category_counts": lambda s, d: R.region_category_counts(_kw(s, d)),
+        "coverage_grid": lambda s, d: R.coverage_grid(_kw(s, d), P.GRID_REGIONS, P.GRID_CATEGORIES),
         # workbook
         "wb_top_keywords": lambda s, d: W.top_keywords_sheet(_clean(s, d), P.WB_TOP_N,
                                                              P.WB_MIN_TOTAL, P.WB_MAX_TOTAL),
@@ -201,11 +283,16 @@ def queries() -> dict[str, Query]:
         "growth_stored": _stored(lambda f: G.growth(f, P.AS_OF, "weekly", 0.5, limit=50, **P.SCHEDULED_MINIMUMS)),
         "backtest_stored": _stored(lambda f: G.backtest(f, P.AS_OF, P.BACKTEST_DAYS_BACK, P.BACKTEST_HORIZON)),
         "metrics_stored": _stored(lambda f: G.metrics(f, P.AS_OF)),
+        "backtest_delta": _backtest_delta,
+        "metrics_bitmaps": _metrics_bitmaps,
         "run_all_trending": _run_all_trending,
+        "extract_retry": _extract_retry,
         "sample_size": _sample_size,
         "hourly_counts": lambda s, d: G.hourly_counts(_kw(s, d)),
         "hourly_counts_stream": _hourly_stream,
+        "rollup_folded": _rollup_folded,
         # video metadata path
+        "video_array": _video_array,
         "video_flatten": lambda s, d: V.flatten_payload(_payloads(s, d)),
         "video_fields": lambda s, d: V.video_records(_payloads(s, d), P.AS_OF).select(
             "entry_id", "video_id", "region", "category", "stats"),
@@ -218,6 +305,8 @@ def queries() -> dict[str, Query]:
         "token_freq": _token_freq,
         "detect_language": _detect_language,
         "language_confusion": _language_confusion,
+        "language_model": _language_model,
+        "keywords_corpus_stopwords": _corpus_stopwords,
         "modality_union": lambda s, d: X.modal_keywords(TB.modal_texts(configure(s), d), P.TOP_K),
     }
     return q

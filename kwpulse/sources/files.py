@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kwpulse.schemas import CSV_TS_FORMAT, KW, KW_CLEAN_CSV, KW_CSV, VIDEO
-from kwpulse.session import checkpoint_dir
+from kwpulse.session import checkpoint_dir, scratch_path
+from kwpulse.sources.runs import ATTEMPT, only_committed
 
 CORRUPT = "_corrupt_record"
 CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"',
@@ -27,13 +28,14 @@ def read_videos(spark: SparkSession, path: str, multiline: bool = False) -> Data
 
     Every record is parsed by itself, so a malformed or mistyped one costs only itself: it is
     kept with its own text in ``_corrupt_record``; split those off with ``split_quarantine``.
-    An array file is read by one task; JSON lines are split.
+    Files of both kinds are read by many tasks (arrays: ``sources.json_arrays``, at the price of two passes); a truncated
+    array loses its last record only.
     """
-    lines = spark.read.text(path, wholetext=multiline)
     if multiline:
-        items = F.from_json("value", "array<string>", {"mode": "PERMISSIVE"})
-        # a file that is no array is one corrupt record
-        lines = lines.select(F.explode(F.coalesce(items, F.array("value"))).alias("value"))
+        from kwpulse.sources.json_arrays import array_records
+        lines = array_records(spark, path)
+    else:
+        lines = spark.read.text(path)
     return parse_video_lines(lines.filter(F.trim("value") != ""), "value")
 
 
@@ -71,14 +73,19 @@ def append_videos(videos: DataFrame, path: str) -> None:
 
 # ---- keyword CSV
 
-def write_keywords_csv(kw: DataFrame, path: str, mode: str = "append") -> None:
-    """CSV with header; the stats column is spelled ``stats_json``."""
+def write_keywords_csv(kw: DataFrame, path: str, mode: str = "append", attempt: str | None = None) -> None:
+    """CSV with header; the stats column is spelled ``stats_json``. With ``attempt`` the rows go
+    to that attempt's partition."""
     out = kw.withColumnRenamed("stats", "stats_json") if "stats" in kw.columns else kw
-    out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    if attempt:
+        out = out.withColumn(ATTEMPT, F.lit(attempt))
+    out.write.mode(mode).options(**CSV_OPTIONS).partitionBy(*[ATTEMPT] * bool(attempt)).csv(path)
 
 
-def read_keywords_csv(spark: SparkSession, path: str, clean: bool = False, multiline: bool = False) -> DataFrame:
-    """Typed CSV read (never inferred); a missing path raises.
+def read_keywords_csv(spark: SparkSession, path: str, clean: bool = False, multiline: bool = False,
+                      ledger: str | None = None) -> DataFrame:
+    """Typed CSV read (never inferred); a missing path raises. With ``ledger`` the rows of
+    committed runs only.
 
     Timestamps may have a fraction and an offset or not (``2025-11-09 12:34:56.123456+00:00``);
     they become UTC, unparsable ones NULL. ``multiline`` allows line breaks inside quoted values,
@@ -87,7 +94,8 @@ def read_keywords_csv(spark: SparkSession, path: str, clean: bool = False, multi
     schema = KW_CLEAN_CSV if clean else KW_CSV
     times = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
     texts = T.StructType([T.StructField(f.name, T.StringType()) if f.name in times else f for f in schema.fields])
-    rows = spark.read.schema(texts).options(**CSV_OPTIONS, multiLine=str(multiline).lower()).csv(path)
+    rows = spark.read.schema(_with_attempt(texts, ledger)).options(**CSV_OPTIONS, multiLine=str(multiline).lower()).csv(path)
+    rows = (only_committed(rows, ledger) if ledger else rows).select(*texts.names)
     return rows.withColumns({c: F.col(c).try_cast("timestamp").cast("timestamp_ntz") for c in times})
 
 
@@ -98,27 +106,52 @@ def csv_as_facts(df: DataFrame) -> DataFrame:
 
 # ---- parquet tables
 
-def write_facts(kw: DataFrame, path: str, mode: str = "append") -> None:
-    """Keyword facts partitioned by detection date (time chunking).
+def _with_attempt(schema: T.StructType, ledger: str | None) -> T.StructType:
+    return T.StructType(schema.fields + [T.StructField(ATTEMPT, T.StringType())]) if ledger else schema
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several plans read to the shared folder, once, and read it back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_facts(kw: DataFrame, path: str, mode: str = "append", attempt: str | None = None) -> None:
+    """Keyword facts partitioned by detection date (time chunking), and with ``attempt`` below that by
+    the attempt that wrote them (``sources.runs``).
 
     The ``rebalance`` hint clusters rows by date so each date gets few files, and
     lets AQE split a date that holds a large share of the rows over several
     writers (``optimizeSkewsInRebalancePartitions``) instead of one task.
     """
+    if attempt:
+        kw = kw.withColumn(ATTEMPT, F.lit(attempt))
     (kw.withColumn("detected_date", F.to_date("detected_at"))
        .hint("rebalance", "detected_date")
-       .write.mode(mode).partitionBy("detected_date").parquet(path))
+       .write.mode(mode).partitionBy("detected_date", *[ATTEMPT] * bool(attempt)).parquet(path))
+
+
+def facts_schema(*text_partitions: str) -> T.StructType:
+    return T.StructType(KW.fields + [T.StructField("detected_date", T.DateType())]
+                        + [T.StructField(c, T.StringType()) for c in text_partitions])
 
 
-def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    """The stored fact table; date predicates prune ``detected_date`` partitions."""
-    schema = T.StructType(KW.fields + [T.StructField("detected_date", T.DateType())])
-    return spark.read.schema(schema).parquet(path)
+def read_facts(spark: SparkSession, path: str, ledger: str | None = None) -> DataFrame:
+    """The stored fact table; date predicates prune ``detected_date`` partitions. With ``ledger`` the
+    rows of committed runs only."""
+    schema = facts_schema()
+    rows = spark.read.schema(_with_attempt(schema, ledger)).parquet(path)
+    return (only_committed(rows, ledger) if ledger else rows).select(*schema.names)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Append to a parquet table (trending rows, metrics)."""
-    df.write.mode(mode).parquet(path)
+def write_table(df: DataFrame, path: str, mode: str = "append", run_id: str | None = None) -> None:
+    """Append to a parquet table (trending rows, metrics). With ``run_id`` the rows become that run's
+    partition, so repeating the run replaces them."""
+    if run_id is None:
+        return df.write.mode(mode).parquet(path)
+    (df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("run_id").parquet(path))
 
 
 def with_defaults(df: DataFrame, as_of, columns=("detected_at",)) -> DataFrame:
