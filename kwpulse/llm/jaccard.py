@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from kwpulse.llm.common import U64, column, components, grams, hash_words, mix, slices, written
 
 LEAF = 128  # documents that one task compares at once
+FEW = 16  # members up to which groups are compared together
 TILE = 64  # documents of a part of a region
 PIVOTS = 16  # of a crowd, as expected number
 MOST_PIVOTS = 24
@@ -194,6 +195,24 @@ def runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[p
         yield pd.concat(held) if len(held) > 1 else held[0]
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Arrays (sig, node, n, histograms) of a partition sorted by sig; a group is never cut, it waits for its last row."""
+    held = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        raw = b"".join(column(b, "histogram").to_pylist())
+        part = [*(np.asarray(column(b, c)) for c in ("sig", "node", "n")), np.frombuffer(raw, "<u2").reshape(b.num_rows, HISTOGRAM).astype(np.int32)]
+        if held is not None:
+            part = [np.concatenate(x) for x in zip(held, part, strict=True)]
+        cut = int(np.searchsorted(part[0], part[0][-1]))
+        held = [x[cut:] for x in part]
+        if cut:
+            yield tuple(x[:cut] for x in part)
+    if held is not None:
+        yield tuple(held)
+
+
 def _edges(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.binary()), pa.array([y for _, y in pairs], pa.binary())],
                                       names=["u", "v"])
@@ -267,16 +286,26 @@ def _neighbours(docs: DataFrame, scan: DataFrame, frequent, k: int, bound: Bound
     near = near.join(about, "node").repartition("sig").sortWithinPartitions("sig", "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in runs(batches, ("sig",)):
-            if len(g) < 2:
-                continue
-            h = np.frombuffer(b"".join(g["histogram"]), "<u2").reshape(len(g), -1).astype(np.int32)
-            n, own = g["n"].to_numpy(), g["node"].to_numpy()
-            close = np.stack([np.abs(h - x).sum(axis=1) for x in h]) <= bound.most_different(n[:, None], n[None, :])
-            e = spanning(close)
-            if e:
-                yield pa.RecordBatch.from_arrays([pa.array([own[i] for i, _ in e], pa.int64()),
-                                                  pa.array([own[j] for _, j in e], pa.int64())], names=["u", "v"])
+        for sig, own, n, h in whole_groups(batches):
+            start = np.append(True, sig[1:] != sig[:-1])
+            size = np.diff(np.append(np.nonzero(start)[0], len(sig)))
+            few = np.repeat(size <= FEW, size)
+            u, v = [], []
+            for lag in range(1, min(int(size.max()), FEW)):  # all pairs of the small groups, a distance in the order at a time
+                i = np.nonzero((sig[lag:] == sig[:-lag]) & few[lag:])[0]
+                i = i[np.abs(h[i] - h[i + lag]).sum(axis=1) <= bound.most_different(n[i], n[i + lag])]
+                u.append(own[i])
+                v.append(own[i + lag])
+            first = np.nonzero(start)[0]
+            for a, k in zip(first[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
+                g = h[a:a + k]
+                close = np.stack([np.abs(g - x).sum(axis=1) for x in g]) <= bound.most_different(n[a:a + k, None], n[None, a:a + k])
+                e = np.array(spanning(close), np.int64).reshape(-1, 2) + a
+                u.append(own[e[:, 0]])
+                v.append(own[e[:, 1]])
+            if u:
+                pairs = np.unique(np.stack([np.concatenate(u), np.concatenate(v)], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
     edges = near.mapInArrow(compare, "u long, v long")
     large = rows.where(f"salt >= 0 OR size > {LEAF}").select("sig", "node", "least")

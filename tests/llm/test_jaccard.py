@@ -67,7 +67,7 @@ def corpus(rnd):
 @pytest.mark.parametrize("k,num,den,tiny", [(3, 90, 100, False), (3, 90, 100, True), (5, 80, 100, True), (1, 70, 100, True), (2, 1, 1, False)])
 def test_against_brute_force(spark, monkeypatch, k, num, den, tiny):
     if tiny:
-        for name, x in (("LEAF", 6), ("TILE", 4), ("PIVOTS", 3), ("MOST_PIVOTS", 4), ("LOCAL", 2), ("FREQUENT", 3)):
+        for name, x in (("LEAF", 6), ("TILE", 4), ("PIVOTS", 3), ("MOST_PIVOTS", 4), ("LOCAL", 2), ("FREQUENT", 3), ("FEW", 3)):
             monkeypatch.setattr(jaccard, name, x)
     rows = corpus(random.Random(k * 100 + num))
     df = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, component_id string").repartition(3)
