@@ -12,6 +12,7 @@ import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from kwpulse.llm.common import column, slices
 
@@ -234,27 +235,28 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     A null text counts as empty: no ids. ``path`` is a vocabulary file on every executor (the loaded
     copy is kept per worker). No shuffle: every row is encoded where it is read, in slices of about
     8 MB of text, so only the longest single text sets the memory beyond that. Words met before come
-    from a bounded cache. Repeated rows are encoded each; other columns are dropped.
+    from a bounded cache. Repeated rows are encoded each; other columns are dropped, and so are columns of ``keep``
+    with the name of a result.
     """
-    cols = list(dict.fromkeys([id_col, *keep, text_col]))
-    out_cols = [c for c in cols if c in (id_col, *keep)]
-    src = docs.select(*cols)
-    fields = ", ".join(f"`{c}` {dict(src.dtypes)[c]}" for c in out_cols)
-    schema = f"{fields}, {ENCODED}" + (", ids array<int>, decoded string" if with_ids else "")
+    kept = list(dict.fromkeys([id_col, *keep]))
+    made = ["n_tokens", "ids_sha256", "decoded_sha256"] + (["ids", "decoded"] if with_ids else [])
+    if id_col in made:
+        raise ValueError(f"the id column must not be called {id_col}")
+    kept = [c for c in kept if c not in made]
+    src = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    schema = f"row {src.schema['row'].dataType.simpleString()}, {ENCODED}" + (", ids array<int>, decoded string" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        for b in slices(batches, text_col):
-            ids = v.encode([t or "" for t in column(b, text_col).to_pylist()])
+        for b in slices(batches, "text"):
+            ids = v.encode([t or "" for t in column(b, "text").to_pylist()])
             texts = [v.decode(x) for x in ids]
-            cols = [column(b, c) for c in out_cols] + [
-                pa.array([len(x) for x in ids], pa.int64()),
+            cols = [
+                column(b, "row"), pa.array([len(x) for x in ids], pa.int64()),
                 pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], pa.string()),
                 pa.array([hashlib.sha256(x.encode()).hexdigest() for x in texts], pa.string())]
-            names = [*out_cols, "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
                 cols += [pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array(texts, pa.string())]
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            yield pa.RecordBatch.from_arrays(cols, names=["row", *made])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, schema).select(*[F.col(f"row.`{c}`").alias(c) for c in kept], *made)

@@ -477,12 +477,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """The document with the smallest id of each group, with all its columns; documents without words all
     stay. Of rows that repeat the id and the text one stays."""
     g = _grouped(docs, id_col, text_col, kw.get("k", 5), kw.get("num", 80), kw.get("den", 100))
-    keep = written(g.where("n = 0 OR id <=> component_id").groupBy(F.col("id").alias("_id"), F.col("th").alias("_th"))
-                   .agg(F.count(F.lit(1)).alias("_n"), F.max("n").alias("_words")), "jaccard-keep")
-    d = docs.withColumn("_h", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    match = d[id_col].eqNullSafe(F.col("_id")) & (d["_h"] == F.col("_th"))
-    once = d.join(_few(keep.where("_n = 1 OR _words = 0").select("_id", "_th")), match, "left_semi").drop("_h")
-    again = keep.where("_n > 1 AND _words > 0").select("_id", "_th")
+    keep = written(g.where("n = 0 OR id <=> component_id").groupBy(F.col("id").alias("kept_id"), F.col("th").alias("kept_th"))
+                   .agg(F.count(F.lit(1)).alias("times"), F.max("n").alias("words")), "jaccard-keep")
+    # the input row as one struct, whatever its columns are called
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("i"),
+                    F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("h"))
+    match = d["i"].eqNullSafe(F.col("kept_id")) & (d["h"] == F.col("kept_th"))
+    plain = lambda x: x.select([F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    once = plain(d.join(_few(keep.where("times = 1 OR words = 0").select("kept_id", "kept_th")), match, "left_semi"))
+    again = keep.where("times > 1 AND words > 0").select("kept_id", "kept_th")
     if again.isEmpty():
         return once
-    return once.unionByName(d.join(_few(again), match, "left_semi").dropDuplicates([id_col, "_h"]).drop("_h"))
+    return once.unionByName(plain(d.join(_few(again), match, "left_semi").dropDuplicates(["i", "h"])))

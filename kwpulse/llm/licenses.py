@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Sentences of public licence texts and notices, each with its identifier.
@@ -48,8 +48,14 @@ SENTENCES = {
                  "following disclaimer",
     "BsdBinary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
                  "following disclaimer in the documentation and/or other materials provided with the distribution",
-    "BsdEndorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+    "BsdEndorse": "Neither the name of {} nor the names of its contributors may be used to endorse or "
                   "promote products derived from this software without specific prior written permission",
+    "BsdEndorseNames": "The names of its contributors may not be used to endorse or promote products derived from this "
+                       "software without specific prior written permission",
+    "BsdEndorseName": "The name of {} may not be used to endorse or promote products derived from this software without "
+                      "specific prior written permission",
+    "BsdEndorseNeither": "Neither the name of {} may be used to endorse or promote products derived from this software "
+                         "without specific prior written permission",
     "IscGrant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
                 "hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
     "MplNotice": "This Source Code Form is subject to the terms of the Mozilla Public License, v",
@@ -76,8 +82,8 @@ RULES = (
     ("GPL-2.0-or-later", "(GplHead )?GplTerms GplAny2 "),
     ("LGPL-3.0", "LgplTitle GplVersion3 |LgplNotice "),
     ("AGPL-3.0", "AgplTitle GplVersion3 "),
-    ("BSD-3-Clause", "BsdGrant BsdSource BsdBinary BsdEndorse "),
-    ("BSD-2-Clause", "BsdGrant BsdSource BsdBinary "),
+    ("BSD-3-Clause", "(Reserved )?BsdGrant BsdSource BsdBinary (BsdEndorse|BsdEndorseNames|BsdEndorseName|BsdEndorseNeither) "),
+    ("BSD-2-Clause", "(Reserved )?BsdGrant BsdSource BsdBinary (?!BsdEndorse)"),
     ("ISC", "IscGrant "),
     ("MPL-2.0", "MplNotice "),
     ("CC-BY-NC-SA-4.0", "CcByNcSa "),
@@ -105,12 +111,64 @@ def sentences(text):
     return F.transform(F.split(plain, "\x01"), lambda s: F.trim(s))
 
 
+SLOT = "{}"  # in a known sentence: whatever a text has there, at least one word
+_SLOT_WORD = "zslotz"  # what stands for a slot while a known sentence is normalised
+
+
 def normal_sentences(spark, known: Mapping[str, str]) -> dict[str, list[str]]:
-    """Identifier -> its normalised sentences, by the same functions as the texts."""
+    """Identifier -> its normalised sentences, by the same functions as the texts; slots stay as ``SLOT``.
+
+    Entries without a word, and two entries with one normal form, are errors."""
     if not known:
         return {}
-    rows = spark.createDataFrame(list(known.items()), "id string, s string").select("id", sentences(F.col("s")).alias("s"))
-    return {r["id"]: [x for x in r["s"] if x] for r in rows.collect()}
+    rows = spark.createDataFrame([(k, v.replace(SLOT, f" {_SLOT_WORD} ")) for k, v in known.items()], "id string, s string")
+    out = {r["id"]: [x.replace(_SLOT_WORD, SLOT) for x in r["s"] if x] for r in rows.select("id", sentences(F.col("s")).alias("s")).collect()}
+    seen: dict[tuple[str, ...], str] = {}
+    for name in known:
+        form = tuple(out[name])
+        if not form:
+            raise ValueError(f"the known sentence {name} has no words")
+        if form in seen:
+            raise ValueError(f"the known sentences {seen[form]} and {name} are the same")
+        seen[form] = name
+    return out
+
+
+def _identified(found: Column, normal: Mapping[str, list[str]]) -> Column:
+    """The array of the identifiers of known sentences, in the order of the text.
+
+    Every sentence of any entry has a mark of its own; where an entry has several, they must follow one another in the
+    text. Longer entries are looked for first."""
+    marks: dict[str, str] = {}
+    for parts in normal.values():
+        for x in parts:
+            marks.setdefault(x, f"S{len(marks)}")
+    plain = {x: m for x, m in marks.items() if SLOT not in x}
+    slotted = {x: m for x, m in marks.items() if SLOT in x}
+
+    def mark(s: Column) -> Column:
+        out = F.lit("-")  # an unknown sentence: it parts the sentences around it
+        for x, m in slotted.items():
+            head, tail = x.split(SLOT)[0], x.split(SLOT)[-1]
+            pattern = "^" + ".+".join(x.split(SLOT)) + "$"  # normalised sentences hold letters, digits and blanks only
+            out = F.when(F.startswith(s, F.lit(head)) & F.endswith(s, F.lit(tail)) & F.regexp_like(s, F.lit(pattern)), F.lit(m)).otherwise(out)
+        if plain:
+            table = F.create_map(*[F.lit(x) for kv in plain.items() for x in kv])
+            out = F.when(s.isin(*plain), F.element_at(table, s)).otherwise(out)
+        return out
+
+    several = {name: parts for name, parts in normal.items() if len(parts) > 1}
+    single = {marks[parts[0]]: name for name, parts in normal.items() if len(parts) == 1}
+    seq = F.transform(found, mark)
+    if several:  # a run of marks becomes the identifier; what is left of such sentences alone is unknown
+        line = F.concat(F.array_join(seq, " "), F.lit(" "))
+        for name, parts in sorted(several.items(), key=lambda kv: (-len(kv[1]), kv[0])):
+            line = F.regexp_replace(line, "(?:^|(?<= ))" + " ".join(marks[x] for x in parts) + " ", f"={name} ")
+        seq = F.filter(F.split(line, " "), lambda x: x != "")
+    names = F.create_map(*[F.lit(x) for kv in single.items() for x in kv]) if single else None
+    named = F.transform(seq, lambda x: F.when(F.startswith(x, F.lit("=")), F.substring(x, 2, 1 << 20)).otherwise(
+        F.when(x.isin(*single), F.element_at(names, x)) if single else F.lit(None).cast("string")))
+    return F.filter(named, lambda x: x.isNotNull())
 
 
 def scan(docs: DataFrame, known: Mapping[str, str] = SENTENCES, rules: Sequence[tuple[str, str]] = RULES,
@@ -119,7 +177,8 @@ def scan(docs: DataFrame, known: Mapping[str, str] = SENTENCES, rules: Sequence[
     identifiers of its known sentences, in order, joined by blanks), ``licenses`` (names in rule order,
     comma-joined; ``unknown`` last if known sentences are left that no rule takes).
 
-    A known sentence is found where its normalised form is a whole sentence of the text. Identifiers
+    A known sentence is found where its normalised form is a whole sentence of the text; ``{}`` in it stands for
+    any words (a holder's name), and one that normalises to several sentences is found where these follow one another. Identifiers
     are words of letters and digits; a rule is a regular expression over the sequence in which each
     identifier is followed by one blank and begins after a blank or the start. Rules apply in their
     order, each to what the earlier ones left. A null or empty text has no sentences and empty results.
@@ -128,13 +187,8 @@ def scan(docs: DataFrame, known: Mapping[str, str] = SENTENCES, rules: Sequence[
     no key can be hot; the table of known sentences is a literal of the plan, fixed by the caller.
     """
     normal = normal_sentences(docs.sparkSession, known)
-    ids = {parts[0]: name for name, parts in normal.items() if len(parts) == 1}
     found = F.col("_s")
-    if ids:
-        table = F.create_map(*[F.lit(x) for s, i in ids.items() for x in (s, i)])
-        seq = F.transform(F.filter(found, lambda s: s.isin(*ids)), lambda s: F.element_at(table, s))
-    else:
-        seq = F.array().cast("array<string>")
+    seq = _identified(found, normal) if normal else F.array().cast("array<string>")
     out = (docs.select(F.col(id_col).alias("_id"), sentences(F.col(text_col)).alias("_s"))
            .select("_id", F.filter("_s", lambda s: s != "").alias("_s"))
            .select("_id", F.size("_s").cast("long").alias("n_sentences"), F.array_join(seq, " ").alias("sequence")))

@@ -213,32 +213,36 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _with_removed(docs: DataFrame, id_col: str, text_col: str, **kw) -> DataFrame:
-    gone = written(duplicates(docs, id_col, text_col, **kw), "lines-removed")
-    gone = gone.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("removed").alias("_removed"))
-    d = docs.withColumn("_h", F.xxhash64(text_col))
-    return d.join(_few(gone), d[id_col].eqNullSafe(F.col("_id")) & (d["_h"] == F.col("_key")), "left")
+    """``row`` (the input row as one struct, whatever its columns are called) and ``removed`` (null: nothing)."""
+    gone = written(duplicates(docs, id_col, text_col, **kw), "lines-removed").withColumnRenamed("id", "gone_id")
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(f"`{text_col}`").alias("h"))
+    return d.join(_few(gone), F.col(f"row.`{id_col}`").eqNullSafe(F.col("gone_id")) & (d["h"] == gone["key"]), "left").select(
+        "row", "removed")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """One row per input row: id, ``n_lines``, ``n_removed`` and ``removed`` (line numbers from 0,
-    comma-joined). A null or empty text has no lines."""
-    lines = F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1
-    slim = docs.select(id_col, text_col)
-    return _with_removed(slim, id_col, text_col, **kw).select(
-        id_col, F.when(F.length(text_col) > 0, lines).otherwise(0).cast("long").alias("n_lines"),
-        F.when(F.col("_removed").isNull(), 0).otherwise(F.size("_removed")).cast("long").alias("n_removed"),
-        F.coalesce(F.array_join(F.transform("_removed", lambda x: x.cast("string")), ","), F.lit("")).alias("removed"))
+    comma-joined). A null or empty text has no lines. Other columns are not read."""
+    text = F.col("row.t")
+    lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    slim = docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"))
+    return _with_removed(slim, "i", "t", **kw).select(
+        F.col("row.i").alias(id_col), F.when(F.length(text) > 0, lines).otherwise(0).cast("long").alias("n_lines"),
+        F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed")).cast("long").alias("n_removed"),
+        F.coalesce(F.array_join(F.transform("removed", lambda x: x.cast("string")), ","), F.lit("")).alias("removed"))
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None,
                **kw) -> DataFrame:
-    """The documents without the removed lines, with all their columns; a document of which no word is
-    left, because its lines stand elsewhere, goes. Documents that lose nothing stay as they are.
-    ``count_col`` names a column that becomes the length of a changed text."""
+    """The documents without the removed lines, with all their columns, whatever they are called; a document of which no
+    word is left, because its lines stand elsewhere, goes. Documents that lose nothing stay as they are, null and empty texts
+    too; rows that repeat lose the same lines. ``count_col`` names a column that becomes the length of a changed text."""
     d = _with_removed(docs, id_col, text_col, **kw)
-    kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains("_removed", i)), "\n")
-    new = F.when(F.col("_removed").isNull(), F.col(text_col)).otherwise(kept)
-    d = d.withColumn("_new", new).where(F.col("_removed").isNull() | F.regexp_like("_new", F.lit(r"[\p{L}\p{N}]")))
-    count = F.when(F.col("_removed").isNull(), F.col(count_col)).otherwise(F.length("_new")) if count_col else None
-    new = {text_col: F.col("_new")} | ({count_col: count.cast(docs.schema[count_col].dataType)} if count_col else {})
-    return d.select([new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    old = F.col(f"row.`{text_col}`")
+    kept = F.array_join(F.filter(F.split(old, "\n"), lambda _, i: ~F.array_contains("removed", i)), "\n")
+    d = d.select("row", F.col("removed").isNull().alias("whole"), F.when(F.col("removed").isNull(), old).otherwise(kept).alias("new"))
+    d = d.where(F.col("whole") | F.regexp_like("new", F.lit(r"[\p{L}\p{N}]")))
+    out = {text_col: F.col("new")}
+    if count_col:
+        out[count_col] = F.when(F.col("whole"), F.col(f"row.`{count_col}`")).otherwise(F.length("new")).cast(docs.schema[count_col].dataType)
+    return d.select([out.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

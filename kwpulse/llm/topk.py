@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,34 +18,62 @@ from kwpulse.llm.common import column, written
 BUCKET = 1024  # vectors in a bucket
 QUERIES = 512  # queries in a block
 SEED = 2048  # vectors of largest norm that give each query its first threshold
-LIMIT = 1 << 24  # components beyond this have no exact product in 64 bits
+SMALL = 1 << 24  # components up to this are kept in 32 bits, with products in 64 bits
+SAFE = 1e140  # norms up to which products are finite floats, so that they can prune
+MOST = (1 << 63) - 1
 GROUPS = 64  # of buckets; query blocks meet each group by an equi-join
 COORDINATES = 8
 COSINE = 0.5  # from this local threshold on, coordinates prune better than lengths
 _PACKED = "block long, dim int, n int, top double, reach double, ids binary, vectors binary, theta binary"
 
 
+_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("over", pa.binary())])
+
+
+def integers(vector, scale: int) -> list[int]:
+    """floor(scale * x) of each component, exact also where that is no finite float."""
+    return [math.floor(y) if math.isfinite(y := x * scale) else int(x) * scale for x in vector]
+
+
 def quantise(vectors: list, scale: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(positions, integer vectors) of the vectors that take part."""
+    """(positions, vectors) of the vectors that take part: integers of 32 bits, or the unscaled components as floats
+    where those are too few."""
     at, out = [], []
     for i, v in enumerate(vectors):
         if v is None or any(x is None for x in v):
             continue
-        q = np.floor(np.asarray(v, dtype=np.float64) * scale)
-        if np.isfinite(q).all() and (np.abs(q) <= LIMIT).all():
+        x = np.asarray(v, dtype=np.float64)
+        if np.isfinite(x).all():
+            with np.errstate(over="ignore"):
+                q = np.floor(x * scale)
             at.append(i)
-            out.append(q.astype(np.int64))
+            out.append(q.astype("<i4") if (np.abs(q) <= SMALL).all() else x.astype("<f8"))
     return np.array(at, dtype=np.int64), out
 
 
+def _norm(v: np.ndarray, scale: int) -> float:
+    if v.dtype == np.dtype("<i4"):
+        return float(np.sqrt(np.dot(v.astype(float), v.astype(float))))
+    big = float(np.abs(v).max())
+    return float(big * np.sqrt(np.sum((v / big) ** 2))) * scale
+
+
+def _rows(raw: bytes, n: int, dim: int) -> np.ndarray:
+    """Packed vectors: 32-bit integers, or floats if they take twice the room."""
+    if not dim:
+        return np.zeros((n, 0), "<i4")
+    return np.frombuffer(raw, "<i4" if len(raw) == 4 * n * dim else "<f8").reshape(n, dim)
+
+
 def _quantised(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at, q = quantise(column(b, "v").to_pylist(), scale)
+            with np.errstate(over="ignore"):
+                norms = [_norm(x, scale) for x in q]
             yield pa.RecordBatch.from_arrays(
                 [column(b, "id").take(pa.array(at)), pa.array([len(x) for x in q], pa.int32()),
-                 pa.array([float(np.sqrt(np.dot(x.astype(float), x.astype(float)))) for x in q], pa.float64()),
-                 pa.array([x.astype("<i4").tobytes() for x in q], pa.binary())], names=["id", "dim", "norm", "v"])
+                 pa.array(norms, pa.float64()), pa.array([x.tobytes() for x in q], pa.binary())], names=["id", "dim", "norm", "v"])
 
     return (df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")).where("id IS NOT NULL")
             .mapInArrow(run, "id long, dim int, norm double, v binary"))
@@ -60,13 +90,13 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int, theta: bool) -> Iterat
         return pa.RecordBatch.from_pylist([{
             "block": (part << 32) + count, "dim": rows[0]["dim"], "n": len(rows),
             "top": max(r["norm"] for r in rows),
-            "reach": min((r["theta"] / r["norm"] if r["norm"] else -np.inf for r in rows)) if theta else None,
+            "reach": min((r["theta"] / r["norm"] if 0 < r["norm"] <= SAFE else -np.inf for r in rows)) if theta else None,
             "ids": np.array([r["id"] for r in rows], "<i8").tobytes(),
             "vectors": b"".join(r["v"] for r in rows), "theta": t}], schema=schema)
 
     for b in batches:
         for r in b.to_pylist():
-            if held and (len(held) >= size or held[-1]["dim"] != r["dim"]):
+            if held and (len(held) >= size or held[-1]["dim"] != r["dim"] or len(held[-1]["v"]) != len(r["v"])):
                 yield pack(held)
                 count, held = count + 1, []
             held.append(r)
@@ -113,14 +143,35 @@ def search(q: np.ndarray, theta: np.ndarray, q_ids: np.ndarray, v: np.ndarray, v
     return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 
 
+def search_large(q: list[list[int]], theta: np.ndarray, q_ids: np.ndarray, v: list[list[int]], v_ids: np.ndarray, k: int) -> list[tuple]:
+    """``search`` where products need not fit in 64 bits: every candidate of the bucket, in whole numbers of any size."""
+    found = []
+    ids = v_ids.tolist()
+    for own, need, one in zip(q_ids.tolist(), theta.tolist(), q, strict=True):
+        s = [(-x, j) for w, j in zip(v, ids, strict=True)
+             if j != own and ((x := sum(a * b for a, b in zip(one, w, strict=True))) >= need)]
+        found += [(own, j, -x) for x, j in heapq.nsmallest(k, s)]
+    return found
+
+
+def _over(score: int) -> bytes | None:
+    """For scores that a long can't hold, or just can: bytes that sort as they do."""
+    if -MOST < score < MOST:
+        return None
+    raw = abs(score).to_bytes((abs(score).bit_length() + 7) // 8, "big")
+    raw = len(raw).to_bytes(4, "big") + raw
+    return raw if score > 0 else bytes(255 - x for x in raw)
+
+
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_col: str = "vec_id",
           vec_col: str = "embedding") -> DataFrame:
     """Exact maximum inner products: for each row whose id is divisible by ``every``, its ``k`` best
     partners among all other rows: query_id, rank (from 1), vec_id, score.
 
     Components become floor(scale * x), x as double; scores are integer products, ties go to the smaller
-    id. Vectors that are null or hold null or non-finite components, or components beyond 2**24 after
-    scaling, take no part, nor do rows without an id. Vectors meet those of their own dimension only.
+    id. Vectors that are null or hold null or non-finite components take no part, nor do rows without an
+    id. Components beyond 2**24 after scaling are kept as floats and multiplied as whole numbers of any size; a score
+    that a long can't hold is ranked by its true value and shown as the nearest long. Vectors meet those of their own dimension only.
     Rows that repeat an id are candidates each; a query's own id is never its partner, and a repeated
     query id counts once (the row with the smallest vector bytes). Other columns are not read.
 
@@ -136,9 +187,10 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_
     buckets = written(ordered.mapInArrow(lambda b: _blocks(b, BUCKET, False), _PACKED), "topk-b")
 
     seeds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    rows = v.orderBy(F.col("norm").desc(), "id").limit(SEED).toArrow().to_pandas()
+    small = F.length("v") == 4 * F.col("dim")
+    rows = v.where(small).orderBy(F.col("norm").desc(), "id").limit(SEED).toArrow().to_pandas()
     for d, g in rows.groupby("dim"):
-        seeds[int(d)] = (g["id"].to_numpy(), np.frombuffer(b"".join(g["v"]), "<i4").reshape(len(g), int(d)).astype(np.int64))
+        seeds[int(d)] = (g["id"].to_numpy(), _rows(b"".join(g["v"]), len(g), int(d)).astype(np.int64))
     shared = spark.sparkContext.broadcast(seeds)
 
     def thresholds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,11 +198,13 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_
             out = []
             for r in b.to_pylist():
                 ids, m = shared.value.get(r["dim"], (None, None))
-                theta = -np.inf
-                if ids is not None:
-                    s = (m @ np.frombuffer(r["v"], "<i4").astype(np.int64))[ids != r["id"]]
+                theta, q = -np.inf, _rows(r["v"], 1, r["dim"])[0]
+                if ids is not None and r["norm"] <= SAFE:  # a large query's products are floats, less what rounding can add
+                    large = q.dtype != np.dtype("<i4")
+                    s = (m @ (q * scale if large else q.astype(np.int64)))[ids != r["id"]]
                     if len(s) >= k:
                         theta = float(np.partition(s, len(s) - k)[len(s) - k])
+                        theta -= large * (1e-9 * r["norm"] + len(q)) * float(np.sqrt((m.astype(float) ** 2).sum(axis=1)).max())
                 out.append(theta)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], names=[*b.schema.names, "theta"])
 
@@ -173,16 +227,23 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_
              .select("dim", "q_ids", "q_v", "theta", "ids", "vectors"))
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = lambda x, d: np.frombuffer(x, "<i4").reshape(-1, d).astype(np.int64)
+        small = np.dtype("<i4")
         for b in batches:
             for i in range(b.num_rows):
                 r = b.slice(i, 1).to_pylist()[0]
-                ids, q_ids = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["q_ids"], "<i8")
-                m = whole(r["vectors"], r["dim"]) if r["dim"] else np.zeros((len(ids), 0), np.int64)
-                q = whole(r["q_v"], r["dim"]) if r["dim"] else np.zeros((len(q_ids), 0), np.int64)
-                yield pa.RecordBatch.from_pandas(search(q, np.frombuffer(r["theta"]), q_ids, m, ids, k), preserve_index=False)
-
-    found = pairs.mapInArrow(products, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+                ids, q_ids, theta = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["q_ids"], "<i8"), np.frombuffer(r["theta"])
+                m, q = _rows(r["vectors"], len(ids), r["dim"]), _rows(r["q_v"], len(q_ids), r["dim"])
+                if m.dtype == q.dtype == small:
+                    out = search(q.astype(np.int64), theta, q_ids, m.astype(np.int64), ids, k)
+                    out["over"] = None
+                else:
+                    whole = lambda x: x.tolist() if x.dtype == small else [integers(y, scale) for y in x.tolist()]
+                    rows = search_large(whole(q), theta, q_ids, whole(m), ids, k)
+                    out = pd.DataFrame([(a, j, max(-MOST - 1, min(MOST, x)), _over(x)) for a, j, x in rows],
+                                       columns=["query_id", "vec_id", "score", "over"])
+                yield pa.RecordBatch.from_pandas(out, schema=_FOUND, preserve_index=False)
+
+    found = pairs.mapInArrow(products, "query_id long, vec_id long, score long, over binary")
+    first = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("over").desc_nulls_last(), "vec_id")
+    return (found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -66,7 +66,7 @@ def test_groups(spark, monkeypatch, crowded):
     out = line_dedup.report(df)
     gone = removed(out)
     assert len(out.collect()) == len(rows)
-    assert {(i, 1) for i in range(1, 30)} <= gone and {(i, 3) for i in range(2, 30)} <= gone
+    assert {(i, 1) for i in range(1, 30)} <= gone and {(i, 3) for i in range(30)} <= gone
     assert not {(i, j) for i in range(30) for j in (0, 2)} & gone and (0, 1) not in gone
     assert {(103, 0), (None, 0), (105, 0)} <= gone and (104, 0) not in gone
     kept = line_dedup.drop_lines(df, count_col=None)
@@ -74,7 +74,7 @@ def test_groups(spark, monkeypatch, crowded):
     ids = [r["doc_id"] for r in kept.collect()]
     assert 103 not in ids and None not in ids and 105 not in ids and {100, 101, 102, 104} <= set(ids)
     t = {r["doc_id"]: r["text"] for r in kept.collect()}
-    assert t[5].split("\n")[1:] == ["short line"] and t[0] == rows[0][1]
+    assert t[5].split("\n")[1:] == ["short line"] and t[0] == rows[0][1].rsplit("\n", 1)[0]
     assert line_dedup.report(df.limit(0)).count() == 0 and line_dedup.drop_lines(df.limit(0)).count() == 0
 
 

@@ -1,5 +1,6 @@
 import math
 import random
+from fractions import Fraction
 
 import pytest
 
@@ -12,9 +13,7 @@ def brute(rows, k=5, every=50, scale=256):
     for i, v in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        q = [math.floor(scale * x) for x in v]
-        if all(abs(x) <= topk.LIMIT for x in q):
-            vec.append((i, q))
+        vec.append((i, [math.floor(Fraction(x) * scale) if abs(x) > 1e200 else math.floor(scale * x) for x in v]))
     queries = {}
     for i, q in vec:
         if i % every == 0:
@@ -22,7 +21,7 @@ def brute(rows, k=5, every=50, scale=256):
     out = []
     for i, q in queries.items():
         s = sorted((-sum(a * b for a, b in zip(q, w, strict=True)), j) for j, w in vec if j != i and len(w) == len(q))
-        out += [(i, r, j, -x) for r, (x, j) in enumerate(s[:k], 1)]
+        out += [(i, r, j, max(-2**63, min(2**63 - 1, -x))) for r, (x, j) in enumerate(s[:k], 1)]
     return sorted(out)
 
 
@@ -51,3 +50,17 @@ def test_edges(spark, monkeypatch, small):
     assert run(df) == brute(rows)
     assert run(df, k=2, every=7) == brute(rows, 2, 7)
     assert run(df.limit(0)) == []
+
+
+def test_large_components(spark):
+    """Components beyond 2**24 after scaling, scores at and beyond the bounds of a long, floats whose scaled value is infinite."""
+    probe = [(50, [70000.0, 0.0]), (1, [1.0, 0.0]), (2, [70001.0, 0.0]), (100, [1.0, 0.0])]
+    rnd = random.Random(8)
+    sizes = [1e-3, 1.0, 65536.0, 65537.0, 1e6, 1e9, 1e15, 1e160, 1.5e308]
+    rows = [(i, [rnd.gauss(0, 1) * 10 ** rnd.randint(0, 1), rnd.gauss(0, 1)]) for i in range(200, 320)]
+    rows += [(i, [rnd.choice(sizes) * rnd.choice([-1, 1]), rnd.choice(sizes) * rnd.uniform(-1, 1)]) for i in range(400, 560)]
+    rows += [(2**31 * 50, [float(2**31), 0.0]), (9, [float(2**24), 0.0]), (11, [-float(2**24) - 1, 0.0])]
+    for data in (probe, probe + rows):
+        df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+        assert run(df) == brute(data)
+        assert run(df, k=3, every=20) == brute(data, 3, 20)
