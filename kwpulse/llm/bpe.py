@@ -13,6 +13,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from kwpulse.llm.common import column, slices
 
@@ -244,7 +245,8 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         raise ValueError(f"the id column must not be called {id_col}")
     kept = [c for c in kept if c not in made]
     src = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text_col}`").alias("text"))
-    schema = f"row {src.schema['row'].dataType.simpleString()}, {ENCODED}" + (", ids array<int>, decoded string" if with_ids else "")
+    results = StructType.fromDDL(ENCODED + (", ids array<int>, decoded string" if with_ids else ""))
+    schema = StructType([src.schema["row"], *results.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)

@@ -113,7 +113,7 @@ def _counted(docs: DataFrame, win: Windows, text_col: str) -> dict[tuple[int, in
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(some), pa.int32()), pa.array(some, pa.int64()),
                                               pa.array(n[some], pa.int64())], names=["k", "i", "n"])
 
-    rows = (docs.select(F.col(text_col).alias("t")).mapInArrow(run, "k int, i long, n long")
+    rows = (docs.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(run, "k int, i long, n long")
             .groupBy("k", "i").agg(F.sum("n").alias("n")).toArrow().to_pylist())
     return {(r["k"], int(win.tokens[r["k"]][r["i"]])): r["n"] for r in rows}
 
@@ -138,9 +138,9 @@ def mark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     A first pass over the documents counts the block's shingles, which gives each window its rarest.
     """
     carried = list(docs.columns) if keep_clean else [id_col, text_col]
-    src = docs.select(*carried)
+    src = docs.select(*[F.col(f"`{c}`") for c in carried])
     field = lambda c: f"`{c}` {dict(docs.dtypes)[c]}"
-    base = src.select(F.struct(*carried).alias("row"),
+    base = src.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"),
                       F.lit(None).cast("binary").alias("hits"), F.array().cast("array<string>").alias("found"))
     state = f"row struct<{', '.join(f'`{c}`: {dict(docs.dtypes)[c]}' for c in carried)}>, hits binary, found array<string>"
     blocks = iter(_blocks(benchmark, item_col, item_text_col))

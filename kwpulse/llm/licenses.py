@@ -54,6 +54,11 @@ SENTENCES = {
                        "software without specific prior written permission",
     "BsdEndorseName": "The name of {} may not be used to endorse or promote products derived from this software without "
                       "specific prior written permission",
+    # what an abbreviated holder ("Someone Inc.") leaves of these as a sentence
+    "BsdEndorseTail": "nor the names of its contributors may be used to endorse or promote products derived from this software "
+                      "without specific prior written permission",
+    "BsdEndorseNameTail": "may not be used to endorse or promote products derived from this software without specific prior "
+                          "written permission",
     "BsdEndorseNeither": "Neither the name of {} may be used to endorse or promote products derived from this software "
                          "without specific prior written permission",
     "IscGrant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
@@ -82,7 +87,7 @@ RULES = (
     ("GPL-2.0-or-later", "(GplHead )?GplTerms GplAny2 "),
     ("LGPL-3.0", "LgplTitle GplVersion3 |LgplNotice "),
     ("AGPL-3.0", "AgplTitle GplVersion3 "),
-    ("BSD-3-Clause", "(Reserved )?BsdGrant BsdSource BsdBinary (BsdEndorse|BsdEndorseNames|BsdEndorseName|BsdEndorseNeither) "),
+    ("BSD-3-Clause", "(Reserved )?BsdGrant BsdSource BsdBinary BsdEndorse(Names|Name|Tail|NameTail|Neither)? "),
     ("BSD-2-Clause", "(Reserved )?BsdGrant BsdSource BsdBinary (?!BsdEndorse)"),
     ("ISC", "IscGrant "),
     ("MPL-2.0", "MplNotice "),

@@ -1,7 +1,9 @@
 import random
+import re
 import zlib
 
 import numpy as np
+import pytest
 
 from kwpulse.llm import licenses, toxicity
 from kwpulse.llm import queries as Q
@@ -110,3 +112,85 @@ def test_rule_order(spark):
     df = spark.createDataFrame([(1, "alpha. beta."), (2, "alpha. gamma. beta."), (3, "beta. alpha")], "doc_id long, text string")
     got = [r["licenses"] for r in licenses.scan(df, known, rules).orderBy("doc_id").collect()]
     assert got == ["both", "a,c,unknown", "a,unknown"]
+
+
+BSD = """Copyright (c) 2020, {holder}
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{third}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+THIRD = """
+3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+NAME = """
+3. The name of {} may not be used to endorse or promote products derived
+   from this software without specific prior written permission.
+"""
+
+
+def test_bsd_texts(spark):
+    holders = ["the copyright holder", "Someone Inc.", "Someone", "the University of X, Y & Co."]
+    rows = [(i, BSD.format(holder=h, third=t.format(h)), "BSD-3-Clause") for i, (h, t) in enumerate((h, t) for h in holders for t in (THIRD, NAME))]
+    rows += [(100, BSD.format(holder="Someone", third=""), "BSD-2-Clause"), (101, "All rights reserved.\nOther.", "all-rights-reserved")]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["licenses"]) for r in licenses.scan(df).collect()) == sorted((i, x) for i, _, x in rows)
+
+
+def plain_scan(text, known=licenses.SENTENCES, rules=licenses.RULES):
+    """The same by plain Python: sentences one by one, identifiers by position."""
+    def cut(t):
+        x = re.sub(licenses._ENDS, "\x01", t or "", flags=re.ASCII).lower()
+        return [s.strip(" ") for s in re.sub("[^a-z0-9\x01]+", " ", x).split("\x01") if s.strip(" ")]
+
+    forms = {k: [s.replace("zslotz", "{}") for s in cut(v.replace("{}", " zslotz "))] for k, v in known.items()}
+    found, seq, i = cut(text), [], 0
+    fits = lambda form, s: re.fullmatch(".+".join(form.split("{}")), s) is not None
+    while i < len(found):
+        for k, form in sorted(forms.items(), key=lambda kv: (-len(kv[1]), kv[0])):
+            if len(form) <= len(found) - i and all(map(fits, form, found[i:])):
+                seq.append(k)
+                i += len(form)
+                break
+        else:
+            i += 1
+    left, names = "".join(x + " " for x in seq), []
+    for name, rule in rules:
+        new = re.sub(f"(?:^|(?<= ))(?:{rule})", "| ", left)
+        if new != left and name not in names:
+            names.append(name)
+        left = new
+    return len(found), " ".join(seq), ",".join(names + ["unknown"] * bool(re.search("[A-Za-z0-9]", left)))
+
+
+def test_licences_whole_table_against_plain_scan(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    want = sorted((r["doc_id"], *plain_scan(r["text"])) for r in df.collect())
+    got = sorted(tuple(r) for r in licenses.scan(df).collect())
+    assert got == want and len({x for _, _, _, x in got}) > 5
+
+
+def test_known_entries_of_several_sentences_and_faulty_ones(spark):
+    known = {"A": "One thing. Two things", "B": "two things", "C": "one thing", "D": "By {} and {} only", "E": "One thing. Two things. Three"}
+    rules = (("a", "A "), ("b", "B "), ("e", "E "))
+    texts = ["One thing! Two things.", "Two things. One thing.", "one thing. x. two things", "by me and you only. two things",
+             "one thing. two things. three. two things", "one thing. one thing. two things"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in licenses.scan(df, known, rules).collect())
+    assert got == [(i, *plain_scan(t, known, rules)) for i, t in enumerate(texts)]
+    assert [x[2] for x in got] == ["A", "B C", "C B", "D B", "E B", "C A"]
+    for bad in ({"A": "x", "B": " X."}, {"A": "..."}):
+        with pytest.raises(ValueError):
+            licenses.scan(df, bad, ())
