@@ -154,14 +154,14 @@ SELECT b.keyword, b.n AS count_then, COALESCE(f.n, b.n) AS count_future,
 FROM base b LEFT JOIN fut f ON b.keyword = f.keyword"""
 
 
-def metrics_sql() -> str:
-    lo = _ts(P.AS_OF - _dt.timedelta(days=1))
+def metrics_sql(as_of: _dt.datetime = P.AS_OF) -> str:
+    lo = _ts(as_of - _dt.timedelta(days=1))
     vals = [f"(SELECT count(DISTINCT video_id) FROM kw WHERE detected_at >= {lo})",
             f"(SELECT count(*) FROM kw WHERE detected_at >= {lo})",
             f"(SELECT count(DISTINCT keyword) FROM kw WHERE detected_at >= {lo})",
             "(SELECT count(*) FROM kw WHERE stats IS NULL)"]
     rows = "\nUNION ALL ".join(
-        f"SELECT {_q(n)} AS metric_name, CAST({v} AS DOUBLE) AS metric_value, {_ts(P.AS_OF)} AS metric_time"
+        f"SELECT {_q(n)} AS metric_name, CAST({v} AS DOUBLE) AS metric_value, {_ts(as_of)} AS metric_time"
         for n, v in zip(METRIC_NAMES, vals))
     return _with(KW) + rows
 
@@ -419,6 +419,18 @@ def oracle_sql() -> dict[str, str]:
                                   *keyword_ctes("src", ["entry_id", "modality", "frame_k"])) + (
         "SELECT r.video_id, t.keyword, t.modality, CAST(1.0 AS DOUBLE) AS confidence, r.detected_at, "
         "r.posted_at, r.region, r.category, r.stats FROM top t JOIN rec r ON t.entry_id = r.entry_id")
+    both = "SELECT * FROM src UNION ALL SELECT entry_id, modality, frame, frame_k, text FROM texts JOIN first_entry USING (video_id)"
+    q["extract_with_texts"] = _with(
+        VIDEOS, RECORDS, SOURCES, texts_cte(("conversations", "benchmark")),
+        "first_entry AS (SELECT video_id, min(entry_id) AS entry_id FROM rec GROUP BY video_id)", f"every AS ({both})",
+        *keyword_ctes("every", ["entry_id", "modality", "frame_k"])) + (
+        "SELECT r.video_id, t.keyword, t.modality, CAST(1.0 AS DOUBLE) AS confidence, r.detected_at, "
+        "r.posted_at, r.region, r.category, r.stats FROM top t JOIN rec r ON t.entry_id = r.entry_id")
+    q["metadata_append"] = f"WITH flat AS ({q['video_flatten']}) SELECT * FROM flat UNION ALL SELECT * FROM flat WHERE region = 'DE'"
+    q["first_entries"] = _with(VIDEOS) + f"SELECT entry_id, id, region FROM vp ORDER BY entry_id LIMIT {P.DEMO_LIMIT}"
+    q["csv_offsets"] = q["kw_facts"]
+    q["insert_defaults"] = _with(KW) + f"SELECT * REPLACE (COALESCE(posted_at, {_ts(P.AS_OF)}) AS posted_at) FROM kw"
+    q["metrics_table"] = f"SELECT * FROM ({metrics_sql()}) UNION ALL SELECT * FROM ({metrics_sql(P.EARLIER)})"
     q["extract_retry"], q["video_array"] = q["extract_keywords"], q["video_flatten"]
     least = " AND ".join(f"{_stat(f)} >= {n}" for f, n in (("diggCount", 50), ("commentCount", 5),
                                                            ("shareCount", 2), ("playCount", 1000)))

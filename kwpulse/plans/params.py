@@ -8,6 +8,8 @@ from kwpulse.functions import dims
 
 # The driver tables span 2024-01-01 .. 2024-01-30; "now" is pinned after them.
 AS_OF = _dt.datetime(2024, 1, 31, 0, 0, 0)
+EARLIER = _dt.datetime(2024, 1, 20, 15, 30, 0)
+DEMO_LIMIT = 25
 
 # The scheduler's growth parameters (likes / comments / shares / views minimums).
 SCHEDULED_MINIMUMS = dict(min_likes=50, min_comments=5, min_shares=2, min_views=1000)

@@ -115,6 +115,39 @@ def _extract_retry(spark, sf):
     return J.facts_of(spark, out).drop("detected_date")
 
 
+def _extract_with_texts(spark, sf):
+    """Keyword facts of the metadata and of the frames and transcripts that carry its video ids."""
+    videos = _payloads(spark, sf)
+    texts = V.entry_texts(videos, TB.modal_texts(spark, sf, ("conversations", "benchmark")))
+    return V.extract_keyword_facts(videos, P.AS_OF, P.TOP_K, texts)
+
+
+def _metadata_append(spark, sf):
+    """Records written, some of them appended once more (duplicates stay), all read back."""
+    path = scratch_path(spark, "metadata")
+    rows = _payloads(spark, sf).drop("entry_id")
+    IO.append_videos(rows, path)
+    IO.append_videos(rows.where(F.col("region") == "DE"), path)
+    good, _ = IO.split_quarantine(IO.read_videos(spark, path))
+    return V.flatten_payload(good)
+
+
+def _metrics_table(spark, sf):
+    """The metrics of two runs, one of them repeated, as the table holds them."""
+    path, facts = scratch_path(spark, "metrics"), IO.stored(_kw(spark, sf), "facts")
+    for as_of in (P.AS_OF, P.EARLIER, P.AS_OF):
+        IO.write_table(G.metrics(facts, as_of), path, run_id=runs.run_of(as_of))
+    return spark.read.parquet(path).drop("run_id")
+
+
+def _csv_offsets(spark, sf):
+    """Timestamps spelled with an offset, as a database writes them."""
+    path = scratch_path(spark, "kw-csv")
+    spelled = lambda c: F.concat(F.date_format(F.col(c) + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+02:00"))
+    IO.write_keywords_csv(_kw(spark, sf).withColumns({c: spelled(c) for c in ("detected_at", "posted_at")}), path)
+    return IO.csv_as_facts(IO.read_keywords_csv(spark, path))
+
+
 def _video_array(spark, sf):
     """The payloads as JSON array files, one a task, read back in byte ranges."""
     def arrays(batches):
@@ -238,6 +271,8 @@ def queries() -> dict[str, Query]:
         "kpis": _clean,
         "clean_load": _dash,
         "csv_roundtrip": _csv_roundtrip,
+        "csv_offsets": _csv_offsets,
+        "insert_defaults": lambda s, d: IO.with_defaults(_kw(s, d), P.AS_OF, ("detected_at", "posted_at")),
         "region_norm": lambda s, d: _kw(s, d).groupBy(
             F.col("region").alias("region_raw"),
             C.norm_region(F.col("region")).alias("region")).agg(F.count(F.lit(1)).alias("rows")),
@@ -287,12 +322,16 @@ def queries() -> dict[str, Query]:
         "metrics_bitmaps": _metrics_bitmaps,
         "run_all_trending": _run_all_trending,
         "extract_retry": _extract_retry,
+        "extract_with_texts": _extract_with_texts,
+        "metrics_table": _metrics_table,
         "sample_size": _sample_size,
         "hourly_counts": lambda s, d: G.hourly_counts(_kw(s, d)),
         "hourly_counts_stream": _hourly_stream,
         "rollup_folded": _rollup_folded,
         # video metadata path
         "video_array": _video_array,
+        "metadata_append": _metadata_append,
+        "first_entries": lambda s, d: V.first_entries(_payloads(s, d), P.DEMO_LIMIT).select("entry_id", "id", "region"),
         "video_flatten": lambda s, d: V.flatten_payload(_payloads(s, d)),
         "video_fields": lambda s, d: V.video_records(_payloads(s, d), P.AS_OF).select(
             "entry_id", "video_id", "region", "category", "stats"),
