@@ -81,14 +81,18 @@ class Windows:
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The benchmark, a bounded block at a time: items are dealt to as many hash groups as their total
-    length asks for. One item id may have several rows."""
-    b = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t")).where(
-        "i IS NOT NULL AND t IS NOT NULL")
+    """The benchmark, a bounded block at a time: distinct (item, text) rows are dealt to hash groups, more of them until none
+    of several rows holds more than twice ``BLOCK_CHARS``; a longer row is a block of its own. One item id may have several rows."""
+    b = written(benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t")).where(
+        "i IS NOT NULL AND t IS NOT NULL").distinct(), "decontam-items")
     total = b.agg(F.sum(F.length("t"))).first()[0] or 0
     groups = int(total // BLOCK_CHARS) + 1
-    for g in range(groups):
-        part = b if groups == 1 else b.where(F.pmod(F.xxhash64("i", "t"), F.lit(groups)) == g)
+    group = lambda: F.pmod(F.xxhash64("i", "t"), F.lit(groups))
+    while b.groupBy(group().alias("g")).agg(F.sum(F.length("t")).alias("s"), F.count(F.lit(1)).alias("c")).where(
+            F.expr(f"c > 1 AND s > {2 * BLOCK_CHARS}")).limit(1).count():
+        groups *= 2
+    for g in sorted(r[0] for r in b.select(group()).distinct().collect()):
+        part = b if groups == 1 else b.where(group() == g)
         items = [(r["i"], words(r["t"])) for r in part.orderBy("i", "t").toLocalIterator()]
         if any(w for _, w in items):
             yield items
@@ -133,7 +137,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     columns are not read (but for ``keep_clean``).
 
     The documents are not shuffled. The benchmark travels to the tasks in blocks of at most about
-    ``BLOCK_CHARS`` characters (its total is summed first); a larger one is joined block after block,
+    twice ``BLOCK_CHARS`` characters, repeated rows counted once; a larger one is joined block after block,
     and the rows between blocks, with the hits so far as a bit string, go through the shared folder.
     A first pass over the documents counts the block's shingles, which gives each window its rarest.
     """
