@@ -71,7 +71,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):  # several JVMs share no folder
             raise RuntimeError("spark.checkpoint.dir is not set: a cluster run needs a shared folder")
         d = tempfile.mkdtemp(prefix="kwpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)

@@ -104,8 +104,8 @@ class Records:
         self._close(ends=False)
 
 
-def _ranges(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple[tuple, list]]:
-    """((file, start, ...), chunks as a list that is filled while it is read) - here simply every chunk with its key."""
+def _chunks(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple[tuple, bytes]]:
+    """Every chunk with its range: (file, start, ...), chunk."""
     for b in batches:
         cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("file", "start", *more, "chunk")]
         for *key, chunk in zip(*cols, strict=True):
@@ -119,7 +119,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows.append({"file": key[0], "start": key[1], "total": key[2], "size": size, "first": first,
                      **{f"e{s}": ends[s] for s in range(3)}, **{f"d{s}": depth[s] for s in range(3)}})
 
-    for k, chunk in _ranges(batches, "total"):
+    for k, chunk in _chunks(batches, "total"):
         if k != key:
             if key is not None:
                 done()
@@ -165,7 +165,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records.out = []
         return [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=names)] if rows else []
 
-    for k, chunk in _ranges(batches, "state", "depth", "base", "begins", "cut"):
+    for k, chunk in _chunks(batches, "state", "depth", "base", "begins", "cut"):
         if k != key:
             if key is not None:
                 records.feed(waiting + (b"" if key[6] else b"}"))
