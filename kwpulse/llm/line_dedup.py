@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kwpulse.llm.common import components, written
 
-MIN_WORDS = 5  # shorter lines are always kept
+MIN_WORDS = 1  # lines of fewer words are always kept
 SIMILARITY = 0.9
 LANE = 22  # bits of a packed counter: three counters in a long, 22 longs for 64 bits
 BLOCKS = ((0, 22), (22, 22), (44, 20))  # offset and width of the SimHash blocks
@@ -20,8 +20,8 @@ MAX_BITS = 10  # a crowded block's lines meet its leader anyway, others if their
 SMALL = 48  # lines from which a block value is crowded
 LEADER_ROUNDS = 2  # of the short cut; what it leaves open meets by segments
 LONG_WORD, WEIGHT = 5, 4  # words of so many letters count so many times: function words would crowd the blocks
-CHUNK = 256  # characters cut at a time, so that cutting a long line stays linear
-BROADCAST = 200_000
+CHUNK = 64  # characters cut at a time, so that cutting a long line stays linear
+BROADCAST = 200_000  # rows, and for arrays also items
 
 
 def normalised(text: Column) -> Column:
@@ -58,9 +58,12 @@ def similar(a: str, b: str, similarity: float) -> Column:
     return F.expr(f"abs(length({a}) - length({b})) <= {most} AND levenshtein({a}, {b}, {most}) >= 0")
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """Broadcast a written frame if it is small enough, by count."""
-    return F.broadcast(df) if df.limit(BROADCAST + 1).count() <= BROADCAST else df
+def _few(df: DataFrame, items: Column | None = None) -> DataFrame:
+    """Broadcast a written frame if it is small enough, by its count and by the sum of ``items``."""
+    few = df.limit(BROADCAST + 1).count() <= BROADCAST
+    if few and items is not None:
+        few = (df.agg(F.sum(items)).first()[0] or 0) <= BROADCAST
+    return F.broadcast(df) if few else df
 
 
 def _lengths_fit(a: str, b: str, similarity: float) -> Column:
@@ -92,18 +95,17 @@ def _leader_links(lines: DataFrame, texts_of, similarity: float) -> DataFrame:
     return reduce(DataFrame.unionByName, links)
 
 
-def _segment_pairs(lines: DataFrame, similarity: float) -> DataFrame:
-    """``id, size, group, line`` -> all pairs ``u, v`` of different groups that can reach ``similarity``, and others.
+def _segments(lines: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """``id, size, group, line`` -> the keys of every line as the longer of a pair (``key, u, nu, gu, a, b``) and as the
+    other (``key, v, nv, gv, c``). Lines that can reach ``similarity`` share a key whose rows ``_follows`` accepts.
 
     A line of n characters that allows t edits is cut into t + 1 segments. If a line not longer than it is
     within t edits, then on the ring of segments there is one without an edit whose successor has one edit
     at most (pigeonring principle): the segment stands in the other line, at most t characters away, and of its
     successor the first half stands right behind it or the second half does, shifted by one at most. The
-    equi-join is on the segment, a class of lengths and a range of positions; a segment has the same number of
+    key is of the segment, a class of lengths and a range of positions; a segment has the same number of
     characters for all lengths but the smallest, where the other line is cut in each number that can occur."""
     t = round(1 - similarity, 6)
-    if _most(similarity, 1 << 20) == 0:
-        return lines.select(F.col("id").alias("u"), F.col("id").alias("v")).limit(0)
     width = [0] + [n // (_most(similarity, n) + 1) for n in range(1, 1 << 12)]
     last = max((n for n in range(1, 1 << 11) if width[n] != width[-1]), default=0)
     # the widths of lines that a line of m characters can be the shorter partner of
@@ -137,20 +139,51 @@ def _segment_pairs(lines: DataFrame, similarity: float) -> DataFrame:
     longer = longer.select(F.xxhash64("gram", "cls", "at").alias("key"), F.col("id").alias("u"), F.col("size").alias("nu"),
                            F.col("group").alias("gu"), "a", "b")
 
-    shorter = cut(chunks.withColumn("w", F.explode(F.get(by_size, F.least(F.col("size"), F.lit(last + 1)) - 1))), 4 * width[-1] + 4)
-    shorter = shorter.withColumn("cls", cls).withColumn("reach", reach)
-    grams = F.expr(f"""CASE WHEN start + w <= size THEN transform(sequence(start, least(start + {CHUNK} - 1, size - w)),
-        p -> struct(xxhash64({of('p', 'w')}, cls, cast(p div reach as int)) AS key, {of('(p + w)', 'w + 2')} AS c)) END""")
-    shorter = shorter.select(F.col("id").alias("v"), F.col("size").alias("nv"), F.col("group").alias("gv"), grams.alias("g"))
-    # array_distinct is quadratic on structs: for repetitive lines only
-    once = F.when(F.size(F.array_distinct("g.key")) < F.size("g"), F.array_distinct("g")).otherwise(F.col("g"))
-    shorter = shorter.select("v", "nv", "gv", F.explode(once).alias("g"))
-    shorter = shorter.select("v", "nv", "gv", "g.key", "g.c")
-    follows = F.expr("a IS NULL OR startswith(c, a) OR substring(c, length(a), length(b)) = b "
-                     "OR substring(c, length(a) + 1, length(b)) = b OR substring(c, length(a) + 2, length(b)) = b")
-    return (longer.hint("shuffle_hash").join(shorter, "key").where((F.col("gu") != F.col("gv")) & (F.col("nv") <= F.col("nu"))
-            & _lengths_fit("nu", "nv", similarity) & follows)
-            .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    shorter = chunks.withColumn("w", F.explode(F.get(by_size, F.least(F.col("size"), F.lit(last + 1)) - 1)))
+    shorter = cut(shorter, 4 * width[-1] + 4).withColumn("cls", cls).withColumn("reach", reach)
+    shorter = shorter.withColumn("p", F.explode(F.expr(
+        f"CASE WHEN start + w <= size THEN sequence(start, least(start + {CHUNK} - 1, size - w)) END")))
+    # what stands at p and stood before in the same chunk and range of positions is left out: repetitive lines
+    before = f"locate({of('p', 'w + w + 2')}, text, greatest(p div reach * reach - start, 0) + 1)"
+    shorter = shorter.where(F.expr(f"{before} = p - start + 1"))
+    shorter = shorter.select(
+        F.expr(f"xxhash64({of('p', 'w')}, cls, cast(p div reach as int))").alias("key"), F.col("id").alias("v"),
+        F.col("size").alias("nv"), F.col("group").alias("gv"), F.expr(of("(p + w)", "w + 2")).alias("c"))
+    return longer, shorter
+
+
+def _follows(similarity: float) -> Column:
+    """What two rows of a key must fulfil besides."""
+    return (F.col("gu") != F.col("gv")) & (F.col("nv") <= F.col("nu")) & _lengths_fit("nu", "nv", similarity) & F.expr(
+        "a IS NULL OR startswith(c, a) OR substring(c, length(a), length(b)) = b "
+        "OR substring(c, length(a) + 1, length(b)) = b OR substring(c, length(a) + 2, length(b)) = b")
+
+
+def _segment_pairs(lines: DataFrame, similarity: float) -> DataFrame:
+    """``id, size, group, large, line`` -> all pairs ``u, v`` of different groups that can reach ``similarity``, and others.
+
+    Lines of the same group need not meet. In a group of up to SMALL lines they do, and are passed over; those of a
+    ``large`` group meet only the rows of other lines with their keys, and lines of two large groups meet by the pairs
+    of groups that a key holds, so that no key costs the square of a group."""
+    if _most(similarity, 1 << 20) == 0:
+        return lines.select(F.col("id").alias("u"), F.col("id").alias("v")).limit(0)
+    fits = _follows(similarity)
+
+    def pairs(df):
+        return df.where(fits).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+
+    longer, shorter = _segments(lines.where("NOT large"), similarity)
+    met = pairs(longer.join(shorter, "key"))
+    big = lines.where("large")
+    if big.isEmpty():
+        return met.distinct()
+    big_longer, big_shorter = (written(x, "lines-large") for x in _segments(big, similarity))
+    held = big_longer.select("key", "gu").distinct().join(big_shorter.select("key", "gv").distinct(), "key").where("gu <> gv")
+    both = held.join(big_longer, ["key", "gu"]).join(big_shorter, ["key", "gv"])
+    for rows, others in ((big_longer, shorter), (big_shorter, longer)):
+        keys = written(rows.select("key").distinct(), "lines-large-keys")
+        met = met.unionByName(pairs(rows.join(others.join(_few(keys), "key", "left_semi"), "key")))
+    return met.unionByName(pairs(both)).distinct()
 
 
 def _verified(pairs: DataFrame, texts_of, similarity: float) -> DataFrame:
@@ -168,7 +201,8 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The line numbers (from 0) to remove: columns ``id``, ``key``, ``removed`` (sorted array), one row
     per document that loses a line.
 
-    Lines are cut at line feeds and normalised; those of at least ``min_words`` words take part. Equal
+    Lines are cut at line feeds and normalised; those of at least ``min_words`` words take part (lines without
+    a letter or digit never do; under ten characters no edit is within 0.9, so only equal lines are linked). Equal
     normalised lines are one; different ones of whatever length are linked from an edit similarity of
     ``similarity`` on. Of each connected group of linked lines one occurrence stays: that with the smallest
     document id, then key, then line number (null ids last). Lines are first compared with the leaders of
@@ -182,7 +216,8 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("key"),
         F.posexplode(F.split(normalised(F.col(text_col)), "\n")).alias("no", "line"))
     rows = rows.select("doc", "key", "no", F.trim("line").alias("line"))
-    rows = rows.where(F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) >= min_words - 1)
+    rows = rows.where((F.col("line") != "") & (
+        F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) >= min_words - 1))
     rows = written(rows.select(F.unhex(F.md5("line")).alias("id"), F.col("doc").isNull().alias("last"), "doc", "key", "no", "line"),
                    "lines")
     place = F.struct("last", "doc", "key", "no")
@@ -196,12 +231,13 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     links = _leader_links(sims, texts_of, similarity)
     groups = written(components(links, "lines"), "lines-groups")
-    grouped = distinct.select("id", F.length("line").alias("size"), "line").join(
-        _few(groups.withColumnRenamed("node", "id")), "id", "left").select(
-        "id", "size", F.coalesce("component", "id").alias("group"), "line")
+    large = groups.groupBy("component").agg((F.count(F.lit(1)) > SMALL).alias("large"))
+    members = written(groups.join(large, "component").select(F.col("node").alias("id"), "component", "large"), "lines-members")
+    grouped = distinct.select("id", F.length("line").alias("size"), "line").join(_few(members), "id", "left").select(
+        "id", "size", F.coalesce("component", "id").alias("group"), F.coalesce("large", F.lit(False)).alias("large"), "line")
     more = _verified(_segment_pairs(grouped, similarity), texts_of, similarity)
     if not more.isEmpty():
-        groups = components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), "lines")
+        groups = components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), "lines-all")
     known = distinct.join(groups.withColumnRenamed("node", "id"), "id", "left")
     known = written(known.where("first <> final OR component IS NOT NULL").select(
         F.col("hash").alias("id"), F.coalesce("component", "id").alias("component"), "first"), "lines-known")
@@ -216,7 +252,7 @@ def _with_removed(docs: DataFrame, id_col: str, text_col: str, **kw) -> DataFram
     """``row`` (the input row as one struct, whatever its columns are called) and ``removed`` (null: nothing)."""
     gone = written(duplicates(docs, id_col, text_col, **kw), "lines-removed").withColumnRenamed("id", "gone_id")
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(f"`{text_col}`").alias("h"))
-    return d.join(_few(gone), F.col(f"row.`{id_col}`").eqNullSafe(F.col("gone_id")) & (d["h"] == gone["key"]), "left").select(
+    return d.join(_few(gone, F.size("removed")), F.col(f"row.`{id_col}`").eqNullSafe(F.col("gone_id")) & (d["h"] == gone["key"]), "left").select(
         "row", "removed")
 
 

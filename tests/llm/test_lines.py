@@ -36,7 +36,7 @@ def test_whole_table(spark):
     for d, t in sorted(rows):
         assert by[d]["n_lines"] == t.count("\n") + 1
         for i, x in enumerate(norm(t)):
-            if len(x.split()) < 5:
+            if not x:
                 assert (d, i) not in gone
             elif (d, i) not in gone:
                 assert x not in kept  # a line stays once
@@ -67,14 +67,15 @@ def test_groups(spark, monkeypatch, crowded):
     gone = removed(out)
     assert len(out.collect()) == len(rows)
     assert {(i, 1) for i in range(1, 30)} <= gone and {(i, 3) for i in range(30)} <= gone
-    assert not {(i, j) for i in range(30) for j in (0, 2)} & gone and (0, 1) not in gone
+    assert {(i, 2) for i in range(1, 30)} <= gone and not {(0, 1), (0, 2)} & gone
+    assert not {(i, 0) for i in range(30)} & gone
     assert {(103, 0), (None, 0), (105, 0)} <= gone and (104, 0) not in gone
     kept = line_dedup.drop_lines(df, count_col=None)
     assert kept.columns == df.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert 103 not in ids and None not in ids and 105 not in ids and {100, 101, 102, 104} <= set(ids)
     t = {r["doc_id"]: r["text"] for r in kept.collect()}
-    assert t[5].split("\n")[1:] == ["short line"] and t[0] == rows[0][1].rsplit("\n", 1)[0]
+    assert t[5].split("\n")[1:] == [] and t[0] == rows[0][1].rsplit("\n", 1)[0]
     assert line_dedup.report(df.limit(0)).count() == 0 and line_dedup.drop_lines(df.limit(0)).count() == 0
 
 
@@ -147,3 +148,24 @@ def test_fit_and_unfit_lines_of_a_crowded_block(spark, monkeypatch):
     other = [" ".join("".join(rnd.choice("abcdefghiklmnop") for _ in range(6)) for _ in range(30)) for _ in range(60)]
     df = spark.createDataFrame(list(enumerate(steps + other)), "doc_id long, text string")
     assert removed(line_dedup.report(df)) == {(i, 0) for i in range(1, 5)}
+
+
+@pytest.mark.parametrize("words", [1, 5])
+def test_short_lines(spark, words):
+    """Equal short lines go from the second on, unless the caller asks for longer lines only; blank ones stay."""
+    df = spark.createDataFrame([(1, "Yes!\n\n- -\nsee above"), (2, "yes\n\n---\nSee above."), (3, "yet\nsee abode")], "doc_id long, text string")
+    assert removed(line_dedup.report(df, min_words=words)) == (set() if words == 5 else {(2, 0), (2, 3)})
+
+
+def test_pairs_of_large_groups(spark, monkeypatch):
+    """Lines of large groups meet those of other groups, large and small, but not their own."""
+    monkeypatch.setattr(line_dedup, "SMALL", 2)
+    rnd = random.Random(8)
+    x = " ".join("".join(rnd.choice("abcdefghiklmnop") for _ in range(6)) for _ in range(30))
+    step = ["".join("q" if j % 13 < k and c != " " else c for j, c in enumerate(x)) for k in (0, 1, 2)]  # ends too far apart
+    lines = [(i, g, s + " z" * i) for g, s in enumerate(step) for i in range(4 if g < 2 else 1)]
+    rows = [(10 * g + i, len(s), 10 * g, g < 2, s) for i, g, s in lines]
+    df = spark.createDataFrame(rows, "id long, size int, group long, large boolean, line string")
+    got = {tuple(r) for r in line_dedup._segment_pairs(df, 0.9).collect()}
+    near = {(a[0], b[0]) for a in rows for b in rows if a[0] > b[0] and a[2] != b[2] and within(a[4], b[4])}
+    assert near <= got and len(near) > 5 and all(u // 10 != v // 10 for u, v in got)
