@@ -19,6 +19,7 @@ BLOCKS = ((0, 22), (22, 22), (44, 20))  # offset and width of the SimHash blocks
 MAX_BITS = 10  # a crowded block's lines meet its leader anyway, others if their SimHashes differ in so many bits at most
 SMALL = 48  # lines from which a block value is crowded
 LEADER_ROUNDS = 2  # of the short cut; what it leaves open meets by segments
+LEADER_KEYS = 4  # one segment key in so many, by hash, has a leader: a short cut again
 LONG_WORD, WEIGHT = 5, 4  # words of so many letters count so many times: function words would crowd the blocks
 CHUNK = 64  # characters cut at a time, so that cutting a long line stays linear
 BROADCAST = 200_000  # rows, and for arrays also items
@@ -159,14 +160,22 @@ def _follows(similarity: float) -> Column:
         "OR substring(c, length(a) + 1, length(b)) = b OR substring(c, length(a) + 2, length(b)) = b")
 
 
+def _segment_leaders(lines: DataFrame, similarity: float) -> DataFrame:
+    """``id, size, group, line`` -> pairs ``u, v`` of lines with the shortest line of a segment key. A short cut for crowds
+    that SimHash blocks leave in pieces: a comparison for each row of a key, where all pairs would be its square. Some keys
+    do, as near copies share many; what they leave open is found by ``_segment_pairs``."""
+    longer, shorter = (x.where(F.pmod("key", F.lit(LEADER_KEYS)) == 0) for x in _segments(lines, similarity))
+    lead = shorter.groupBy("key").agg(F.min(F.struct("nv", "v", "gv", "c")).alias("l")).select("key", "l.*")
+    return longer.join(lead, "key").where(_follows(similarity)).select(
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
 def _segment_pairs(lines: DataFrame, similarity: float) -> DataFrame:
     """``id, size, group, large, line`` -> all pairs ``u, v`` of different groups that can reach ``similarity``, and others.
 
     Lines of the same group need not meet. In a group of up to SMALL lines they do, and are passed over; those of a
     ``large`` group meet only the rows of other lines with their keys, and lines of two large groups meet by the pairs
     of groups that a key holds, so that no key costs the square of a group."""
-    if _most(similarity, 1 << 20) == 0:
-        return lines.select(F.col("id").alias("u"), F.col("id").alias("v")).limit(0)
     fits = _follows(similarity)
 
     def pairs(df):
@@ -206,7 +215,7 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     normalised lines are one; different ones of whatever length are linked from an edit similarity of
     ``similarity`` on. Of each connected group of linked lines one occurrence stays: that with the smallest
     document id, then key, then line number (null ids last). Lines are first compared with the leaders of
-    their SimHash blocks, which connects a group of thousands of variants at a comparison for each; then
+    their SimHash blocks and of some segments, which connects a group of thousands of variants at a comparison for each; then
     all pairs that share a segment as the bound demands (``_segment_pairs``) and are not yet connected.
 
     A document is an id and a text: rows that repeat both lose the same lines (``key`` is a hash of the
@@ -231,13 +240,15 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     links = _leader_links(sims, texts_of, similarity)
     groups = written(components(links, "lines"), "lines-groups")
-    large = groups.groupBy("component").agg((F.count(F.lit(1)) > SMALL).alias("large"))
-    members = written(groups.join(large, "component").select(F.col("node").alias("id"), "component", "large"), "lines-members")
-    grouped = distinct.select("id", F.length("line").alias("size"), "line").join(_few(members), "id", "left").select(
-        "id", "size", F.coalesce("component", "id").alias("group"), F.coalesce("large", F.lit(False)).alias("large"), "line")
-    more = _verified(_segment_pairs(grouped, similarity), texts_of, similarity)
-    if not more.isEmpty():
-        groups = components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), "lines-all")
+    for search in (_segment_leaders, _segment_pairs) if _most(similarity, 1 << 20) else ():
+        large = groups.groupBy("component").agg((F.count(F.lit(1)) > SMALL).alias("large"))
+        members = written(groups.join(large, "component").select(F.col("node").alias("id"), "component", "large"), "lines-members")
+        grouped = distinct.select("id", F.length("line").alias("size"), "line").join(_few(members), "id", "left").select(
+            "id", "size", F.coalesce("component", "id").alias("group"), F.coalesce("large", F.lit(False)).alias("large"), "line")
+        more = _verified(search(grouped, similarity), texts_of, similarity)
+        if not more.isEmpty():
+            groups = groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more)
+            groups = written(components(groups, "lines-all"), "lines-groups")
     known = distinct.join(groups.withColumnRenamed("node", "id"), "id", "left")
     known = written(known.where("first <> final OR component IS NOT NULL").select(
         F.col("hash").alias("id"), F.coalesce("component", "id").alias("component"), "first"), "lines-known")
