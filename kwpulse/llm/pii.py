@@ -23,7 +23,9 @@ _PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "candidate": r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+",
+    "digits": r"\(?+[0-9](?:[\x20().-]{0,3}+[0-9])*+",
 }
+CANDIDATES = ("candidate", "digits")
 _GUARDS = {"email": "@", "ip": ".", "phone": "+"}
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
@@ -67,12 +69,13 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
     Base spans: leftmost non-overlapping matches of each kind's pattern in the whole text, less those
     that fail the kind's check (parts of an IP address at most 255, 16 to 19 digits that pass Luhn, 8
     to 15 digits of a phone number). Added spans: base spans are the seeds; the one and two words to the left of a
-    seed are patterns of its kind; identifier-like tokens (without white space, at most 64
-    characters, six digits or an ``@``, no overlap with a base span) are candidates. Each round sets a pattern's
+    seed are patterns of its kind; candidates are identifier-like tokens (without white space, at most 64
+    characters, six digits or an ``@``) and runs of 6 to 19 digits with blanks, brackets, dots or hyphens, three at most, between
+    them; neither overlaps a base span. Each round sets a pattern's
     confidence to the summed scores of its instances over all its occurrences plus two, if at least
     ``MIN_SUPPORT`` distinct instances stand behind it, and an instance's score of a kind to the
     noisy-or of its patterns; seeds keep 1. Candidates that reach ``accept`` are added, as the kind of
-    their highest score (ties: the kind listed first).
+    their highest score (ties: the kind listed first); of an accepted run and tokens that overlap it the run stays.
 
     Null texts count as empty and give empty arrays. Other columns are not read, repeated rows are
     searched each. The texts are read once and not shuffled; matches, without their texts, go through the
@@ -89,21 +92,29 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
         "row", "at", "f.kind", "f.gap", "f.text", "f.left")
     spans = spans.withColumn("end", F.sum(F.col("gap") + F.length("text")).over(w).cast("long"))
     spans = spans.withColumn("start", F.col("end") - F.length("text"))
-    like = (F.col("kind") == "candidate") & (F.length("text") <= 64) & (
-        (F.length(F.regexp_replace("text", "[^0-9]", "")) >= 6) | F.contains("text", F.lit("@")))
+    digits = F.length(F.regexp_replace("text", "[^0-9]", ""))
+    like = ((F.col("kind") == "candidate") & (F.length("text") <= 64) & ((digits >= 6) | F.contains("text", F.lit("@")))) | (
+        # a run without a blank or bracket stands in a token
+        (F.col("kind") == "digits") & digits.between(6, 19) & F.regexp_like("text", F.lit(r"[\x20()]")))
     spans = spans.where(like | valid(F.col("kind"), F.col("text")))
     one = F.regexp_extract("left", r"(\S+)\s+$", 1)
     two = F.regexp_extract("left", r"(\S+\s+\S+)\s+$", 1)
     spans = written(spans.select("row", "kind", "start", "end", "text", one.alias("one"), two.alias("two")), "pii-spans")
 
     order = reduce(lambda c, k: c.when(F.col("kind") == k, KINDS.index(k)), KINDS[1:], F.when(F.col("kind") == KINDS[0], 0))
-    base = spans.where("kind <> 'candidate'")
+    base = spans.where(~F.col("kind").isin(*CANDIDATES))
     in_row = F.sort_array(F.collect_list(F.struct(order.alias("o"), "start", "end", "kind", "text")))
     base_rows = base.groupBy("row").agg(in_row.alias("base"))
-    free = (spans.where("kind = 'candidate'").join(base_rows, "row", "left")
-            .where(~F.coalesce(F.exists("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start"))), F.lit(False)))
-            .drop("base"))
-    added = _bootstrap(base, free, rounds, accept)
+
+    def clear_of(df, others, name):  # the spans that overlap none of their row's others
+        over = F.exists(name, lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
+        return df.join(others, "row", "left").where(~F.coalesce(over, F.lit(False))).drop(name)
+
+    free = clear_of(spans.where(F.col("kind").isin(*CANDIDATES)), base_rows, "base").withColumnRenamed("kind", "shape")
+    added = written(_bootstrap(base, free, rounds, accept), "pii-added")
+    runs = added.where("shape = 'digits'")
+    tokens = clear_of(added.where("shape = 'candidate'"), runs.groupBy("row").agg(in_row.alias("runs")), "runs")
+    added = runs.unionByName(tokens)
     added_rows = added.groupBy("row").agg(in_row.alias("added"))
     plain = lambda c: F.transform(F.coalesce(F.col(c), F.array()), lambda x: F.struct(
         x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["text"].alias("text"))).alias(c)
@@ -139,11 +150,11 @@ def _bootstrap(base: DataFrame, free: DataFrame, rounds: int, accept: float) ->
     best = scores.groupBy("text").agg(F.max(F.struct(
         "score", (-F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))).alias("o"), "kind")).alias("b"))
     best = best.where(F.col("b.score") >= accept).select("text", F.col("b.kind").alias("kind"))
-    return free.drop("kind").join(best, "text")
+    return free.join(best, "text")
 
 
 def summary(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts of base spans by kind, the digest of the base spans and all spans as text."""
+    """Counts of base spans by kind, the digest of the base spans, all spans as text, and the numbers of added and of all spans."""
     text = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(
         ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     order = F.array(*[F.lit(k) for k in KINDS])
@@ -152,4 +163,4 @@ def summary(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
     counts = [count(k) for k in KINDS]
     return found.select(id_col, *counts, F.sha2(text("base"), 256).alias("base_sha256"), text(both).alias("spans"),
-                        F.size("added").cast("long").alias("n_added"))
+                        F.size("added").cast("long").alias("n_added"), F.size(F.concat("base", "added")).cast("long").alias("n_spans"))

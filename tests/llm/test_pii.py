@@ -68,3 +68,30 @@ def test_contexts_find_new_identifiers(spark):
     got = {r["doc_id"]: r["spans"] for r in pii.summary(pii.find(df)).collect()}
     t = new[0][1]
     assert got[100] == f"email:{t.index('root')}:{t.index(' today')}" and got[101] == ""
+
+
+def test_contexts_find_numbers_with_blanks(spark):
+    """Numbers written with blanks and brackets stand in learned contexts; the same shapes elsewhere are left alone."""
+    seed = [(i, f"call me at +1 (555) 123-45{i:02d} now") for i in range(20)]
+    new = [(100, "call me at 555 123 4567 now"), (101, "call me at 5551234567 now"), (102, "call me at (555) 123-4567 now"),
+           (103, "the sums are 555 123 9999 now"), (104, "call me at 1234567 8 now, 1 2 3"), (105, "call me at 12 34 now"),
+           (106, "call me at " + "1 " * 30 + "now"), (107, "call me at " + "(" * 5000 + "5 " * 5000), (108, None), (108, None)]
+    df = spark.createDataFrame([(*r, "x") for r in seed + new], "doc_id long, text string, shape string")
+    got = {r["doc_id"]: (r["spans"], r["n_added"], r["n_spans"]) for r in pii.summary(pii.find(df)).collect()}
+    for i, x in ((100, "555 123 4567"), (101, "5551234567"), (102, "(555) 123-4567"), (104, "1234567 8")):
+        assert got[i] == (f"phone:11:{11 + len(x)}", 1, 1)
+    assert all(got[i] == ("", 0, 0) for i in (103, 105, 106, 107, 108))
+    assert all(got[i][2] == 1 for i in range(20))
+
+
+def test_share_of_unseen_numbers_found(spark):
+    """300 numbers in shapes that no base pattern takes, half of them in contexts that 60 seeds teach: those are found, others not."""
+    rnd = random.Random(12)
+    lead = ["please ring us on", "my mobile number is", "reach the desk under"]
+    number = lambda f: f.format(*(rnd.randint(200, 999) for _ in range(2)), rnd.randint(1000, 9999))
+    rows = [(i, f"{rnd.random()} {lead[i % 3]} {number('+1 ({}) {}-{}')} thanks") for i in range(60)]
+    shapes = ["{} {} {}", "({}) {}-{}", "{}.{}.{}", "{}-{} {}", "({}) {} {}"]
+    rows += [(1000 + i, f"{lead[i % 3] if i % 2 else 'unrelated words ' + str(i)} {number(shapes[i % 5])} thanks") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"] for r in pii.summary(pii.find(df)).collect() if r["n_added"]}
+    assert found == {1000 + i for i in range(1, 300, 2)}
