@@ -26,7 +26,8 @@ _PATTERNS = {
     "digits": r"\(?+[0-9](?:[\x20().-]{0,3}+[0-9])*+",
 }
 CANDIDATES = ("candidate", "digits")
-_GUARDS = {"email": "@", "ip": ".", "phone": "+"}
+# what a text holds if the pattern can match at all
+_GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]", "candidate": "[0-9@]", "digits": "[0-9]"}
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 
@@ -56,9 +57,9 @@ def _matches(text: Column, kind: str) -> Column:
     found = F.transform(F.filter(pairs, lambda x: x["m"].isNotNull()), lambda x: F.struct(
         F.lit(kind).alias("kind"), F.length(x["g"]).alias("gap"), x["m"].alias("text"),
         F.lower(F.substring(x["g"], -CONTEXT, CONTEXT)).alias("left")))
-    return F.when(F.contains(text, F.lit(_GUARDS[kind])), found).otherwise(F.filter(F.array(F.struct(
-        F.lit(kind).alias("kind"), F.lit(0).alias("gap"), F.lit("").alias("text"), F.lit("").alias("left"))),
-        lambda x: F.lit(False))) if kind in _GUARDS else found
+    none = F.filter(F.array(F.struct(F.lit(kind).alias("kind"), F.lit(0).alias("gap"), F.lit("").alias("text"),
+                                     F.lit("").alias("left"))), lambda x: F.lit(False))
+    return F.when(F.regexp_like(text, F.lit(_GUARDS[kind])), found).otherwise(none)
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
