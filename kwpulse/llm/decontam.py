@@ -1,8 +1,7 @@
-"""Benchmark decontamination: item windows found in documents by their rarest shingle."""
+"""Benchmark decontamination: a prefix-filtered join of item windows with documents by their rarest shingle."""
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +13,10 @@ from kwpulse.llm.common import U64, column, grams, hash_words, slices, written
 
 WINDOW = 10  # words
 SHINGLE = 3  # words; shorter windows use their whole length
-BLOCK_CHARS = 8_000_000  # of benchmark text that travels to the tasks at a time
+BITS = 26  # of a shingle's hash that index the bit table: 8 MB, whatever the benchmark's size
+BUCKET = 1 << 15  # bits of a bitmap of Spark's
+BATCH = 8192  # rows that a task emits at a time
+BROADCAST_ROWS, BROADCAST_CHARS = 200_000, 32_000_000
 
 # A-Z become a-z; ASCII other than letters and digits separates words; bytes of other characters stay.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -24,102 +26,136 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
 
 
-class Windows:
-    """The windows of a block of benchmark items, by the rarest shingle of each.
-
-    A window's shingles must all occur in a document that contains it, so its prefix (for containment,
-    one token) is its rarest shingle; ``count`` is the order: occurrences in the documents."""
-
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
-        # identical windows are kept once, with all their items
-        seen: dict[tuple[bytes, ...], list[int]] = {}
-        self.items = [i for i, _ in items]
-        for k, (_, w) in enumerate(items):
-            for s in range(max(1, len(w) - window + 1)) if w else ():
-                own = seen.setdefault(tuple(w[s:s + window]), [])
-                if not own or own[-1] != k:
-                    own.append(k)
-        self.words = list(seen)
-        self.owners = list(seen.values())
-        # candidate shingles: (size, hash) -> the windows that hold it and where
-        self.options = [[(min(SHINGLE, len(w)), h) for h in grams(hash_words(list(w)), min(SHINGLE, len(w))).tolist()]
-                        for w in self.words]
-        self.sizes = sorted({k for x in self.options for k, _ in x})
-        self.tokens = {k: np.array(sorted({h for x in self.options for s, h in x if s == k}), U64) for k in self.sizes}
-
-    def choose(self, count: dict[tuple[int, int], int]) -> None:
-        """Keep for each window its rarest shingle (ties: smaller hash, then first place)."""
-        by: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for n, x in enumerate(self.options):
-            place = min(range(len(x)), key=lambda p: (count.get(x[p], 0), x[p][1], p))
-            by.setdefault(x[place], []).append((n, place))
-        self.by = by
-        self.tokens = {k: np.array(sorted(h for s, h in by if s == k), U64) for k in self.sizes}
-        self.options = []
-
-    def lookup(self, h: np.ndarray, k: int) -> np.ndarray:
-        """Positions of the wanted shingles of size ``k``."""
-        g, t = grams(h, k), self.tokens[k]
-        if not len(t) or not len(g):
-            return np.zeros(0, np.int64)
-        at = np.minimum(np.searchsorted(t, g), len(t) - 1)
-        return np.nonzero(t[at] == g)[0]
-
-    def find(self, w: list[bytes]) -> tuple[np.ndarray, set[int]]:
-        """(hit words as booleans, indexes of items with an occurring window) of a document."""
-        hit, found, h = np.zeros(len(w), dtype=bool), set(), hash_words(w)
+def windows(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """``item, w, n, k, hs``: every window of every item, its words joined by blanks, their number, the size of its
+    shingles and their hashes in order. One row per occurrence."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "t"):
+            for item, t in zip(column(b, "i").to_pylist(), column(b, "t").to_pylist(), strict=True):
+                w = words(t)
+                n = min(window, len(w))
+                k = min(SHINGLE, n)
+                g = grams(hash_words(w), k).view(np.int64) if w else None
+                for lo in range(0, len(w) - n + 1 if w else 0, BATCH):
+                    at = range(lo, min(lo + BATCH, len(w) - n + 1))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([item] * len(at)), pa.array([b" ".join(w[s:s + n]).decode("utf-8", "surrogatepass") for s in at]),
+                         pa.array([n] * len(at), pa.int32()), pa.array([k] * len(at), pa.int32()),
+                         pa.array([g[s:s + n - k + 1] for s in at], pa.list_(pa.int64()))], names=["item", "w", "n", "k", "hs"])
+
+    rows = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("i"), F.col(f"`{text_col}`").alias("t"))
+    return rows.where("i IS NOT NULL AND t IS NOT NULL").distinct().mapInArrow(
+        run, "item string, w string, n int, k int, hs array<long>")
+
+
+class Filter:
+    """A bit table of shingle hashes, of one size for any number of them: what is not in it is in no window, and what is
+    meets the windows by a join. ``sizes`` are the sizes of the shingles, ``window`` bounds the words around one."""
+
+    def __init__(self, hashes: DataFrame, sizes: list[int], window: int):
+        bit = (F.col("h").bitwiseAND(F.lit((1 << BITS) - 1)) + 1).alias("x")
+        maps = hashes.select(bit).groupBy(F.bitmap_bucket_number("x").alias("b")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits"))
+        self.table = np.zeros((1 << BITS) // 8, np.uint8)
+        for r in maps.toLocalIterator():
+            self.table[(r["b"] - 1) * BUCKET // 8:r["b"] * BUCKET // 8] = np.frombuffer(r["bits"], np.uint8)
+        self.sizes, self.window, self.bits = sizes, window, 1 << BITS
+
+    def lookup(self, h: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each size: (size, positions, hashes) of a document's shingles in the table."""
         for k in self.sizes:
             g = grams(h, k)
-            for p in self.lookup(h, k).tolist():
-                for n, place in self.by[(k, int(g[p]))]:
-                    want, start = self.words[n], p - place
-                    # position and length bounds, then the words themselves
-                    if start >= 0 and start + len(want) <= len(w) and tuple(w[start:start + len(want)]) == want:
-                        hit[start:start + len(want)] = True
-                        found.update(self.owners[n])
-        return hit, found
-
-
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The benchmark, a bounded block at a time: distinct (item, text) rows are dealt to hash groups, more of them until none
-    of several rows holds more than twice ``BLOCK_CHARS``; a longer row is a block of its own. One item id may have several rows."""
-    b = written(benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t")).where(
-        "i IS NOT NULL AND t IS NOT NULL").distinct(), "decontam-items")
-    total = b.agg(F.sum(F.length("t"))).first()[0] or 0
-    groups = int(total // BLOCK_CHARS) + 1
-    group = lambda: F.pmod(F.xxhash64("i", "t"), F.lit(groups))
-    while b.groupBy(group().alias("g")).agg(F.sum(F.length("t")).alias("s"), F.count(F.lit(1)).alias("c")).where(
-            F.expr(f"c > 1 AND s > {2 * BLOCK_CHARS}")).limit(1).count():
-        groups *= 2
-    for g in sorted(r[0] for r in b.select(group()).distinct().collect()):
-        part = b if groups == 1 else b.where(group() == g)
-        items = [(r["i"], words(r["t"])) for r in part.orderBy("i", "t").toLocalIterator()]
-        if any(w for _, w in items):
-            yield items
-
-
-def _counted(docs: DataFrame, win: Windows, text_col: str) -> dict[tuple[int, int], int]:
-    """Occurrences in the documents of the shingles of a block: per slice, then summed."""
-    shared = docs.sparkSession.sparkContext.broadcast(win)
+            x = (g & U64(self.bits - 1)).astype(np.int64)
+            at = np.nonzero(self.table[x >> 3] >> (x & 7).astype(np.uint8) & 1)[0]
+            if len(at):
+                yield k, at, g[at].view(np.int64)
+
 
+def _counts(texts: DataFrame, shared) -> DataFrame:
+    """``k, h, c``: occurrences in the documents (column ``t``) of the shingles in the filter, summed by slice, then by Spark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        win = shared.value
-        total = {k: np.zeros(len(win.tokens[k]), np.int64) for k in win.sizes}
         for b in slices(batches, "t"):
+            by: dict[int, list[np.ndarray]] = {}
             for t in column(b, "t").to_pylist():
-                h = hash_words(words(t))
-                for k in win.sizes:
-                    g = grams(h, k)
-                    at = np.searchsorted(win.tokens[k], g[win.lookup(h, k)])
-                    np.add.at(total[k], at, 1)
-        for k, n in total.items():
-            some = np.nonzero(n)[0]
-            yield pa.RecordBatch.from_arrays([pa.array([k] * len(some), pa.int32()), pa.array(some, pa.int64()),
-                                              pa.array(n[some], pa.int64())], names=["k", "i", "n"])
+                for k, _, h in shared.value.lookup(hash_words(words(t))):
+                    by.setdefault(k, []).append(h)
+            for k, parts in by.items():
+                h, n = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), k, np.int32)), pa.array(h), pa.array(n.astype(np.int64))],
+                                                 names=["k", "h", "n"])
+
+    return texts.mapInArrow(run, "k int, h long, n long").groupBy("k", "h").agg(F.sum("n").alias("c"))
+
 
-    rows = (docs.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(run, "k int, i long, n long")
-            .groupBy("k", "i").agg(F.sum("n").alias("n")).toArrow().to_pylist())
-    return {(r["k"], int(win.tokens[r["k"]][r["i"]])): r["n"] for r in rows}
+_CANDIDATE = {"p": pa.int64(), "k": pa.int32(), "h": pa.int64(), "off": pa.int32(), "around": pa.string()}
+
+
+def _scan(rows: DataFrame, id_type: str, shared) -> DataFrame:
+    """``rid, id, key, t`` -> a row per document (``rid, id, key, n_words``) and one per shingle in the filter (``rid``, its place
+    ``p``, size and hash, and the words ``around`` it, of which ``off`` stand before it)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["rid", "id", "key", "n_words", *_CANDIDATE]
+        for b in slices(batches, "t"):
+            id_type, n_words, out = column(b, "id").type, [], []
+
+            def flush(out=out, id_type=id_type):
+                n, cols = len(out), list(zip(*out, strict=True))
+                batch = pa.RecordBatch.from_arrays(
+                    [pa.array(cols[0], pa.int64()), pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+                     *[pa.array(c, t) for c, t in zip(cols[1:], _CANDIDATE.values(), strict=True)]], names=names)
+                out.clear()
+                return batch
+
+            f = shared.value
+            for rid, t in zip(column(b, "rid").to_pylist(), column(b, "t").to_pylist(), strict=True):
+                w = words(t)
+                n_words.append(len(w))
+                for k, at, h in f.lookup(hash_words(w)):
+                    for p, x in zip(at.tolist(), h.tolist(), strict=True):
+                        lo = max(0, p - f.window + k)
+                        out.append((rid, p, k, x, p - lo, b" ".join(w[lo:p + f.window]).decode("utf-8", "surrogatepass")))
+                        if len(out) >= BATCH:
+                            yield flush()
+            if out:
+                yield flush()
+            yield pa.RecordBatch.from_arrays(
+                [column(b, "rid"), column(b, "id"), column(b, "key"), pa.array(n_words, pa.int64()),
+                 *[pa.nulls(b.num_rows, t) for t in _CANDIDATE.values()]], names=names)
+
+    return rows.mapInArrow(run, f"rid long, id {id_type}, key long, n_words long, p long, k int, h long, off int, around string")
+
+
+def _hinted(df: DataFrame, chars: str | None = None) -> DataFrame:
+    """Broadcast a written frame if it is counted to be small, by its rows and the length of a column."""
+    n, total = df.agg(F.count(F.lit(1)), F.sum(F.length(chars)) if chars else F.lit(0)).first()
+    return F.broadcast(df) if n <= BROADCAST_ROWS and (total or 0) <= BROADCAST_CHARS else df
+
+
+def _occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str,
+                 window: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents (``rid, id, key, n_words``), the verified occurrences of windows in them (``rid, start, n, wid``) and
+    the windows' owners (``wid, item``)."""
+    sc = docs.sparkSession.sparkContext
+    text = F.col(f"`{text_col}`")
+    found = written(windows(benchmark, item_col, item_text_col, window).withColumn("wid", F.unhex(F.md5("w"))), "decontam-windows")
+    options = found.select("wid", "w", "n", "k", "hs").distinct().select("wid", "w", "n", "k", F.posexplode("hs").alias("place", "h"))
+    sizes = sorted(r["k"] for r in found.select("k").distinct().collect())  # SHINGLE of them at most
+    count = _counts(docs.select(text.alias("t")), sc.broadcast(Filter(found.select(F.explode("hs").alias("h")), sizes, window)))
+    # a window is in a document only if all its shingles are: one that no document holds rules it out
+    prefix = options.join(count, ["k", "h"], "left").groupBy("wid", "w", "n", "k").agg(
+        F.min(F.struct(F.coalesce("c", F.lit(0).cast("long")).alias("c"), "h", "place")).alias("m")).where("m.c > 0")
+    prefix = written(prefix.select("k", "m.h", "wid", "w", "n", "m.place"), "decontam-prefixes")
+
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("key"),
+                       text.alias("t"))
+    scan = written(_scan(rows, docs.select(F.col(f"`{id_col}`").alias("id")).dtypes[0][1],
+                         sc.broadcast(Filter(prefix.select("h"), sizes, window))), "decontam-scan")
+    met = scan.where("p IS NOT NULL").select("rid", "p", "k", "h", "off", "around").join(_hinted(prefix, "w"), ["k", "h"])
+    # position and length bounds, then the words themselves
+    fits = (F.expr("off >= place") & F.expr("off - place + n <= size(split(around, ' '))")
+            & F.expr("array_join(slice(split(around, ' '), off - place + 1, n), ' ') = w"))
+    occ = written(met.where(fits).select("rid", F.expr("p - place").alias("start"), "n", "wid"), "decontam-occurrences")
+    return scan.where("p IS NULL").select("rid", "id", "key", "n_words"), occ, found.select("wid", "item").distinct()
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -136,63 +172,25 @@ def mark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     rows owns the windows of all. An empty benchmark hits nothing. Repeated rows are marked each; other
     columns are not read (but for ``keep_clean``).
 
-    The documents are not shuffled. The benchmark travels to the tasks in blocks of at most about
-    twice ``BLOCK_CHARS`` characters, repeated rows counted once; a larger one is joined block after block,
-    and the rows between blocks, with the hits so far as a bit string, go through the shared folder.
-    A first pass over the documents counts the block's shingles, which gives each window its rarest.
+    The windows are a frame of their own. One pass over the documents counts the windows' shingles, which gives each window its
+    rarest as its prefix (for containment, one token; ties: smaller hash, then first place); a second one emits the documents'
+    prefix shingles with the words around them, which are joined with the windows and verified. Both passes leave out what a
+    bit table of fixed size shows to be no shingle of a window. Whole texts are never shuffled; the rows of ``keep_clean`` are if more
+    than ``BROADCAST_ROWS`` documents are hit.
     """
-    carried = list(docs.columns) if keep_clean else [id_col, text_col]
-    src = docs.select(*[F.col(f"`{c}`") for c in carried])
-    field = lambda c: f"`{c}` {dict(docs.dtypes)[c]}"
-    base = src.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"),
-                      F.lit(None).cast("binary").alias("hits"), F.array().cast("array<string>").alias("found"))
-    state = f"row struct<{', '.join(f'`{c}`: {dict(docs.dtypes)[c]}' for c in carried)}>, hits binary, found array<string>"
-    blocks = iter(_blocks(benchmark, item_col, item_text_col))
-    cur, more = base, next(blocks, None)
-    while more is not None:
-        win = Windows(more, window)
-        win.choose(_counted(src, win, text_col))
-        more = next(blocks, None)
-        cur = cur.mapInArrow(_finder(docs.sparkSession.sparkContext.broadcast(win), text_col), state)
-        if more is not None:
-            cur = written(cur, "decontam")
-
+    rows, occ, owners = _occurrences(docs, benchmark, id_col, text_col, item_col, item_text_col, window)
     if keep_clean:
-        clean = F.col("hits").isNull() | (F.size("found") == 0)
-        return cur.where(clean).select([F.col(f"row.`{c}`").alias(c) for c in carried])
-
-    def result(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "t"):
-            n = [len(words(t)) for t in column(b, "t").to_pylist()]
-            hit = [int(np.unpackbits(np.frombuffer(x, np.uint8)).sum()) if x else 0 for x in column(b, "hits").to_pylist()]
-            found = [sorted(x) for x in column(b, "found").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [column(b, "id"), pa.array(n, pa.int64()), pa.array(hit, pa.int64()), pa.array(found, pa.list_(pa.string())),
-                 pa.array([len(x) for x in found], pa.int64()),
-                 pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in found]),
-                 pa.array([x > 0 for x in hit], pa.bool_())],
-                names=[id_col, "n_words", "n_hit", "items", "n_items", "items_sha256", "contaminated"])
-
-    return cur.select(F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{text_col}`").alias("t"), "hits", "found").mapInArrow(
-        result, f"{field(id_col)}, n_words long, n_hit long, items array<string>, n_items long, items_sha256 string, "
-                "contaminated boolean")
-
-
-def _finder(shared, text_col: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        win = shared.value
-        text = lambda b: column(b, "row").field(text_col)
-        for b in slices(batches, text):
-            hits, found = [], []
-            for t, old, items in zip(text(b).to_pylist(), column(b, "hits").to_pylist(),
-                                     column(b, "found").to_pylist(), strict=True):
-                hit, own = win.find(words(t))
-                bits = np.packbits(hit).tobytes() if own else None
-                if bits and old:
-                    bits = (np.frombuffer(bits, np.uint8) | np.frombuffer(old, np.uint8)).tobytes()
-                hits.append(bits or old)
-                found.append(sorted({*items, *(win.items[i] for i in own)}))
-            yield pa.RecordBatch.from_arrays(
-                [column(b, "row"), pa.array(hits, pa.binary()), pa.array(found, pa.list_(pa.string()))],
-                names=["row", "hits", "found"])
-    return run
+        # a document is an id and a text
+        gone = written(rows.join(occ.select("rid").distinct(), "rid", "left_semi").select("id", "key").distinct(), "decontam-hit")
+        d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        same = d[f"row.`{id_col}`"].eqNullSafe(gone["id"]) & (F.xxhash64(d[f"row.`{text_col}`"]) == gone["key"])
+        return d.join(_hinted(gone), same, "left_anti").select([F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+    hit = occ.select("rid", F.explode(F.expr("sequence(start, start + n - 1)")).alias("at")).groupBy("rid").agg(
+        F.count_distinct("at").alias("n_hit"))
+    items = (occ.select("rid", "wid").distinct().join(owners, "wid").select("rid", "item").distinct()
+             .groupBy("rid").agg(F.sort_array(F.collect_list("item")).alias("items")))
+    out = rows.join(hit.join(items, "rid"), "rid", "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+    return out.select(F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), "items",
+                      F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                      F.col("n_hit").isNotNull().alias("contaminated"))

@@ -44,9 +44,11 @@ def test_whole_table(spark):
     assert got == brute(docs, items) and any(r[-1] for r in got)
 
 
-@pytest.mark.parametrize("chars", [8_000_000, 60])
-def test_edges(spark, monkeypatch, chars):
-    monkeypatch.setattr(decontam, "BLOCK_CHARS", chars)
+@pytest.mark.parametrize("bits, rows", [(26, 200_000), (15, 0)])
+def test_edges(spark, monkeypatch, bits, rows):
+    monkeypatch.setattr(decontam, "BITS", bits)  # few bits: many false positives of the table
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(decontam, "BATCH", 7 if rows == 0 else 8192)
     rnd = random.Random(4)
     abc = ["a", "b", "é", "D1", "x-y", "Ünï"]
     items = [(i, " ".join(rnd.choices(abc, k=rnd.choice([1, 2, 3, 5, 10, 11, 14])))) for i in range(8)]
@@ -66,3 +68,14 @@ def test_edges(spark, monkeypatch, chars):
     assert sorted(str(r["doc_id"]) for r in clean.collect()) == sorted(str(r[0]) for r in want if not r[-1])
     assert decontam.mark(df.limit(0), bench).count() == 0
     assert decontam.mark(df, bench.limit(0)).where("contaminated").count() == 0
+
+
+def test_long_repeated_item(spark):
+    """An item of 30,000 words in 50 equal rows and one of its passages in many documents."""
+    rnd = random.Random(9)
+    long = [f"w{rnd.randrange(500)}" for _ in range(30_000)]
+    items = [(1, " ".join(long))] * 50 + [(2, " ".join(long[100:140]))]
+    docs = [(i, f"own {i} " + " ".join(long[100 + i % 7:130])) for i in range(60)] + [(99, " ".join(long[:9]) + " x")]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.mark(df, bench).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(docs, items)
