@@ -23,6 +23,7 @@ first-occurrence order of the tokens that remain.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ from kwpulse.sources.files import stored
 TEXT_KEYS = ["video_id", "modality", "frame_k"]
 STOPWORD_BROADCAST = 200_000  # words up to which a caller's stopword table is broadcast
 MOST_LANGS = 200
+LANE, LANES = 31, 2  # bits of a packed counter, counters in a long
 
 
 def corpus_stopwords(texts: DataFrame, share: float = 0.3) -> DataFrame:
@@ -91,24 +93,37 @@ def token_freq(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def stopword_table(spark: SparkSession, stopwords: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
-    """((word, sw_langs), the languages): the built-in lists, or the caller's table (lang, word).
+    """((word, sw_langs, units...), the languages): the built-in lists, or the caller's table (lang, word).
 
     A caller's table is written once as one row per word and joined by broadcast if it is counted to be small,
     else by a shuffle of the tokens. Its languages become columns of the plan; their number is checked."""
     if stopwords is None:
-        return dims.stopword_langs_df(spark), dims.LANGS
+        return F.broadcast(dims.stopword_langs_df(spark).select("word", "sw_langs", *_packed_units(dims.LANGS))), dims.LANGS
     rows = stopwords.select(F.lower("word").alias("word"), "lang").where("word IS NOT NULL AND lang IS NOT NULL")
     langs = sorted(r[0] for r in rows.select("lang").distinct().limit(MOST_LANGS + 1).collect())
     if len(langs) > MOST_LANGS:
         raise ValueError(f"a stopword table has at most {MOST_LANGS} languages")
-    by_word = stored(rows.groupBy("word").agg(F.sort_array(F.collect_set("lang")).alias("sw_langs")), "stopwords")
+    by_word = stored(rows.groupBy("word").agg(F.sort_array(F.collect_set("lang")).alias("sw_langs"))
+                     .select("word", "sw_langs", *_packed_units(langs)), "stopwords")
     small = by_word.limit(STOPWORD_BROADCAST + 1).count() <= STOPWORD_BROADCAST
     return by_word.hint("broadcast" if small else "shuffle_merge"), langs
 
 
-def _hits_by_lang(freq: Column, sw_langs: Column, langs: Sequence[str]) -> dict[str, Column]:
-    """Per language: the token's count if it is a stopword of that language, else 0."""
-    return {lang: F.when(F.array_contains(sw_langs, F.lit(lang)), freq).otherwise(F.lit(0)) for lang in langs}
+def _packed_units(langs: Sequence[str]) -> list[Column]:
+    """Per word of a stopword table: its languages as ones in lanes of ``LANE`` bits, so that one sum counts the hits of
+    several languages. A lane holds any text's hits: a string has fewer than 2^31 characters."""
+    one = lambda lang, lane: F.when(F.array_contains("sw_langs", F.lit(lang)), F.lit(1 << (LANE * lane))).otherwise(F.lit(0))
+    return [reduce(lambda x, y: x + y, [one(lang, j).cast("long") for j, lang in enumerate(langs[i:i + LANES])]).alias(f"units{i // LANES}")
+            for i in range(0, len(langs), LANES)]
+
+
+def _packed_hits(langs: Sequence[str]) -> list[Column]:
+    """What to sum per text: the token's count in the lanes of the languages it is a stopword of."""
+    return [F.coalesce(F.col(f"units{i}") * F.col("freq"), F.lit(0).cast("long")) for i in range(-(-len(langs) // LANES))]
+
+
+def _unpacked(sums: Sequence[Column], langs: Sequence[str]) -> dict[str, Column]:
+    return {lang: F.shiftright(sums[i // LANES], LANE * (i % LANES)).bitwiseAND(F.lit((1 << LANE) - 1)) for i, lang in enumerate(langs)}
 
 
 def _best_lang(hits: dict[str, Column]) -> Column:
@@ -127,9 +142,8 @@ def text_languages(texts: DataFrame, keys: Sequence[str], stopwords: DataFrame |
     sw, langs = stopword_table(texts.sparkSession, stopwords)
     freq = _freq(_tokens(_clustered(texts, keys), outer=True))
     tagged = freq.join(sw, freq.token == sw.word, "left")
-    hits = _hits_by_lang(F.col("freq"), F.col("sw_langs"), langs)
-    per_text = tagged.groupBy("_tid").agg(*[F.sum(h).alias(f"h_{lang}") for lang, h in hits.items()])
-    lang = _best_lang({lang: F.col(f"h_{lang}") for lang in hits})
+    per_text = tagged.groupBy("_tid").agg(F.count(F.lit(1)), *[F.sum(h).alias(f"h{i}") for i, h in enumerate(_packed_hits(langs))])
+    lang = _best_lang(_unpacked([F.col(f"h{i}") for i in range(-(-len(langs) // LANES))], langs))
     return per_text.select(*_keys_of(keys), lang.alias("lang"))
 
 
@@ -151,9 +165,8 @@ def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20, stopwords:
     # language hits use the whole text as frame, the rank the running frame.
     ordered = Window.partitionBy("_tid").orderBy(F.desc("freq"), F.asc("first_pos"))
     whole_text = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    hits = {lang: F.sum(h).over(whole_text)
-            for lang, h in _hits_by_lang(F.col("freq"), F.col("sw_langs"), langs).items()}
-    with_lang = tagged.withColumn("lang", _best_lang(hits))
+    summed = tagged.select("*", *[F.sum(h).over(whole_text).alias(f"_h{i}") for i, h in enumerate(_packed_hits(langs))])
+    with_lang = summed.withColumn("lang", _best_lang(_unpacked([F.col(f"_h{i}") for i in range(-(-len(langs) // LANES))], langs)))
     is_sw = F.coalesce(F.array_contains(F.col("sw_langs"), F.col("lang")), F.lit(False))
     return (with_lang.filter(~is_sw)
                      .withColumn("rank", F.row_number().over(ordered))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kwpulse.functions.exprs import growth_case, ts_lit
@@ -84,6 +84,43 @@ def growth(kw: DataFrame, as_of: _dt.datetime, time_window: str = "hourly",
     return out.limit(limit) if limit else out
 
 
+def growth_runs(kw: DataFrame, first: _dt.datetime, last: _dt.datetime, time_window: str = "hourly",
+                growth_threshold: float = 0.5, region: str | None = None, category: str | None = None, min_likes: int = 0,
+                min_comments: int = 0, min_shares: int = 0, min_views: int = 0, limit: int = 20) -> DataFrame:
+    """What ``growth`` gives for every scheduled run at ``first``, ``first`` + 1 period, ... up to ``last``: the catch-up of
+    missed runs, and the history of trends, in one scan and one aggregate instead of a scan per run.
+
+    A fact counts as current in the run whose window holds it and as previous in the next one; both counts are summed map-side by
+    (keyword, region, category, run). Output: ``time_bucket`` (the run), the columns of ``growth`` and ``rank`` within the run.
+    """
+    lo, _, _ = window_bounds(first, time_window)
+    period = WINDOWS[time_window]
+    micros = period // _dt.timedelta(microseconds=1)
+    runs = (last - first) // period
+    if runs < 0:
+        raise ValueError("last lies before first")
+    base = with_stat_texts(detected_between(kw, lo, first + runs * period))
+    base = base.filter(engagement_predicate(min_likes, min_comments, min_shares, min_views))
+    base = filter_equal(base, region, category)
+    since = F.unix_micros(F.col("detected_at").cast("timestamp")) - F.unix_micros(ts_lit(first).cast("timestamp"))
+    run = ((since - F.pmod(since, F.lit(micros))) / F.lit(micros)).cast("long") + 1  # whole periods divide exactly
+    counted = base.select(*GROUP, F.explode(F.array(
+        F.struct(run.alias("run"), F.lit(1).alias("now"), F.lit(0).alias("before")),
+        F.struct((run + 1).alias("run"), F.lit(0).alias("now"), F.lit(1).alias("before")))).alias("r"))
+    agg = (counted.where(F.col("r.run").between(0, runs)).groupBy(*GROUP, F.col("r.run").alias("run"))
+                  .agg(F.sum("r.now").cast("double").alias("current_mentions"), F.sum("r.before").cast("double").alias("_prev")))
+    null_key = F.col("keyword").isNull() | F.col("region").isNull() | F.col("category").isNull()
+    out = (agg.filter(F.col("current_mentions") > 0)
+              .withColumn("prev_mentions", F.when(null_key, F.lit(0.0)).otherwise(F.col("_prev")))
+              .withColumn("growth_rate", growth_case(F.col("current_mentions"), F.col("prev_mentions")))
+              .filter(F.col("growth_rate") >= F.lit(float(growth_threshold))))
+    best = Window.partitionBy("run").orderBy(F.desc("growth_rate"), *[F.asc_nulls_first(c) for c in GROUP])
+    out = out.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= limit)
+    at = F.timestamp_micros(F.unix_micros(ts_lit(first).cast("timestamp")) + F.col("run") * F.lit(micros))
+    return out.select(at.cast(base.schema["detected_at"].dataType).alias("time_bucket"), *GROUP, "current_mentions", "prev_mentions",
+                      "growth_rate", "rank")
+
+
 def trending_rows(result: DataFrame, as_of: _dt.datetime, time_window: str) -> DataFrame:
     """Rows appended to the trending table (time_bucket = end of current window)."""
     return result.select(

@@ -135,6 +135,32 @@ ORDER BY growth_rate DESC, keyword ASC NULLS FIRST, region ASC NULLS FIRST, cate
 {lim}"""
 
 
+def catch_up_sql(first, last, time_window, threshold, limit, min_likes=0, min_comments=0, min_shares=0, min_views=0) -> str:
+    """A row of ``runs`` for each run; both windows of each by a range join."""
+    hours = f"INTERVAL {WINDOW_HOURS[time_window]} HOUR"
+    cond = (f"{_stat('diggCount')} >= {min_likes} AND {_stat('commentCount')} >= {min_comments} "
+            f"AND {_stat('shareCount')} >= {min_shares} AND {_stat('playCount')} >= {min_views}")
+
+    def side(start, end):
+        return (f"SELECT run, keyword, region, category, CAST(count(*) AS DOUBLE) AS mentions FROM fit JOIN runs "
+                f"ON detected_at >= run - {start} AND detected_at < run - {end} GROUP BY ALL")
+
+    return _with(KW, f"runs AS (SELECT unnest(generate_series({_ts(first)}, {_ts(last)}, {hours})) AS run)",
+                 f"fit AS (SELECT * FROM kw WHERE {cond})", f"prev AS ({side(f'2 * {hours}', hours)})",
+                 f"curr AS ({side(hours, 'INTERVAL 0 HOUR')})") + f"""
+, j AS (
+  SELECT c.*, COALESCE(p.mentions, CAST(0 AS DOUBLE)) AS before
+  FROM curr c LEFT JOIN prev p
+    ON c.run = p.run AND c.keyword = p.keyword AND c.region = p.region AND c.category = p.category),
+g AS (
+  SELECT *, CASE WHEN before = 0 AND mentions > 1 THEN CAST(999.0 AS DOUBLE)
+                 WHEN before = 0 THEN CAST(0.0 AS DOUBLE) ELSE (mentions - before) / before END AS rate FROM j)
+SELECT run AS time_bucket, keyword, region, category, mentions AS current_mentions, before AS prev_mentions,
+       rate AS growth_rate, CAST(row_number() OVER (PARTITION BY run ORDER BY rate DESC, keyword ASC NULLS FIRST,
+         region ASC NULLS FIRST, category ASC NULLS FIRST) AS INTEGER) AS rank
+FROM g WHERE rate >= {float(threshold)} QUALIFY rank <= {limit}"""
+
+
 def growth_rows_sql(time_window: str, **kw) -> str:
     inner = growth_sql(time_window, **kw)
     return f"""SELECT keyword, region, category, {_ts(P.AS_OF)} AS time_bucket,
@@ -397,6 +423,8 @@ def oracle_sql() -> dict[str, str]:
     # --- growth, backtest, metrics, rollup
     for name, args in P.GROWTH.items():
         q[name] = growth_sql(**args)
+    for name, args in P.CATCH_UP.items():
+        q[name] = catch_up_sql(**args)
     q["growth_rows"] = growth_rows_sql(**P.GROWTH_ROWS)
     q["backtest"] = backtest_sql(P.BACKTEST_DAYS_BACK, P.BACKTEST_HORIZON)
     q["metrics"] = metrics_sql()

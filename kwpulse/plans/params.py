@@ -24,6 +24,12 @@ GROWTH = {
     "growth_filtered": dict(time_window="weekly", threshold=0.0, region="CN", category="BUILDING",
                             limit=20),
 }
+# The scheduled runs of a period, caught up in one pass.
+CATCH_UP = {
+    "growth_catch_up": dict(first=_dt.datetime(2024, 1, 2), last=AS_OF, time_window="hourly", threshold=0.5, limit=20),
+    "growth_catch_up_daily": dict(first=_dt.datetime(2024, 1, 3), last=AS_OF, time_window="daily", threshold=0.5, limit=20,
+                                  **SCHEDULED_MINIMUMS),
+}
 GROWTH_ROWS = dict(time_window="daily", threshold=0.5, limit=20)
 
 BACKTEST_DAYS_BACK = 7

@@ -57,6 +57,13 @@ def _growth(name: str) -> Query:
     return q
 
 
+def _catch_up(name: str) -> Query:
+    def q(spark, sf):
+        a = dict(P.CATCH_UP[name])
+        return G.growth_runs(_kw(spark, sf), growth_threshold=a.pop("threshold"), **a)
+    return q
+
+
 def _growth_rows(spark, sf):
     a = dict(P.GROWTH_ROWS)
     tw = a.pop("time_window")
@@ -312,6 +319,7 @@ def queries() -> dict[str, Query]:
         "wb_category": lambda s, d: W.category_sheet(_clean(s, d)),
         # growth / backtest / metrics / rollup
         **{name: _growth(name) for name in P.GROWTH},
+        **{name: _catch_up(name) for name in P.CATCH_UP},
         "growth_rows": _growth_rows,
         "backtest": lambda s, d: G.backtest(_kw(s, d), P.AS_OF, P.BACKTEST_DAYS_BACK, P.BACKTEST_HORIZON),
         "metrics": lambda s, d: G.metrics(_kw(s, d), P.AS_OF),

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, kw_rows
 from kwpulse.operators import clean as C
 from kwpulse.operators import growth as G
 from kwpulse.plans import params as P
@@ -32,6 +33,23 @@ def test_backtest_growth_non_negative(spark):
     assert bt.count() > 0
 
 
+def test_caught_up_runs_equal_single_runs(spark):
+    first = dt.datetime(2024, 1, 30, 20)
+    at = [first + dt.timedelta(minutes=m, microseconds=us) for m in (-121, -120, -60, -59, -1, 0, 30, 60, 150, 179, 180, 240) for us in (-1, 0)]
+    rows = [{"detected_at": t, "keyword": k, "region": r} for i, t in enumerate(at) for k in ("a", "b") for r in ("US", "BR", None)
+            for _ in range(1 + (i * 7 + len(str(k)) + len(str(r))) % 4)]
+    kw = kw_rows(spark, rows)
+    last = first + dt.timedelta(hours=3, minutes=40)  # runs at 20, 21, 22 and 23 o'clock
+    for limit in (2, 50):
+        got = G.growth_runs(kw, first, last, "hourly", 0.0, limit=limit)
+        want = [(first + dt.timedelta(hours=h), *r, i + 1) for h in range(4)
+                for i, r in enumerate(G.growth(kw, first + dt.timedelta(hours=h), "hourly", 0.0, limit=limit).collect())]
+        assert _rows(got) == sorted(want, key=str) and len(want) > 7
+    assert G.growth_runs(kw.limit(0), first, last).count() == 0
+    plan = G.growth_runs(kw, first, last)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(keyword") == 1
+
+
 def test_kpi_rates_finite(spark):
     c = C.clean(TB.keyword_facts(spark, SF_SMALL))
     for r in c.agg(*[F.max(F.abs(F.col(k))).alias(k) for k in
