@@ -42,6 +42,62 @@ def small_model():
     return toxicity.fit(texts, labels)
 
 
+def plain_sentences(text, vocabulary):
+    """The features of each sentence that holds one, word by word."""
+    out = []
+    for part in re.split(r"[.!?\n]+", text):
+        f = set()
+        for w in re.findall(r"[^\W\d_]+", part.lower()):
+            f |= {vocabulary[x] for x in [w, *[w[:n] + "*" for n in (4, 5, 6, 7, 8) if len(w) > n]] if x in vocabulary}
+        if f:
+            out.append(f)
+    return out
+
+
+def plain_clean(sentences, w, b):
+    """The chance that no sentence is toxic."""
+    chance = 1.0
+    for f in sentences:
+        chance *= 1 - 1 / (1 + np.exp(-(b + sum(w[x] for x in f))))
+    return chance
+
+
+def test_fit_follows_the_noisy_or_likelihood(monkeypatch):
+    """Some rounds of the fit equal the same rounds with the likelihood written out and differentiated by differences."""
+    rounds = 6
+    monkeypatch.setattr(toxicity, "ROUNDS", rounds)
+    rnd = random.Random(7)
+    texts, labels = [], []
+    for i in range(80):
+        s = [" ".join(rnd.choices(["alpha", "beta", "gamma", "delta"], k=3)) for _ in range(rnd.randint(1, 5))]
+        if i % 3 == 0:
+            s[rnd.randrange(len(s))] += rnd.choice([" vile", " nastily", " nasty vile"])
+        texts.append(rnd.choice([". ", "! ", "\n"]).join(s) + (" nasty" if i % 17 == 1 else ""))
+        labels.append(int(i % 3 == 0))
+    m = toxicity.fit(texts, labels)
+    voc = m.known.vocabulary
+    docs = [plain_sentences(t, voc) for t in texts]
+    share = {v: len(labels) / (2 * labels.count(v)) / len(labels) for v in (0, 1)}
+
+    def loss(x):
+        total = 0.5e-4 * float(x[:-1] @ x[:-1])
+        for d, y in zip(docs, labels, strict=True):
+            if d:  # without a feature a document says nothing of the weights
+                clean = plain_clean(d, x[:-1], x[-1])
+                total -= share[y] * np.log(1 - clean if y else clean)
+        return total
+
+    x = np.append(np.zeros(len(voc)), -3.0)
+    a, q = np.zeros(len(x)), np.zeros(len(x))
+    for step in range(1, rounds + 1):
+        grad = np.array([(loss(x + e) - loss(x - e)) / 2e-5 for e in np.eye(len(x)) * 1e-5])
+        a, q = 0.9 * a + 0.1 * grad, 0.999 * q + 0.001 * grad**2
+        x = x - 0.1 * (a / (1 - 0.9**step)) / (np.sqrt(q / (1 - 0.999**step)) + 1e-8)
+    assert len(voc) >= 3 and np.allclose(m.weights, x[:-1], atol=1e-4) and abs(m.bias - x[-1]) < 1e-4
+    for t, d in zip(texts, docs, strict=True):
+        assert abs(m.score(t) - (1 - plain_clean(d, m.weights, m.bias))) < 1e-9
+
+
 def test_sentences_are_located():
     m = small_model()
     text = "waa wab wac. wba vile wbb. wca\nwda"
