@@ -2,7 +2,8 @@
 
 Plan for a table of texts keyed by ``keys`` (ONE shuffle, of text rows):
 
-0. ``repartition(struct(keys))``                         the only shuffle
+0. ``repartition(n, struct(keys))``                      the only shuffle; n by
+   the counted characters of the texts
 1. ``posexplode(regexp_extract_all(lower(text)))``, digit-only tokens dropped
 2. ``groupBy(keys, token) -> freq, first_pos``           no exchange: the
    partitioning on keys already clusters every (keys, token) group
@@ -35,6 +36,9 @@ from kwpulse.sources.files import stored
 TEXT_KEYS = ["video_id", "modality", "frame_k"]
 STOPWORD_BROADCAST = 200_000  # words up to which a caller's stopword table is broadcast
 MOST_LANGS = 200
+TASK_CHARS = 8 << 20  # characters of text that a task counts at most on average: its hash tables and sort grow with them
+FEW_CHARS = 1 << 20  # texts are not spread over more tasks than these allow
+MOST_TASKS = 50_000  # of a shuffle; beyond 400 G characters the tasks grow and spill
 LANE, LANES = 31, 2  # bits of a packed counter, counters in a long
 
 
@@ -63,9 +67,20 @@ def _clustered(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
     attribute as the key keeps every later grouping and window satisfied by this
     single partitioning, even when some key columns are constants that Catalyst
     would fold out of a multi-column key.
+
+    The number of partitions follows the counted characters, so a task's memory does not grow
+    with the input. Left to the session it would: a fixed number of partitions, coalesced further by
+    the bytes of the compressed texts, of which tokens with their ids take many times the space.
     """
     tid = F.struct(*keys, F.monotonically_increasing_id().alias("_row"))
-    return texts.withColumn("_tid", tid).repartition("_tid")
+    return texts.withColumn("_tid", tid).repartition(_tasks(texts), "_tid")
+
+
+def _tasks(texts: DataFrame) -> int:
+    """Tasks for the texts, by their characters; costs a pass over the text column."""
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    share = chars // texts.sparkSession.sparkContext.defaultParallelism
+    return min(MOST_TASKS, chars // min(TASK_CHARS, max(FEW_CHARS, share)) + 1)
 
 
 def _keys_of(keys: Sequence[str]) -> list:
