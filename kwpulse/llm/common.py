@@ -40,7 +40,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 class WordHash(dict):
     """64-bit hash of a word (bytes); remembers the words seen, up to a bound."""
 
-    LIMIT = 1_000_000
+    LIMIT = 1 << 16
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word)

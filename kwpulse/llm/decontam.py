@@ -57,7 +57,7 @@ class Filter:
         maps = hashes.select(bit).groupBy(F.bitmap_bucket_number("x").alias("b")).agg(
             F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits"))
         self.table = np.zeros((1 << BITS) // 8, np.uint8)
-        for r in maps.toLocalIterator():
+        for r in maps.collect():  # 2048 rows of 4 KB at most; an iterator would run a job for every shuffle partition
             self.table[(r["b"] - 1) * BUCKET // 8:r["b"] * BUCKET // 8] = np.frombuffer(r["bits"], np.uint8)
         self.sizes, self.window, self.bits = sizes, window, 1 << BITS
 

@@ -79,3 +79,24 @@ def test_long_repeated_item(spark):
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     got = decontam.mark(df, bench).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
     assert sorted((tuple(r) for r in got), key=str) == brute(docs, items)
+
+
+def test_the_bit_table_takes_few_jobs_and_the_word_cache_is_bounded(spark):
+    from kwpulse.llm.common import WordHash
+    from kwpulse.llm.decontam import Filter
+
+    sc, conf = spark.sparkContext, "spark.sql.adaptive.coalescePartitions.enabled"
+    hashes = spark.range(5000).selectExpr("xxhash64(id) AS h")
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    sc.setJobGroup("bit-table", "bit table")
+    try:
+        f = Filter(hashes, [3], 10)
+    finally:
+        spark.conf.set(conf, old)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("bit-table")) <= 3  # an iterator took one for each of 8 partitions
+    bits = {r.h & (f.bits - 1) for r in hashes.collect()}
+    assert int(sum(bin(x).count("1") for x in f.table.tolist() if x)) == len(bits)
+    cache = WordHash()
+    assert len({cache[str(i).encode()] for i in range(100_000)}) == 100_000 and len(cache) <= 1 << 16
