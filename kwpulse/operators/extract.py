@@ -164,7 +164,19 @@ def text_languages(texts: DataFrame, keys: Sequence[str], stopwords: DataFrame |
 
 def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20, stopwords: DataFrame | None = None) -> DataFrame:
     """(keys..., keyword, rank): the top-k non-stopword, non-numeric tokens of each text. ``stopwords`` (lang, word)
-    takes the place of the built-in lists (``stopword_table``).
+    takes the place of the built-in lists (``stopword_table``)."""
+    return _ranked(texts, keys, top_k, stopwords).select(*_keys_of(keys), F.col("token").alias("keyword"), "rank")
+
+
+def keyword_lists(texts: DataFrame, keys: Sequence[str], top_k: int = 20, stopwords: DataFrame | None = None) -> DataFrame:
+    """(keys..., keywords): ``keywords`` as one row for each text that has any, for joins by a key: those move and sort a row a text
+    instead of ``top_k``. Gathered inside the same partitioning; the list has no order."""
+    lists = _ranked(texts, keys, top_k, stopwords).groupBy("_tid").agg(F.collect_list("token").alias("keywords"))
+    return lists.select(*_keys_of(keys), "keywords")
+
+
+def _ranked(texts: DataFrame, keys: Sequence[str], top_k: int, stopwords: DataFrame | None) -> DataFrame:
+    """(_tid, token, rank) of the top-k tokens.
 
     The text rows are hash-partitioned once by their key; counting, language and
     top-k then all run inside that partitioning: one shuffle, of whole text rows,
@@ -186,7 +198,7 @@ def keywords(texts: DataFrame, keys: Sequence[str], top_k: int = 20, stopwords:
     return (with_lang.filter(~is_sw)
                      .withColumn("rank", F.row_number().over(ordered))
                      .filter(F.col("rank") <= top_k)
-                     .select(*_keys_of(keys), F.col("token").alias("keyword"), "rank"))
+                     .select("_tid", "token", "rank"))
 
 
 def modal_keywords(texts: DataFrame, top_k: int = 20, stopwords: DataFrame | None = None) -> DataFrame:

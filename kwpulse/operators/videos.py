@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from kwpulse.functions.exprs import blank_to_null, epoch_seconds_to_ts, first_truthy, ts_lit
-from kwpulse.operators.extract import keywords, with_frame_key
+from kwpulse.operators.extract import keyword_lists, with_frame_key
 from kwpulse.schemas import KW_COLUMNS
 
 
@@ -98,15 +98,17 @@ def extract_keyword_facts(raw: DataFrame, as_of: _dt.datetime, top_k: int = 20,
     """Metadata (+ optional per-frame texts keyed by entry_id) -> keyword facts.
 
     Keywords are extracted per (entry, modality, frame) and joined back to the
-    entry's metadata on ``entry_id`` (one sort-merge or AQE-broadcast join).
+    entry's metadata on ``entry_id`` (one sort-merge or AQE-broadcast join), as one row
+    a text, so that the join moves and sorts no more rows than there are texts and entries.
     """
     raw = ensure_entry_id(raw)
     texts = text_sources(raw)
     if extra_texts is not None:
         texts = texts.unionByName(extra_texts.select("entry_id", "modality", "frame", "text"))
     keys = ["entry_id", "modality", "frame_k"]
-    kws = keywords(with_frame_key(texts), keys, top_k, stopwords)
+    lists = keyword_lists(with_frame_key(texts), keys, top_k, stopwords)
     entries = video_records(raw, as_of)
-    return (kws.join(entries, "entry_id", "inner")
+    return (lists.join(entries, "entry_id", "inner")
+               .withColumn("keyword", F.explode("keywords"))
                .withColumn("confidence", F.lit(1.0))
                .select(*KW_COLUMNS))

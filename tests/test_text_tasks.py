@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
 from kwpulse.operators import extract as X
 from kwpulse.operators import language as LG
-from kwpulse.schemas import MODAL_TEXTS
+from kwpulse.operators import videos as V
+from kwpulse.schemas import KW_COLUMNS, MODAL_TEXTS
 
 
 def _texts(spark, n):
@@ -43,3 +48,23 @@ def test_results_do_not_depend_on_the_number_of_tasks(spark, monkeypatch):
 def test_no_texts(spark):
     none = X.with_frame_key(spark.createDataFrame([], MODAL_TEXTS))
     assert X.keywords(none, X.TEXT_KEYS).collect() == [] and X.text_languages(none, X.TEXT_KEYS).collect() == []
+
+
+def test_entries_are_joined_once_a_text_not_once_a_keyword(spark):
+    """The join back to the entries runs in the session's partitions: it moves a row a text, the keywords come out after it."""
+    entries = [(1, "a", "alpha beta gamma delta delta"), (1, "b", "sigma omega"), (2, "", "2024 77"), (3, None, None), (None, "d", "kappa"),
+               (4, "e", " ".join(f"w{i}" for i in range(50)))]
+    missing = ("url", "caption", "region", "category", "createTime", "playAddr", "stats")
+    raw = spark.createDataFrame(entries, "entry_id long, id string, desc string").selectExpr(
+        "*", *[f"cast(null as string) as {c}" for c in missing],
+        "named_struct('title', 'song', 'author', cast(null as string), 'authorName', cast(null as string)) as music",
+        "cast(null as struct<id: string, playAddr: string, createTime: string>) as video",
+        "cast(null as struct<uniqueId: string>) as author")
+    facts = V.extract_keyword_facts(raw, dt.datetime(2024, 1, 31), 20)
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(keywords") < plan.index("Join Inner, (entry_id")
+    rows = X.keywords(X.with_frame_key(V.text_sources(raw)), ["entry_id", "modality", "frame_k"], 20).join(
+        V.video_records(raw, dt.datetime(2024, 1, 31)), "entry_id").withColumn("confidence", F.lit(1.0)).select(*KW_COLUMNS)
+    expected = sorted(map(repr, rows.collect()))
+    assert sorted(map(repr, facts.collect())) == expected
+    assert len(expected) == 2 * (4 + 2 + 1 + 1) + 3 + 20  # entry 1 stands twice: each row's texts meet both; songs; 20 of 50 words
