@@ -36,7 +36,7 @@ from kwpulse.sources.files import stored
 TEXT_KEYS = ["video_id", "modality", "frame_k"]
 STOPWORD_BROADCAST = 200_000  # words up to which a caller's stopword table is broadcast
 MOST_LANGS = 200
-TASK_CHARS = 8 << 20  # characters of text that a task counts at most on average: its hash tables and sort grow with them
+TASK_CHARS = 4 << 20  # characters of text that a task counts at most on average: its hash tables and sort grow with them
 FEW_CHARS = 1 << 20  # texts are not spread over more tasks than these allow
 MOST_TASKS = 50_000  # of a shuffle; beyond 400 G characters the tasks grow and spill
 LANE, LANES = 31, 2  # bits of a packed counter, counters in a long

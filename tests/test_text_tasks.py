@@ -68,3 +68,8 @@ def test_entries_are_joined_once_a_text_not_once_a_keyword(spark):
     expected = sorted(map(repr, rows.collect()))
     assert sorted(map(repr, facts.collect())) == expected
     assert len(expected) == 2 * (4 + 2 + 1 + 1) + 3 + 20  # entry 1 stands twice: each row's texts meet both; songs; 20 of 50 words
+
+
+def test_a_task_counts_four_million_characters_on_average(spark):
+    texts = spark.range(80).select(F.repeat(F.lit("a"), 1 << 20).alias("text"))
+    assert (80 << 20) / X._tasks(texts) <= 4 << 20
