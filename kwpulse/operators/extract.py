@@ -44,11 +44,14 @@ LANE, LANES = 31, 2  # bits of a packed counter, counters in a long
 
 def corpus_stopwords(texts: DataFrame, share: float = 0.3) -> DataFrame:
     """A stopword table (lang, word) from labelled texts (lang, text): the tokens that stand in at least ``share`` of
-    a language's texts. One shuffle of the texts' distinct tokens, pre-aggregated."""
+    a language's texts. One shuffle of the texts' distinct tokens, pre-aggregated: the words stay in its partitions, since
+    the languages are broadcast if they are counted to be few. Joined by a shuffle, a language's words would be one task's."""
     tokens = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TOKEN_PATTERN), F.lit(0)))
     rows = texts.where("lang IS NOT NULL AND text IS NOT NULL")
     per = rows.select("lang", F.explode(tokens).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    all_ = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
+    all_ = stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("texts")), "language-texts")
+    if all_.limit(MOST_LANGS + 1).count() <= MOST_LANGS:
+        all_ = F.broadcast(all_)
     return per.join(all_, "lang").where(F.col("n") >= share * F.col("texts")).select("lang", "word")
 
 

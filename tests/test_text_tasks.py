@@ -73,3 +73,19 @@ def test_entries_are_joined_once_a_text_not_once_a_keyword(spark):
 def test_a_task_counts_four_million_characters_on_average(spark):
     texts = spark.range(80).select(F.repeat(F.lit("a"), 1 << 20).alias("text"))
     assert (80 << 20) / X._tasks(texts) <= 4 << 20
+
+
+def test_corpus_stopwords_leave_the_words_in_the_partitions_they_were_counted_in(spark):
+    rows = [("en", "the cat and the dog"), ("en", "the house"), ("en", "a tree"), ("de", "der Hund"), ("de", "der Baum"),
+            (None, "the the"), ("fr", None), ("es", "2024 casa")]
+    words = X.corpus_stopwords(spark.createDataFrame(rows, "lang string, text string"), 0.6)
+    plan = words._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning(lang#" in plan
+    assert not [x for x in plan.splitlines() if "hashpartitioning(lang#" in x and "word#" not in x]
+    assert sorted(map(tuple, words.collect())) == [("de", "der"), ("en", "the"), ("es", "2024"), ("es", "casa")]
+
+
+def test_many_languages_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(X, "MOST_LANGS", 2)
+    rows = spark.createDataFrame([(f"l{i}", f"word{i} both") for i in range(5)], "lang string, text string")
+    assert X.corpus_stopwords(rows, 0.5).count() == 10
