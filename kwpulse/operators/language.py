@@ -20,6 +20,7 @@ from kwpulse.sources.files import stored
 
 WORD = r"\p{L}{1,32}"
 KEPT = 3000  # trigrams of a language
+BUCKETS = 16  # in which a language's trigrams are ranked first
 SCALE = 1000
 
 
@@ -36,14 +37,17 @@ def fit(labelled: DataFrame, kept: int = KEPT) -> DataFrame:
     """(text, lang) rows -> the model: ``lang, gram, score``; a null gram stands for all that are not listed.
 
     Words are counted per language before they are cut into trigrams, so both aggregates combine map-side; the table
-    has at most ``kept`` + 1 rows a language. Null texts and labels take no part."""
+    has at most ``kept`` + 1 rows a language. Null texts and labels take no part. Trigrams are ranked in buckets by hash and
+    the first ``kept`` of each again, so that the task of a language sorts ``BUCKETS`` * ``kept`` rows at most."""
     words = (labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", F.explode(_words(F.col("text"))).alias("word"))
              .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
     grams = stored(words.select("lang", F.explode(_trigrams("word")).alias("gram"), "n")
                    .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
     total = grams.groupBy("lang").agg((F.sum("n") + kept).alias("total"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    top = grams.withColumn("r", rank).where(F.col("r") <= kept).drop("r")
+    top = grams.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(BUCKETS)))
+    for by in (["lang", "bucket"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "gram"))
+        top = top.withColumn("r", rank).where(F.col("r") <= kept).drop("r")
     score = lambda n: F.floor(SCALE * F.log((n + 1) / F.col("total"))).cast("long").alias("score")
     return stored(top.join(F.broadcast(total), "lang").select("lang", "gram", score(F.col("n"))).unionByName(
         total.select("lang", F.lit(None).cast("string").alias("gram"), score(F.lit(0)))), "language-model")

@@ -89,3 +89,21 @@ def test_many_languages_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(X, "MOST_LANGS", 2)
     rows = spark.createDataFrame([(f"l{i}", f"word{i} both") for i in range(5)], "lang string, text string")
     assert X.corpus_stopwords(rows, 0.5).count() == 10
+
+
+def test_a_language_model_ranks_trigrams_in_buckets_first(spark, monkeypatch):
+    """The task of a language sorts a bounded number of rows, and the model is that of one ranking."""
+    frames = {}
+    kept_stored = LG.stored
+    monkeypatch.setattr(LG, "stored", lambda df, name: frames.setdefault(name, kept_stored(df, name)) if name == "language-grams"
+                        else frames.update({name: df}) or df)
+    rows = [(" ".join(f"{a}{b}{'xyz'[j % 3]}" for j, b in enumerate("abcdefghij")), lang) for a in "klmnopq" for lang in ("en", "de")]
+    model = LG.fit(spark.createDataFrame([*rows, (None, "en"), ("abc", None)], "text string, lang string"), kept=7)
+    listed = sorted((r.lang, r.gram) for r in model.where("gram IS NOT NULL").collect())
+    counts = {}
+    for r in frames["language-grams"].collect():
+        counts.setdefault(r.lang, []).append((-r.n, r.gram))
+    assert min(map(len, counts.values())) > 7 * 3
+    assert listed == sorted((lang, g) for lang, grams in counts.items() for _, g in sorted(grams)[:7])
+    plan = frames["language-model"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2 and "bucket" in plan
