@@ -1,3 +1,4 @@
+import glob
 import random
 import re
 
@@ -169,3 +170,67 @@ def test_pairs_of_large_groups(spark, monkeypatch):
     got = {tuple(r) for r in line_dedup._segment_pairs(df, 0.9).collect()}
     near = {(a[0], b[0]) for a in rows for b in rows if a[0] > b[0] and a[2] != b[2] and within(a[4], b[4])}
     assert near <= got and len(near) > 5 and all(u // 10 != v // 10 for u, v in got)
+
+
+def near_lines(rnd):
+    """Lines of many lengths, each with an edited copy, and the group of its own for each."""
+    lines = []
+    for words in (2, 3, 4, 6, 9, 14, 30, 80, 200):
+        for _ in range(6):
+            x = " ".join("".join(rnd.choice("abcdefghiklmnoprstuvwz") for _ in range(rnd.randint(2, 9))) for _ in range(words))
+            lines += [x, norm(edited(rnd, x, max(1, len(x) // 11)))[0]]
+    return [(i, len(x), i, False, x) for i, x in enumerate(lines)]
+
+
+@pytest.mark.parametrize("crowded", [False, True])
+def test_keys_in_parts(spark, monkeypatch, crowded):
+    """The keys are shuffled in parts of a bounded share; together these hold each key once and find the same pairs."""
+    rows = [(i, n, g - g % 4 if crowded and n > 100 else g, crowded and n > 100, x) for i, n, g, _, x in near_lines(random.Random(12))]
+    df = spark.createDataFrame(rows, "id long, size int, group long, large boolean, line string")
+    whole = {tuple(r) for r in line_dedup._segment_pairs(df, 0.9).collect()}
+    near = {(a[0], b[0]) for a in rows for b in rows if a[0] > b[0] and a[2] != b[2] and within(a[4], b[4])}
+    assert near <= whole and len(near) > (5 if crowded else 20)
+    monkeypatch.setattr(line_dedup, "PART", 2500)
+    parts = line_dedup._parts(df, 0.9)
+    assert len(parts) > 5
+    assert {tuple(r) for r in line_dedup._segment_pairs(df, 0.9).collect()} == whole
+    if not crowded:
+        keys = [sorted(r[0] for r in x.select("key").collect()) for x in line_dedup._segments(df, 0.9)]
+        cut = [line_dedup._segments(df.where(f"size BETWEEN {n} AND {m}"), 0.9, i, j) for i, j, n, m in parts]
+        held = [[r[0] for r in x[1].select("key").collect()] for x in cut]
+        assert sorted(k for x in held for k in x) == keys[1] and max(map(len, held)) < len(keys[1]) / 3
+        assert set(keys[0]) & set(keys[1]) <= {r[0] for x in cut for r in x[0].select("key").collect()}
+
+
+def test_shuffle_files_go(spark):
+    """No job of the search leaves its shuffle files until the driver's garbage is collected, and the setting is as before."""
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f for d in store.localDirsString() for f in glob.glob(f"{d}/*/shuffle_*")}
+
+    before, setting = files(), spark.conf.get(line_dedup.CLEANUP)
+    df = spark.createDataFrame([(i, x) for i, _, _, _, x in near_lines(random.Random(13))], "doc_id long, text string")
+    line_dedup.duplicates(df)
+    assert not files() - before
+    assert spark.conf.get(line_dedup.CLEANUP) == setting
+
+
+def test_pairs_verified_in_parts(spark, monkeypatch):
+    """However many pairs there are, in however many parts they meet their texts, the same links are found."""
+    rows = near_lines(random.Random(14))
+    texts = spark.createDataFrame([(i, x) for i, _, _, _, x in rows], "id long, line string")
+    pairs = spark.createDataFrame([(a, b) for a in range(len(rows)) for b in range(max(0, a - 3), a)], "u long, v long")
+    near = {(a, b) for a, b in map(tuple, pairs.collect()) if within(rows[a][4], rows[b][4])}
+    for few, parts in ((200_000, 16), (400, 16), (100, 2)):
+        monkeypatch.setattr(line_dedup, "BROADCAST", few)
+        monkeypatch.setattr(line_dedup, "VERIFY_PARTS", parts)
+        asked = []
+
+        def texts_of(ids, asked=asked):
+            asked.append(ids)
+            return texts if ids is None else texts.join(ids, "id", "left_semi")
+
+        got = [tuple(r) for r in line_dedup._verified(pairs, texts_of, 0.9).collect()]
+        assert set(got) == near and len(got) == len(near) and len(near) > 20
+        assert len(asked) == {200_000: 1, 400: 4, 100: 2}[few] and (None in asked) == (few == 100)
