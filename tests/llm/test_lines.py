@@ -234,3 +234,25 @@ def test_pairs_verified_in_parts(spark, monkeypatch):
         got = [tuple(r) for r in line_dedup._verified(pairs, texts_of, 0.9).collect()]
         assert set(got) == near and len(got) == len(near) and len(near) > 20
         assert len(asked) == {200_000: 1, 400: 4, 100: 2}[few] and (None in asked) == (few == 100)
+
+
+def test_keys_meet_in_the_task_that_cuts_them(spark):
+    """The texts are shuffled, once for both sides, and no key is; no generated method is too long to be compiled; parts and shares
+    of a part go to a task each and find the same pairs."""
+    rows = near_lines(random.Random(15))
+    df = spark.createDataFrame(rows, "id long, size int, group long, large boolean, line string")
+    near = {(a[0], b[0]) for a in rows for b in rows if a[0] > b[0] and within(a[4], b[4])}
+    whole = {tuple(r) for r in line_dedup._segment_pairs(df, 0.9).collect()}
+    assert near <= whole and len(near) > 20
+    parts = [(i, j, k, 2, n, m) for i, j, n, m in line_dedup._parts(df, 0.9) for k in range(2)]
+    with line_dedup._freed(spark), line_dedup._set(spark, {"spark.sql.adaptive.enabled": "false"}):
+        dealt = line_dedup._dealt(df, 0.9, parts, 1)
+        assert sorted(r[0] for r in dealt.selectExpr("spark_partition_id()").distinct().collect()) == list(range(len(parts)))
+        longer, shorter = line_dedup._keys(dealt, 0.9)
+        met = line_dedup._meet(shorter, longer, 0.9)
+        assert {tuple(r) for r in met.collect()} == whole
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode
+        plan = met._jdf.queryExecution().explainString(mode.fromString("simple"))
+        assert set(re.findall(r"hashpartitioning\((\w+)#\d+, \d+\)", plan)) == {"code"} and "ShuffledHashJoin" in plan
+        code = met._jdf.queryExecution().explainString(mode.fromString("codegen"))
+        assert max(int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", code)) < 8000
